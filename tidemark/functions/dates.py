@@ -19,18 +19,36 @@ def week_ending(day: Column, weekday: str = "Fri") -> Column:
     return F.next_day(F.date_sub(day.cast("date"), 1), weekday)
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times, so expressions stay small."""
+    return F.transform(F.array(value), body)[0]
+
+
 def easter_sunday(year: Column) -> Column:
     """Easter Sunday by the anonymous Gregorian computus, in integer arithmetic."""
-    golden = year % 19
-    century, in_century = _div(year, 100), year % 100
-    skipped, century_rest = _div(century, 4), century % 4
-    correction = _div(century - _div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - skipped - correction + 15) % 30
-    quad, quad_rest = _div(in_century, 4), in_century % 4
-    weekday = (century_rest * 2 + quad * 2 + 32 - epact - quad_rest) % 7
-    shift = _div(golden + epact * 11 + weekday * 22, 451)
-    packed = epact + weekday - shift * 7 + 114
-    return F.make_date(year, _div(packed, 31), packed % 31 + 1)
+
+    def epact(y: Column) -> Column:
+        century = _div(y, 100)
+        correction = _div(century - _div(century + 8, 25) + 1, 3)
+        return ((y % 19) * 19 + century - _div(century, 4) - correction + 15) % 30
+
+    def weekday(y: Column, h: Column) -> Column:
+        century, rest = _div(y, 100), y % 100
+        return ((century % 4) * 2 + _div(rest, 4) * 2 + 32 - h - rest % 4) % 7
+
+    def packed(y: Column, h: Column, d: Column) -> Column:
+        return h + d - _div(y % 19 + h * 11 + d * 22, 451) * 7 + 114
+
+    def date(y: Column, q: Column) -> Column:
+        return F.make_date(y, _div(q, 31), q % 31 + 1)
+
+    return _let(
+        year,
+        lambda y: _let(
+            epact(y),
+            lambda h: _let(weekday(y, h), lambda d: _let(packed(y, h, d), lambda q: date(y, q))),
+        ),
+    )
 
 
 def nth_weekday(year: Column, month: int, nth: int, weekday: str) -> Column:

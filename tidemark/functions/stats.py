@@ -11,6 +11,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -59,7 +60,7 @@ def student_two_sided(t: float, df: float) -> float:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
     values = [student_two_sided(a, b) for a, b in zip(t.astype(float), df.astype(float))]
     return pd.Series(values, dtype="float64").where(lambda s: s.notna(), None)

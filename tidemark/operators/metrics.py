@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
+from tidemark.operators.scan import exact_quantiles
 
 
 def error_columns(y: str = "y", yhat: str = "yhat") -> list[Column]:
@@ -105,7 +106,9 @@ def cv_interval(
     df: DataFrame, by: Sequence[str] = ("model",), coverage: float = 0.8, error: str = "error_pct"
 ) -> DataFrame:
     """Half-width of the band that held ``coverage`` of the past percentage errors."""
-    return df.groupBy(*by).agg(F.percentile(F.abs(F.col(error)), coverage).alias("band"))
+    sizes = df.select(*by, F.abs(F.col(error)).alias("_size"))
+    found = exact_quantiles(sizes, list(by), "_size", [coverage])
+    return found.select(*by, F.col("quantiles")[0].alias("band"))
 
 
 def apply_band(df: DataFrame, bands: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:

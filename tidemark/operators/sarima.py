@@ -1,0 +1,135 @@
+"""Seasonal ARIMA by conditional least squares over one series.
+
+The series is differenced, residuals follow from the ARMA recursion with zero
+start values, and a damped Gauss-Newton search minimises their squares.  Start
+points of a coarse grid advance together as a vector.
+"""
+
+from __future__ import annotations
+
+from itertools import product
+
+import numpy as np
+
+LIMIT = 0.99
+
+
+def _polynomial(short: np.ndarray, seasonal: np.ndarray, period: int, sign: float) -> dict[int, np.ndarray]:
+    """Lag weights of (1 + sign*short)(1 + sign*seasonal) without the leading one."""
+    weights: dict[int, np.ndarray] = {}
+    factors = [(0, 1.0)] + [(i + 1, sign * short[i]) for i in range(len(short))]
+    outer = [(0, 1.0)] + [((i + 1) * period, sign * seasonal[i]) for i in range(len(seasonal))]
+    for (a, x), (b, y) in product(factors, outer):
+        if a + b:
+            weights[a + b] = weights.get(a + b, 0.0) + x * y
+    return weights
+
+
+def _residuals(w: np.ndarray, params: np.ndarray, shape, period: int) -> np.ndarray:
+    """Residuals of every candidate; ``params`` has one column per candidate."""
+    p, q, sp, sq = shape
+    ar = _polynomial(params[:p], params[p + q : p + q + sp], period, -1.0)
+    ma = _polynomial(params[p : p + q], params[p + q + sp :], period, 1.0)
+    count, size = params.shape[1], len(w)
+    base = np.repeat(w[None, :], count, axis=0)
+    for lag, weight in ar.items():
+        if lag < size:
+            base[:, lag:] += weight[:, None] * w[None, :-lag]
+    start = min(max(ar, default=0), size - 1)
+    errors = np.zeros((size, count))
+    base = base.T
+    lags = sorted(ma.items())
+    for i in range(start, size):
+        value = base[i]
+        for lag, weight in lags:
+            if lag > i:
+                break
+            value = value - weight * errors[i - lag]
+        errors[i] = value
+    return errors
+
+
+def difference_series(values: np.ndarray, d: int, seasonal_d: int, period: int) -> np.ndarray:
+    out = values
+    for _ in range(seasonal_d):
+        out = out[period:] - out[:-period]
+    for _ in range(d):
+        out = np.diff(out)
+    return out
+
+
+def fit_sarima(
+    values: np.ndarray,
+    order: tuple[int, int, int] = (1, 0, 1),
+    seasonal_order: tuple[int, int, int, int] = (0, 1, 1, 52),
+    rounds: int = 25,
+) -> dict | None:
+    """Fit by conditional least squares; ``None`` when too little data is left."""
+    p, d, q = order
+    sp, sd, sq, period = seasonal_order
+    if len(values) <= sd * period + d + p + sp * period:
+        return None
+    w = difference_series(values, d, sd, period)
+    shape, width = (p, q, sp, sq), p + q + sp + sq
+    if len(w) <= max(width + 2, p + sp * period + 1):
+        return None
+    scale = float(np.std(w)) or 1.0
+    w_scaled = w / scale
+    if width == 0:
+        return dict(params=np.zeros(0), shape=shape, period=period, d=d, sd=sd, scale=scale,
+                    sse=float(w @ w))
+    start = np.array(list(product((-0.6, 0.0, 0.6), repeat=width))).T
+    with np.errstate(all="ignore"):
+        sse = (_residuals(w_scaled, start, shape, period) ** 2).sum(axis=0)
+    sse = np.where(np.isfinite(sse), sse, np.inf)
+    best = start[:, int(np.argmin(sse))].astype(float)
+    current, damping, step = float(sse.min()), 1e-2, 1e-5
+    for _ in range(rounds):
+        bumped = np.column_stack([best] + [best + step * np.eye(width)[:, i] for i in range(width)])
+        errors = _residuals(w_scaled, bumped, shape, period)
+        jacobian = (errors[:, 1:] - errors[:, :1]) / step
+        gradient = jacobian.T @ errors[:, 0]
+        curvature = jacobian.T @ jacobian
+        factors = damping * np.array([1e-3, 1e-1, 1.0, 10.0, 1e3])
+        moves = [
+            np.linalg.lstsq(curvature + f * np.diag(np.diag(curvature) + 1e-9), gradient, rcond=None)[0]
+            for f in factors
+        ]
+        trial = np.clip(best[:, None] - np.column_stack(moves), -LIMIT, LIMIT)
+        with np.errstate(all="ignore"):
+            losses = (_residuals(w_scaled, trial, shape, period) ** 2).sum(axis=0)
+        losses = np.where(np.isfinite(losses), losses, np.inf)
+        i = int(np.argmin(losses))
+        if losses[i] >= current * (1 - 1e-9):
+            break
+        best, current, damping = trial[:, i], float(losses[i]), factors[i]
+    return dict(params=best, shape=shape, period=period, d=d, sd=sd, scale=scale,
+                sse=current * scale * scale)
+
+
+def extend_sarima(values: np.ndarray, fit: dict, horizon: int) -> np.ndarray:
+    """Forecast ``horizon`` steps and undo the differencing."""
+    p, q, sp, sq = fit["shape"]
+    period, params = fit["period"], fit["params"]
+    w = difference_series(values, fit["d"], fit["sd"], period)
+    errors = _residuals(w, params[:, None], fit["shape"], period)[:, 0] if len(params) else w.copy()
+    ar = _polynomial(params[:p], params[p + q : p + q + sp], period, -1.0)
+    ma = _polynomial(params[p : p + q], params[p + q + sp :], period, 1.0)
+    extended = list(w)
+    for i in range(len(w), len(w) + horizon):
+        value = -sum(c * extended[i - k] for k, c in ar.items() if i - k >= 0)
+        value += sum(c * errors[i - k] for k, c in ma.items() if 0 <= i - k < len(errors))
+        extended.append(float(value))
+    future = np.array(extended[len(w) :])
+    # Undo the plain differences first (they were taken last), then the seasonal ones.
+    seasonal_only = difference_series(values, 0, fit["sd"], period)
+    for level in range(fit["d"], 0, -1):
+        last = difference_series(seasonal_only, level - 1, 0, period)[-1]
+        future = last + np.cumsum(future)
+    for level in range(fit["sd"], 0, -1):
+        history = list(difference_series(values, 0, level - 1, period))
+        base = len(history)
+        for i in range(horizon):
+            history.append(history[base + i - period] + future[i])
+        future = np.array(history[base:])
+    return future

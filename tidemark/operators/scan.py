@@ -49,10 +49,11 @@ def running(
 
     ``df`` holds one row per (keys, order).  New columns are ``<name>_run``.
     ``lasts`` carries the most recent non-null value forward.  Cost: one
-    shuffle on (keys, bin), plus one row per (key, bin).
+    shuffle on (keys, bin), plus one row per (key, bin).  ``bins=1`` skips the
+    cut, for callers that have checked how few rows each key has.
     """
     keys = list(keys)
-    binned = _with_bin(df, order, bins)
+    binned = _with_bin(df, order, bins) if bins > 1 else df.withColumn("_bin", F.lit(0))
     axis = F.col(order).desc() if descending else F.col(order).asc()
     inside = W.partitionBy(*keys, "_bin").orderBy(axis).rowsBetween(W.unboundedPreceding, 0)
     bin_axis = F.col("_bin").desc() if descending else F.col("_bin").asc()
@@ -64,9 +65,10 @@ def running(
         *[F.product(F.col(c)).over(inside).alias(f"{c}_run") for c in products],
         *[F.last(c, ignorenulls=True).over(inside).alias(f"{c}_run") for c in lasts],
     )
+    if bins == 1:
+        return local.drop("_bin")
     pick = F.min_by if descending else F.max_by
     totals = binned.groupBy(*keys, "_bin").agg(
-        F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"{c}_bin") for c in sums],
         *[F.product(F.col(c)).alias(f"{c}_bin") for c in products],
         *[
@@ -94,6 +96,43 @@ def running(
     )
 
 
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], bins: int = BINS
+) -> DataFrame:
+    """Linearly interpolated quantiles per key, from running counts.
+
+    ``quantiles`` is an array in the order of ``probabilities``, ``n`` the
+    number of non-null values.  No task ever holds the values of a whole key:
+    the neighbours of each wanted position are found by their running count.
+    """
+    keys = list(keys)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_k")
+    )
+    ranked = running(counts, keys, value, sums=["_k"], bins=bins)
+    if keys:
+        # One row per key on the right-hand side.
+        sizes = counts.groupBy(*keys).agg(F.sum("_k").alias("_n"))
+        ranked = ranked.join(sizes, keys, "inner")
+    else:
+        ranked = ranked.withColumn("_n", counts.agg(F.sum("_k")).scalar())
+    picks = []
+    for i, p in enumerate(probabilities):
+        at = (F.col("_n") - 1) * F.lit(float(p))
+        low = F.floor(at)
+        picks += [
+            F.min(F.when(F.col("_k_run") >= low + 1, F.col(value))).alias(f"_lo{i}"),
+            F.min(F.when(F.col("_k_run") >= F.ceil(at) + 1, F.col(value))).alias(f"_hi{i}"),
+            F.max(at - low).alias(f"_w{i}"),
+        ]
+    found = ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *picks)
+    parts = [
+        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")
+        for i in range(len(probabilities))
+    ]
+    return found.select(*keys, "n", F.array(*parts).alias("quantiles"))
+
+
 def shuffle_key(id_column: str | Column, seed: int) -> Column:
     """A reproducible pseudo-random string per row, the same in any SQL engine."""
     id_column = F.col(id_column) if isinstance(id_column, str) else id_column
