@@ -104,8 +104,9 @@ def score_counts(
 
 
 def _ranked(df, by, label, score) -> DataFrame:
-    counts = score_counts(df, by, label, score)
-    return running(counts, list(by), score, sums=["pos", "neg"], descending=True)
+    return running(
+        score_counts(df, by, label, score), list(by), score, sums=["pos", "neg"], descending=True
+    )
 
 
 def ranking_metrics(

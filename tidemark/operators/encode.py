@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import StringType
 
 from tidemark.functions.numbers import ratio
 
@@ -114,12 +114,9 @@ def label_correlations(
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class."""
-    whole = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
-        .withColumn("_all", whole)
-        .select(label, "customers", ratio(F.col("customers"), F.col("_all")).alias("share"))
-    )
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("customers"))
+    whole = F.sum("customers").over(W.partitionBy())
+    return counts.withColumn("share", ratio(F.col("customers"), whole))
 
 
 def histograms(
@@ -156,7 +153,3 @@ def histograms(
         .groupBy("feature", label, "bin")
         .agg(F.count(F.lit(1)).alias("customers"))
     )
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -5,6 +5,11 @@ axis is cut into bins first: every bin runs its own window, one small row per
 (key, bin) carries the offsets, and a join on (key, bin) adds them back.
 Inputs are aggregated to one row per (keys, order value) beforehand, so a value
 shared by a third of all rows is one row here.
+
+The aggregated input is materialised once in the checkpoint folder, because
+cutting, scanning and offsets all read it; a lost executor then costs a re-read
+instead of a second pass over the raw table.  Its row count decides the path:
+a small table (months, rounded scores) is scanned by one window as it is.
 """
 
 from __future__ import annotations
@@ -15,16 +20,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BINS = 64
+from tidemark.runtime import cut_lineage
+
+# Aggregated rows up to which a plain window is used.
+FEW_ROWS = 100_000
+ROWS_PER_BIN = 50_000
+MAX_BINS = 4096
+
 
+def materialise(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint an aggregated table and count it."""
+    table = cut_lineage(df)
+    return table, table.count()
 
-def _with_bin(df: DataFrame, order: str, bins: int) -> DataFrame:
+
+def _with_bin(df: DataFrame, order: str, rows: int) -> DataFrame:
+    bins = max(2, min(MAX_BINS, -(-rows // ROWS_PER_BIN)))
     cuts = [i / bins for i in range(1, bins)]
-    edges = df.agg(F.percentile_approx(order, cuts, F.lit(1000)).alias("edges")).scalar()
+    edges = sorted(set(df.approxQuantile(order, cuts, 0.25 / bins)))
+    # Position of the value among the edges by binary search would need a UDF;
+    # splitting the edges in two levels keeps the comparison count low.
+    width = max(1, int(len(edges) ** 0.5))
+    blocks = [edges[i : i + width] for i in range(0, len(edges), width)]
+    block = F.array(*[F.array(*[F.lit(float(e)) for e in part]) for part in blocks])
+    firsts = F.array(*[F.lit(float(part[0])) for part in blocks])
+    value = F.col(order).cast("double")
     return (
-        df.withColumn("_edges", edges)
-        .withColumn("_bin", F.expr(f"size(filter(_edges, e -> e < `{order}`))"))
-        .drop("_edges")
+        df.withColumn("_block", F.size(F.filter(firsts, lambda e: e < value)))
+        .withColumn(
+            "_bin",
+            F.when(F.col("_block") == 0, F.lit(0)).otherwise(
+                (F.col("_block") - 1) * width
+                + F.size(F.filter(F.get(block, F.col("_block") - 1), lambda e: e < value))
+            ),
+        )
+        .drop("_block")
     )
 
 
@@ -43,32 +73,40 @@ def running(
     products: Sequence[str] = (),
     lasts: Sequence[str] = (),
     descending: bool = False,
-    bins: int = BINS,
+    rows: int | None = None,
+    few: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums, products and last-seen values along ``order``.
 
     ``df`` holds one row per (keys, order).  New columns are ``<name>_run``.
-    ``lasts`` carries the most recent non-null value forward.  Cost: one
-    shuffle on (keys, bin), plus one row per (key, bin).  ``bins=1`` skips the
-    cut, for callers that have checked how few rows each key has.
+    ``lasts`` carries the most recent non-null value forward.  ``rows`` is the
+    row count if the caller has materialised the table already.  Cost beyond
+    ``few`` rows: one shuffle on (keys, bin), plus one row per (key, bin).
     """
     keys = list(keys)
-    binned = _with_bin(df, order, bins) if bins > 1 else df.withColumn("_bin", F.lit(0))
+    few = FEW_ROWS if few is None else few
+    if rows is None:
+        df, rows = materialise(df)
     axis = F.col(order).desc() if descending else F.col(order).asc()
+
+    def scanned(table: DataFrame, inside) -> DataFrame:
+        return table.select(
+            "*",
+            *[F.sum(c).over(inside).alias(f"{c}_run") for c in sums],
+            *[F.product(F.col(c)).over(inside).alias(f"{c}_run") for c in products],
+            *[F.last(c, ignorenulls=True).over(inside).alias(f"{c}_run") for c in lasts],
+        )
+
+    if rows <= few:
+        return scanned(df, W.partitionBy(*keys).orderBy(axis).rowsBetween(W.unboundedPreceding, 0))
+
+    binned = _with_bin(df, order, rows)
     inside = W.partitionBy(*keys, "_bin").orderBy(axis).rowsBetween(W.unboundedPreceding, 0)
     bin_axis = F.col("_bin").desc() if descending else F.col("_bin").asc()
     before = W.partitionBy(*keys).orderBy(bin_axis).rowsBetween(W.unboundedPreceding, -1)
-
-    local = binned.select(
-        "*",
-        *[F.sum(c).over(inside).alias(f"{c}_run") for c in sums],
-        *[F.product(F.col(c)).over(inside).alias(f"{c}_run") for c in products],
-        *[F.last(c, ignorenulls=True).over(inside).alias(f"{c}_run") for c in lasts],
-    )
-    if bins == 1:
-        return local.drop("_bin")
     pick = F.min_by if descending else F.max_by
     totals = binned.groupBy(*keys, "_bin").agg(
+        F.count(F.lit(1)).alias("_rows"),
         *[F.sum(c).alias(f"{c}_bin") for c in sums],
         *[F.product(F.col(c)).alias(f"{c}_bin") for c in products],
         *[
@@ -86,10 +124,9 @@ def running(
         ],
         *[F.last(f"{c}_bin", ignorenulls=True).over(before).alias(f"{c}_off") for c in lasts],
     )
-    joined = local.alias("l").join(offsets.alias("r"), _null_safe(keys), "inner")
-    kept = [F.col(f"l.{c}") for c in df.columns]
+    joined = scanned(binned, inside).alias("l").join(offsets.alias("r"), _null_safe(keys), "inner")
     return joined.select(
-        *kept,
+        *[F.col(f"l.{c}") for c in df.columns],
         *[(F.col(f"l.{c}_run") + F.col(f"r.{c}_off")).alias(f"{c}_run") for c in sums],
         *[(F.col(f"l.{c}_run") * F.col(f"r.{c}_off")).alias(f"{c}_run") for c in products],
         *[F.coalesce(f"l.{c}_run", f"r.{c}_off").alias(f"{c}_run") for c in lasts],
@@ -97,7 +134,8 @@ def running(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], bins: int = BINS
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
+    few: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, from running counts.
 
@@ -106,16 +144,15 @@ def exact_quantiles(
     the neighbours of each wanted position are found by their running count.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_k")
+    counts, rows = materialise(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
     )
-    ranked = running(counts, keys, value, sums=["_k"], bins=bins)
+    ranked = running(counts, keys, value, sums=["_k"], rows=rows, few=few)
     if keys:
         # One row per key on the right-hand side.
-        sizes = counts.groupBy(*keys).agg(F.sum("_k").alias("_n"))
-        ranked = ranked.join(sizes, keys, "inner")
+        ranked = ranked.join(counts.groupBy(*keys).agg(F.sum("_k").alias("_n")), keys, "inner")
     else:
-        ranked = ranked.withColumn("_n", counts.agg(F.sum("_k")).scalar())
+        ranked = ranked.withColumn("_n", F.lit(counts.agg(F.sum("_k")).first()[0] or 0))
     picks = []
     for i, p in enumerate(probabilities):
         at = (F.col("_n") - 1) * F.lit(float(p))
@@ -141,13 +178,14 @@ def shuffle_key(id_column: str | Column, seed: int) -> Column:
 
 def shuffled_rank(
     df: DataFrame, strata: Sequence[str], id_column: str, seed: int, rank: str = "rank",
-    size: str | None = None,
+    size: str | None = None, total: str | None = None,
 ) -> DataFrame:
     """Number the rows of each stratum 1..n in a reproducible random order.
 
     The hash is uniform, so its first two hex digits cut every stratum into 256
     even bins; a stratum with most of the table is still spread over them.
-    ``size`` names an optional column with the stratum's row count.
+    ``size`` and ``total`` name optional columns with the row counts of the
+    stratum and of the whole.
     """
     strata = list(strata)
     keyed = df.withColumn("_hash", shuffle_key(id_column, seed)).withColumn(
@@ -160,10 +198,12 @@ def shuffled_rank(
         *strata, "_bin",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(W.partitionBy(*strata)).alias("_size"),
+        F.sum("_n").over(W.partitionBy()).alias("_total"),
     )
     local = keyed.withColumn("_local", F.row_number().over(inside))
     joined = local.alias("l").join(offsets.alias("r"), _null_safe(strata), "inner")
     extra = [F.col("r._size").alias(size)] if size else []
+    extra += [F.col("r._total").alias(total)] if total else []
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
         (F.col("l._local") + F.col("r._offset")).cast("bigint").alias(rank),

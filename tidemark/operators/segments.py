@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio, right_closed_bucket
@@ -28,14 +29,12 @@ def risk_segments(
 
 def segment_summary(df: DataFrame, label: str = "label", segment: str = "segment") -> DataFrame:
     """Size, actual rate and share of every segment."""
-    whole = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(segment)
-        .agg(F.count(F.lit(1)).alias("customers"), F.avg(F.col(label).cast("double")).alias("churn_rate"))
-        .withColumn("_all", whole)
-        .withColumn("share", ratio(F.col("customers"), F.col("_all")))
-        .drop("_all")
+    summary = df.groupBy(segment).agg(
+        F.count(F.lit(1)).alias("customers"), F.avg(F.col(label).cast("double")).alias("churn_rate")
     )
+    # The window spans the handful of segments.
+    whole = F.sum("customers").over(W.partitionBy())
+    return summary.withColumn("share", ratio(F.col("customers"), whole))
 
 
 def with_actions(df: DataFrame, segment: str = "segment", actions: dict[str, str] = ACTIONS) -> DataFrame:

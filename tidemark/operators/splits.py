@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import shuffled_rank
+from tidemark.operators.scan import shuffle_key, shuffled_rank
 
 TEST_WEEKS = 13
 
@@ -113,13 +113,10 @@ def stratified_sample(
     df: DataFrame, strata: Sequence[str], id_column: str, size: int, seed: int = 42
 ) -> DataFrame:
     """Sample ``size`` rows with the stratum shares of the whole; no-op if smaller."""
-    ranked = shuffled_rank(df, strata, id_column, seed, rank="_rank", size="_size")
-    whole = df.agg(F.count(F.lit(1))).scalar()
-    share = F.least(F.lit(1.0), F.lit(float(size)) / whole)
-    return (
-        ranked.withColumn("_share", share)
-        .filter(F.col("_rank") <= F.round(F.col("_size") * F.col("_share")))
-        .drop("_rank", "_size", "_share")
+    ranked = shuffled_rank(df, strata, id_column, seed, rank="_rank", size="_size", total="_total")
+    share = F.least(F.lit(1.0), F.lit(float(size)) / F.col("_total"))
+    return ranked.filter(F.col("_rank") <= F.round(F.col("_size") * share)).drop(
+        "_rank", "_size", "_total"
     )
 
 
@@ -167,6 +164,4 @@ def growing_subsets(
 
 def pick_some(df: DataFrame, id_column: str, n: int = 3, seed: int = 42) -> DataFrame:
     """The same ``n`` pseudo-randomly chosen rows on every run."""
-    from tidemark.operators.scan import shuffle_key
-
     return df.orderBy(shuffle_key(id_column, seed), id_column).limit(n)

@@ -9,6 +9,7 @@ from tidemark.operators import baselines, calendar, features, grains, metrics, m
 from tidemark.plans import tables as t
 from tidemark.plans.oracle import EASTER, on_cells, on_log
 from tidemark.plans.registry import query, rounded
+from tidemark.runtime import cut_lineage
 from tidemark.sources import sales_files
 
 EXTERNALS = list(sales_files.EXTERNALS)
@@ -254,14 +255,14 @@ def calendar_features(spark, folder):
 
 _LAGS = """SELECT "Store", "Dept", ds, y, lag(y, 1) OVER w AS lag_1, lag(y, 2) OVER w AS lag_2, lag(y, 52) OVER w AS lag_52,
   round(CASE WHEN COUNT(y) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) = 4 THEN AVG(y) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) END, 6) AS roll_4,
-  round(CASE WHEN COUNT(y) OVER (w ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING) = 13 THEN AVG(y) OVER (w ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING) END, 6) AS roll_13
+  round(CASE WHEN COUNT(y) OVER (w ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING) = 13 THEN AVG(y) OVER (w ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING) END, 4) AS roll_13
   FROM dept_series WINDOW w AS (PARTITION BY "Store", "Dept" ORDER BY ds)"""
 
 
 @query("lag_features_dept", on_cells(_LAGS))
 def lag_features_dept(spark, folder):
     lagged = features.lag_features(t.dept_series(spark, folder), ["Store", "Dept"])
-    return rounded(lagged, 6, "roll_4", "roll_13")
+    return rounded(rounded(lagged, 6, "roll_4"), 4, "roll_13")
 
 
 @query(
@@ -535,7 +536,7 @@ def cv_error_bands(spark, folder):
 )
 def forecast_bands(spark, folder):
     """Residuals, and the cross-validated band drawn around the last window."""
-    rows = metrics.residuals(fold_forecasts(spark, folder))
+    rows = cut_lineage(metrics.residuals(fold_forecasts(spark, folder)))
     banded = metrics.apply_band(rows.filter(F.col("fold") == 3), metrics.cv_interval(rows))
     out = banded.filter(F.col("yhat").isNotNull()).select("Store", "model", "ds", "residual", "yhat_lo", "yhat_hi")
     return rounded(rounded(out, 3, "residual"), 2, "yhat_lo", "yhat_hi")
@@ -550,7 +551,7 @@ def forecast_bands(spark, folder):
     ),
 )
 def band_coverage(spark, folder):
-    rows = metrics.residuals(fold_forecasts(spark, folder))
+    rows = cut_lineage(metrics.residuals(fold_forecasts(spark, folder)))
     banded = metrics.apply_band(rows.filter(F.col("fold") == 3), metrics.cv_interval(rows))
     return rounded(metrics.interval_coverage(banded), 6, "coverage")
 

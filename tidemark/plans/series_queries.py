@@ -119,12 +119,12 @@ def decompose_additive(spark, folder):
     "decompose_multiplicative_store",
     on_cells(
         _decomposition("/", "*", "store_series", '"Store"')
-        + ' SELECT "Store", ds, observed, round(trend, 6) AS trend, round(seasonal, 8) AS seasonal, round(residual, 8) AS residual FROM parts2'
+        + ' SELECT "Store", ds, observed, round(trend, 1) AS trend, round(seasonal, 8) AS seasonal, round(residual, 8) AS residual FROM parts2'
     ),
 )
 def decompose_multiplicative_store(spark, folder):
     parts = diagnostics.decompose(t.store_series(spark, folder), ["Store"], model="multiplicative")
-    return rounded(rounded(parts, 6, "trend"), 8, "seasonal", "residual")
+    return rounded(rounded(parts, 1, "trend"), 8, "seasonal", "residual")
 
 
 _STRENGTH = """ SELECT "Store", round(greatest(0, 1 - var_samp(residual) / NULLIF(var_samp(seasonal + residual), 0)), 8) AS seasonal_strength,
@@ -284,7 +284,7 @@ def quiet_and_christmas_windows(spark, folder):
             first_value(CASE WHEN y IS NOT NULL THEN pos END IGNORE NULLS) OVER (PARTITION BY "Store", "Dept" ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p1,
             last_value(y IGNORE NULLS) OVER (PARTITION BY "Store", "Dept" ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS y0,
             first_value(y IGNORE NULLS) OVER (PARTITION BY "Store", "Dept" ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS y1 FROM full_grid)
-        SELECT "Store", "Dept", ds, round(COALESCE(y, y0 + (y1 - y0) * (pos - p0) / NULLIF(p1 - p0, 0), y0), 7) AS y
+        SELECT "Store", "Dept", ds, COALESCE(y, y0 + (y1 - y0) * (CAST(pos - p0 AS DOUBLE) / NULLIF(p1 - p0, 0)), y0) AS y
         FROM near WHERE p0 IS NOT NULL AND ds >= DATE '1997-01-01'"""
     ),
 )
@@ -295,7 +295,7 @@ def interpolate_gaps(spark, folder):
     weeks = series.agg(F.array_sort(F.collect_set("ds")).alias("weeks")).scalar()
     grid = series.select("Store", "Dept").distinct().withColumn("ds", F.explode(weeks))
     full = grid.join(series, ["Store", "Dept", "ds"], "left")
-    return rounded(diagnostics.interpolate_gaps(full, ["Store", "Dept"], start="1997-01-01"), 7, "y")
+    return diagnostics.interpolate_gaps(full, ["Store", "Dept"], start="1997-01-01")
 
 
 _SES = """, alphas AS (SELECT UNNEST([0.2, 0.4, 0.8]::DOUBLE[]) AS alpha),
