@@ -14,7 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import materialise, running
+from tidemark.operators.scan import FEW_ROWS, materialise, running
+from tidemark.runtime import right_sized
 
 
 def linear(features: Sequence[str], weights: Sequence[float]) -> Column:
@@ -89,7 +90,7 @@ class CoxModel:
         )
 
 
-def _sums(data: DataFrame, p: int, beta: np.ndarray, features: Sequence[str]):
+def _sums(data: DataFrame, p: int, beta: np.ndarray, features: Sequence[str], rows: int | None):
     """Per-time sums of the risk set, reversed running sums included."""
     weight = F.exp(linear(features, beta))
     x = [F.col(f"`{f}`") for f in features]
@@ -100,7 +101,7 @@ def _sums(data: DataFrame, p: int, beta: np.ndarray, features: Sequence[str]):
         *[F.sum(F.col("_w") * x[j] * x[k]).alias(f"_s{j}_{k}") for j, k in _pairs(p)],
     )
     names = ["_s", *[f"_s{j}" for j in range(p)], *[f"_s{j}_{k}" for j, k in _pairs(p)]]
-    return running(per_time, [], "time", sums=names, descending=True)
+    return running(per_time, [], "time", sums=names, descending=True, rows=rows)
 
 
 def fit_cox(
@@ -109,8 +110,11 @@ def fit_cox(
     """Fit ``event, time`` on numeric feature columns with a ridge of ``alpha``."""
     features = list(features)
     p = len(features)
-    data = df.select("event", "time", *[F.col(f"`{f}`").cast("double").alias(f) for f in features]).persist()
+    data = right_sized(df.select("event", "time", *[F.col(f"`{f}`").cast("double").alias(f) for f in features]))
     try:
+        # Few distinct times are scanned as they are; many are materialised per step.
+        n_times = data.select("time").distinct().count()
+        few = n_times if n_times <= FEW_ROWS else None
         observed = data.agg(
             *[F.sum(F.when(F.col("event"), F.col(f"`{f}`"))).alias(f"e{j}") for j, f in enumerate(features)],
         ).first()
@@ -119,7 +123,7 @@ def fit_cox(
         previous, gradient, step = beta, np.zeros(p), np.zeros(p)
         steps = 0
         for steps in range(1, max_iter + 1):
-            risk = _sums(data, p, beta, features)
+            risk = _sums(data, p, beta, features, few)
             mean = [F.col(f"_s{j}_run") / F.col("_s_run") for j in range(p)]
             row = risk.filter(F.col("_d") > 0).agg(
                 F.sum(F.col("_d") * F.ln("_s_run")).alias("l"),

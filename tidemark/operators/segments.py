@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio, right_closed_bucket
@@ -27,14 +26,28 @@ def risk_segments(
     return df.withColumn("segment", right_closed_bucket(F.col(score), list(cuts), list(names)))
 
 
-def segment_summary(df: DataFrame, label: str = "label", segment: str = "segment") -> DataFrame:
-    """Size, actual rate and share of every segment."""
-    summary = df.groupBy(segment).agg(
-        F.count(F.lit(1)).alias("customers"), F.avg(F.col(label).cast("double")).alias("churn_rate")
+def segment_summary(
+    df: DataFrame, label: str = "label", segment: str = "segment", names: Sequence[str] = SEGMENTS
+) -> DataFrame:
+    """Size, actual rate and share of every segment, empty ones included."""
+    columns = []
+    for i, name in enumerate(names):
+        inside = F.col(segment) == name
+        columns += [
+            F.count_if(inside).alias(f"_n{i}"),
+            F.avg(F.when(inside, F.col(label).cast("double"))).alias(f"_r{i}"),
+        ]
+    row = df.agg(F.count(segment).alias("_all"), *columns)
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias(segment), F.col(f"_n{i}").alias("customers"),
+                F.col(f"_r{i}").alias("churn_rate"), ratio(F.col(f"_n{i}"), F.col("_all")).alias("share"),
+            )
+            for i, name in enumerate(names)
+        ]
     )
-    # The window spans the handful of segments.
-    whole = F.sum("customers").over(W.partitionBy())
-    return summary.withColumn("share", ratio(F.col("customers"), whole))
+    return row.select(F.inline(entries))
 
 
 def with_actions(df: DataFrame, segment: str = "segment", actions: dict[str, str] = ACTIONS) -> DataFrame:

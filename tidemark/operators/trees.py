@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import forecast_metrics
 from tidemark.operators.splits import panel_folds, validation_by_date
-from tidemark.runtime import ensure_checkpoint_dir
+from tidemark.runtime import ensure_checkpoint_dir, right_sized, run_parallel
 
 # The shared booster settings.
 ROUNDS, DEPTH, RATE, ROW_SHARE, COLUMN_SHARE, PATIENCE, SEED = 400, 6, 0.05, 0.8, 0.8, 50, 42
@@ -42,10 +42,10 @@ class TreeModel:
         scored = self.model.transform(assemble(df, self.features, self.features[0]))
         return scored.withColumn(out, F.col("prediction")).drop("features", "label", "prediction")
 
-    def importance(self, df_session) -> DataFrame:
+    def importance(self, session) -> DataFrame:
         """Share of each feature, largest first."""
         rows = [(f, float(v)) for f, v in zip(self.features, self.model.featureImportances.toArray())]
-        return df_session.createDataFrame(rows, "feature STRING, importance DOUBLE").orderBy(
+        return session.createDataFrame(rows, "feature STRING, importance DOUBLE").orderBy(
             F.col("importance").desc(), "feature"
         )
 
@@ -91,7 +91,7 @@ def fit_boosted(
     ensure_checkpoint_dir(train.sparkSession)
     features = list(features)
     columns = [*features, label] + ([validation] if validation else [])
-    ready = assemble(train.select(*dict.fromkeys(columns)), features, label).persist()
+    ready = right_sized(assemble(train.select(*dict.fromkeys(columns)), features, label))
     settings = (depth, rate, row_share, column_share, seed)
     try:
         if validation is None:
@@ -118,7 +118,7 @@ def fit_forest(
     seed: int = SEED,
 ) -> TreeModel:
     """Independent trees on bootstrap samples with all features, averaged."""
-    ready = assemble(train.select(*features, label), features, label).select("features", "label").persist()
+    ready = right_sized(assemble(train.select(*features, label), features, label).select("features", "label"))
     try:
         model = RandomForestRegressor(
             numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed
@@ -169,6 +169,25 @@ def fit_hybrid(
     return trends, scored.withColumn("yhat", F.col("trend") + F.col("_rest")).drop("_rest", "trend")
 
 
+def depth_sweep(
+    train: DataFrame, test: DataFrame, features: Sequence[str], depths: Sequence[int] = (2, 4, 6, 10),
+    validation: str | None = None, label: str = "y", **settings,
+) -> DataFrame:
+    """Error on fitted and on unseen rows for each tree depth, and the gap."""
+    seen = train.filter(~F.col(validation)) if validation else train
+
+    def job(depth: int):
+        model = fit_boosted(train, features, label, validation, depth=depth, **settings)
+        inside, outside = (
+            forecast_metrics(model.predict(part).withColumn("depth", F.lit(depth)), ["depth"], y=label).first()["mape"]
+            for part in (seen, test)
+        )
+        return depth, inside, outside, outside - inside
+
+    rows = run_parallel(train.sparkSession, [lambda d=d: job(d) for d in depths])
+    return train.sparkSession.createDataFrame(rows, "depth INT, train_mape DOUBLE, test_mape DOUBLE, gap DOUBLE")
+
+
 def score_panel(
     panel: DataFrame,
     features: Sequence[str],
@@ -182,20 +201,26 @@ def score_panel(
     The features of a test row use the actual weeks before it, so these are
     one-step forecasts, and are labelled so.
     """
-    scored = None
-    marked = panel_folds(panel, folds).persist()
+    marked = right_sized(panel_folds(panel, folds))
+
+    def job(fold: int) -> DataFrame:
+        rows = marked.filter(F.col("fold") == fold)
+        train = validation_by_date(rows.filter(~F.col("is_test")))
+        test = rows.filter("is_test")
+        if hybrid:
+            _, predicted = fit_hybrid(train, test, features, group, validation="is_val", **settings)
+        else:
+            predicted = fit_boosted(train, features, validation="is_val", **settings).predict(test)
+        return forecast_metrics(predicted, ["fold"])
+
     try:
-        for fold in range(1, folds + 1):
-            rows = marked.filter(F.col("fold") == fold)
-            train = validation_by_date(rows.filter(~F.col("is_test")))
-            test = rows.filter("is_test")
-            if hybrid:
-                _, predicted = fit_hybrid(train, test, features, group, validation="is_val", **settings)
-            else:
-                predicted = fit_boosted(train, features, validation="is_val", **settings).predict(test)
-            part = predicted.select("fold", "y", "yhat")
-            scored = part if scored is None else scored.unionByName(part)
-        table = forecast_metrics(scored, ["fold"]).withColumn("horizon_kind", F.lit("one_step"))
-        return table.sparkSession.createDataFrame(table.collect(), table.schema)  # one row per fold
+        tables = run_parallel(
+            panel.sparkSession, [lambda f=f: job(f).collect()[0] for f in range(1, folds + 1)]
+        )
     finally:
         marked.unpersist()
+    # One measured row per fold.
+    fields = "fold INT, n BIGINT, mae DOUBLE, mse DOUBLE, rmse DOUBLE, mape DOUBLE, r2 DOUBLE"
+    return panel.sparkSession.createDataFrame([tuple(r) for r in tables], fields).withColumn(
+        "horizon_kind", F.lit("one_step")
+    )

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("sales_queries", "series_queries", "customer_queries")
+MODULES = ("sales_queries", "series_queries", "customer_queries", "model_queries")
 
 
 def load_all() -> None:
