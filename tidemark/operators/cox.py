@@ -1,33 +1,55 @@
 """Cox proportional hazards by distributed Newton steps.
 
-Each step is one Spark job: weighted sums per distinct time, reversed running
-sums over the times, and one aggregate row of p + p*p numbers for the driver,
-which solves the p-by-p system.  Tied events follow Breslow.
+Each step sums weights and weighted features per distinct time, runs them
+backwards over the times, and brings p + p*p numbers to the driver, which
+solves the p-by-p system.  Tied events follow Breslow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import FEW_ROWS, materialise, running
-from tidemark.runtime import right_sized
+from tidemark.operators.scan import FEW_ROWS, running
+from tidemark.runtime import cut_lineage, right_sized
 
 
 def linear(features: Sequence[str], weights: Sequence[float]) -> Column:
-    """Weighted sum of feature columns."""
-    total = F.lit(0.0)
-    for name, weight in zip(features, weights):
-        total = total + F.col(f"`{name}`") * F.lit(float(weight))
-    return total
+    """Weighted sum of feature columns.
 
+    The weights are one array literal, so the generated code of a Newton step
+    is the same text every time and is compiled once.
+    """
+    values = F.array(*[F.col(f"`{f}`").cast("double") for f in features])
+    factors = F.array(*[F.lit(float(w)) for w in weights])
+    return F.aggregate(F.zip_with(values, factors, lambda v, w: v * w), F.lit(0.0), lambda a, v: a + v)
 
-def _pairs(p: int) -> list[tuple[int, int]]:
-    return [(j, k) for j in range(p) for k in range(j, p)]
+
+def weighted_gram(df: DataFrame, weight: str, columns: Sequence[str]) -> np.ndarray:
+    """Sum over rows of weight * x * x', as a small matrix on the driver.
+
+    Every partition multiplies its Arrow batches into one p-by-p block; only
+    the cells of those blocks are shuffled and added up.
+    """
+    names, p = list(columns), len(columns)
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = np.zeros((p, p))
+        for batch in batches:
+            x = batch[names].to_numpy(dtype=float)
+            block += x.T @ (x * batch[weight].to_numpy(dtype=float)[:, None])
+        yield pd.DataFrame({"cell": np.arange(p * p, dtype=np.int32), "value": block.ravel()})
+
+    cells = df.select(weight, *[F.col(f"`{c}`") for c in names]).mapInPandas(multiply, "cell INT, value DOUBLE")
+    out = np.zeros(p * p)
+    for row in cells.groupBy("cell").agg(F.sum("value").alias("value")).collect():
+        out[row["cell"]] = row["value"]
+    return out.reshape(p, p)
 
 
 @dataclass
@@ -90,18 +112,40 @@ class CoxModel:
         )
 
 
-def _sums(data: DataFrame, p: int, beta: np.ndarray, features: Sequence[str], rows: int | None):
-    """Per-time sums of the risk set, reversed running sums included."""
-    weight = F.exp(linear(features, beta))
-    x = [F.col(f"`{f}`") for f in features]
-    per_time = data.withColumn("_w", weight).groupBy("time").agg(
+def _risk_sets(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None) -> DataFrame:
+    """Per distinct time: events, weights and weighted features summed over the
+    risk set, and the cumulative hazard up to it."""
+    per_time = data.withColumn("_w", F.exp(linear(features, beta))).groupBy("time").agg(
         F.count_if("event").alias("_d"),
         F.sum("_w").alias("_s"),
-        *[F.sum(F.col("_w") * x[j]).alias(f"_s{j}") for j in range(p)],
-        *[F.sum(F.col("_w") * x[j] * x[k]).alias(f"_s{j}_{k}") for j, k in _pairs(p)],
+        *[F.sum(F.col("_w") * F.col(f"`{f}`")).alias(f"_s{j}") for j, f in enumerate(features)],
+    )
+    names = ["_s", *[f"_s{j}" for j in range(len(features))]]
+    at_risk = running(per_time, [], "time", sums=names, descending=True, rows=rows)
+    with_jump = at_risk.withColumn("_jump", F.col("_d") / F.col("_s_run"))
+    hazard = running(with_jump, [], "time", sums=["_jump"], rows=rows)
+    return cut_lineage(
+        hazard.select(
+            "time", "_d", F.lit(1.0).alias("_one"), F.ln("_s_run").alias("_log"), F.col("_jump_run").alias("_hazard"),
+            *[(F.col(f"_s{j}_run") / F.col("_s_run")).alias(f"_m{j}") for j in range(len(features))],
+        )
     )
-    names = ["_s", *[f"_s{j}" for j in range(p)], *[f"_s{j}_{k}" for j, k in _pairs(p)]]
-    return running(per_time, [], "time", sums=names, descending=True, rows=rows)
+
+
+def _newton_terms(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None):
+    """Log-likelihood part, first moments and information at ``beta``.
+
+    The second moments over risk sets need no running sum: added up over all
+    event times, each row counts once per event time it lived through, so its
+    own moment is weighted by the cumulative hazard at its time.
+    """
+    table = _risk_sets(data, beta, features, rows)
+    p = len(features)
+    means = weighted_gram(table, "_d", ["_one", "_log", *[f"_m{j}" for j in range(p)]])
+    lived = data.join(table.select("time", "_hazard"), ["time"]).withColumn(
+        "_weight", F.exp(linear(features, beta)) * F.col("_hazard")
+    )
+    return means[0, 1], means[0, 2:], weighted_gram(lived, "_weight", features) - means[2:, 2:]
 
 
 def fit_cox(
@@ -123,17 +167,8 @@ def fit_cox(
         previous, gradient, step = beta, np.zeros(p), np.zeros(p)
         steps = 0
         for steps in range(1, max_iter + 1):
-            risk = _sums(data, p, beta, features, few)
-            mean = [F.col(f"_s{j}_run") / F.col("_s_run") for j in range(p)]
-            row = risk.filter(F.col("_d") > 0).agg(
-                F.sum(F.col("_d") * F.ln("_s_run")).alias("l"),
-                *[F.sum(F.col("_d") * mean[j]).alias(f"g{j}") for j in range(p)],
-                *[
-                    F.sum(F.col("_d") * (F.col(f"_s{j}_{k}_run") / F.col("_s_run") - mean[j] * mean[k])).alias(f"h{j}_{k}")
-                    for j, k in _pairs(p)
-                ],
-            ).first()
-            likelihood = float(event_sum @ beta) - (row["l"] or 0.0) - alpha / 2 * float(beta @ beta)
+            log_part, first, information = _newton_terms(data, beta, features, few)
+            likelihood = float(event_sum @ beta) - log_part - alpha / 2 * float(beta @ beta)
             if not np.isfinite(likelihood) or likelihood < best - 1e-9 * abs(best):
                 step = step / 2  # overshot: halve the way from the last good point
                 if np.abs(step).max() < tol:
@@ -142,24 +177,14 @@ def fit_cox(
                 beta = previous + step
                 continue
             best, previous = likelihood, beta
-            gradient = event_sum - np.array([row[f"g{j}"] or 0.0 for j in range(p)]) - alpha * beta
+            gradient = event_sum - first - alpha * beta
             if np.abs(gradient).max() < tol * max(1.0, np.abs(event_sum).max()):
                 break
-            information = np.zeros((p, p))
-            for j, k in _pairs(p):
-                information[j, k] = information[k, j] = row[f"h{j}_{k}"] or 0.0
             step = np.linalg.solve(information + alpha * np.eye(p), gradient)
             beta = beta + step
         beta = previous
-        per_time, rows = materialise(
-            data.withColumn("_w", F.exp(linear(features, beta))).groupBy("time").agg(
-                F.count_if("event").alias("_d"), F.sum("_w").alias("_s")
-            )
-        )
-        at_risk = running(per_time, [], "time", sums=["_s"], descending=True, rows=rows)
-        jumps = at_risk.select("time", (F.col("_d") / F.col("_s_run")).alias("cumulative_hazard"))
-        baseline = running(jumps, [], "time", sums=["cumulative_hazard"]).select(
-            "time", F.col("cumulative_hazard_run").alias("cumulative_hazard")
+        baseline = _risk_sets(data, beta, features, few).select(
+            "time", F.col("_hazard").alias("cumulative_hazard")
         )
     finally:
         data.unpersist()
