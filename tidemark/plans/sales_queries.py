@@ -156,7 +156,7 @@ def grain_store_panel(spark, folder):
     on_cells('SELECT "Store", "Dept", "Date", CAST("Weekly_Sales" AS DOUBLE) AS "Weekly_Sales", "IsHoliday" FROM cells'),
 )
 def grain_dept_panel(spark, folder):
-    panel = grains.dept_panel(t.clean_cells(spark, folder))
+    panel = grains.dept_panel(sales_files.clean_sales(t.sales_table(spark, folder)))
     return panel.withColumn("Weekly_Sales", F.col("Weekly_Sales").cast("double"))
 
 

@@ -8,7 +8,7 @@ are net of returned lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import week_ending
@@ -39,21 +39,31 @@ def shipped_lines(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_shipdate") >= F.lit(first).cast(stamp) - F.expr("INTERVAL 6 DAYS"))
         & (F.col("l_shipdate") < F.lit(after).cast(stamp) + F.expr("INTERVAL 1 DAY"))
     )
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    net = price * (F.lit(1).cast("decimal(1,0)") - discount)
+    cents, percent = _hundredths("l_extendedprice"), _hundredths("l_discount")
+    net = cents * (F.lit(100) - percent)
     return lines.select(
         "l_suppkey", "l_partkey", "l_linenumber",
         week_ending(F.col("l_shipdate")).alias("Date"),
         F.when(F.col("l_returnflag") == "R", -net).otherwise(net).alias("net"),
-        price.alias("price"),
-        (price * discount).alias("saved"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
-        F.col("l_tax").cast("decimal(4,2)").alias("tax"),
-        discount.alias("discount"),
+        cents.alias("price"),
+        (cents * percent).alias("saved"),
+        _hundredths("l_quantity").alias("quantity"),
+        _hundredths("l_tax").alias("tax"),
+        percent.alias("discount"),
     )
 
 
+def _hundredths(column: str) -> Column:
+    """A two-decimal amount as a whole number of hundredths."""
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
+def _total(column: str | Column, unit: str) -> Column:
+    """Exact sum of whole numbers, in decimal so that no size overflows, times a unit."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.sum(value.cast("decimal(18,0)")) * F.lit(unit).cast(f"decimal({len(unit) - 2},{len(unit) - 2})")
+
+
 def _holiday_flag(df: DataFrame, spark: SparkSession) -> DataFrame:
     days = trading_holidays(spark, FIRST_YEAR, LAST_YEAR).select(
         F.col("ds").alias("Date"), F.lit(True).alias("_flag")
@@ -63,18 +73,22 @@ def _holiday_flag(df: DataFrame, spark: SparkSession) -> DataFrame:
     ).drop("_flag")
 
 
-def sales_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Store, Dept, Date, Weekly_Sales, IsHoliday: one row per store, department, week."""
+def sales_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Store, Dept, Date, Weekly_Sales: one row per store, department and week."""
     suppliers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("Store"))
     parts = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("Dept"))
     lines = shipped_lines(spark, folder).select("l_suppkey", "l_partkey", "Date", "net")
-    cells = (
+    return (
         lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("Store", "Dept", "Date")
-        .agg(F.sum("net").alias("Weekly_Sales"))
+        .agg(_total("net", "0.0001").alias("Weekly_Sales"))
     )
-    return _holiday_flag(cells, spark)
+
+
+def sales_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The cells with their holiday flag."""
+    return _holiday_flag(sales_cells(spark, folder), spark)
 
 
 def stores_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,12 +115,12 @@ def features_table(spark: SparkSession, folder: str) -> DataFrame:
         lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("Store", "Date")
         .agg(
-            ratio(F.sum("quantity"), F.count(F.lit(1))).alias("Temperature"),
-            ratio(F.sum("tax"), F.count(F.lit(1))).alias("Fuel_Price"),
-            ratio(F.sum("price"), F.sum("quantity")).alias("CPI"),
-            ratio(F.sum("discount"), F.count(F.lit(1))).alias("Unemployment"),
+            ratio(_total("quantity", "0.01"), F.count(F.lit(1))).alias("Temperature"),
+            ratio(_total("tax", "0.01"), F.count(F.lit(1))).alias("Fuel_Price"),
+            ratio(_total("price", "0.01"), _total("quantity", "0.01")).alias("CPI"),
+            ratio(_total("discount", "0.01"), F.count(F.lit(1))).alias("Unemployment"),
             *[
-                F.sum(F.when(F.col("l_linenumber") % 5 == k - 1, F.col("saved"))).cast("double").alias(f"_m{k}")
+                _total(F.when(F.col("l_linenumber") % 5 == k - 1, F.col("saved")), "0.0001").cast("double").alias(f"_m{k}")
                 for k in range(1, 6)
             ],
         )
@@ -131,7 +145,7 @@ def clean_log(spark: SparkSession, folder: str) -> DataFrame:
 
 def clean_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned sales without the attribute joins, for work that needs sales only."""
-    return clean_sales(sales_table(spark, folder))
+    return clean_sales(sales_cells(spark, folder))
 
 
 def store_series(spark: SparkSession, folder: str) -> DataFrame:
