@@ -160,3 +160,29 @@ def test_risk_quartiles_collapse_equal_edges(spark):
     assert sum(sizes.values()) == 8 and sizes["Low"] == 4
     shares = encode.class_balance(frame, "event").first()
     assert shares.share == 1
+
+
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_ranking_svm_minimises_the_hinge_over_all_pairs(spark, monkeypatch, few):
+    from tidemark.operators import rank_svm
+
+    monkeypatch.setattr(scan, "FEW_ROWS", few)
+    monkeypatch.setattr(scan, "ROWS_PER_BIN", 40)
+    event, time, x, frame = people(spark, 120, seed=6)
+    model = rank_svm.fit_rank_svm(frame, ["x", "z"], alpha=0.01)
+
+    def objective(w):
+        s = x @ w
+        total, slope = 0.5 * w @ w, w.copy()
+        for i in np.flatnonzero(event):
+            later = time > time[i]
+            v = np.maximum(0.0, 1 - s[later] + s[i])
+            total += 0.005 * (v**2).sum()
+            slope = slope + 0.01 * (v[:, None] * (x[i] - x[later])).sum(axis=0)
+        return total, slope
+
+    total, slope = objective(model.weights)
+    assert model.losses[-1] == pytest.approx(total)
+    assert np.abs(slope).max() < 1e-3 * max(1.0, np.abs(objective(np.zeros(2))[1]).max())
+    assert not model.has_survival
+    assert survival.concordance(model.with_risk(frame)).first().c_index > 0.65

@@ -30,26 +30,35 @@ def linear(features: Sequence[str], weights: Sequence[float]) -> Column:
     return F.aggregate(F.zip_with(values, factors, lambda v, w: v * w), F.lit(0.0), lambda a, v: a + v)
 
 
-def weighted_gram(df: DataFrame, weight: str, columns: Sequence[str]) -> np.ndarray:
-    """Sum over rows of weight * x * x', as a small matrix on the driver.
+def cross_gram(df: DataFrame, left: Sequence[str], right: Sequence[str], weight: str | None = None) -> np.ndarray:
+    """Sum over rows of weight * left * right', as a small matrix on the driver.
 
-    Every partition multiplies its Arrow batches into one p-by-p block; only
-    the cells of those blocks are shuffled and added up.
+    Every partition multiplies its Arrow batches into one small block; only the
+    cells of those blocks are shuffled and added up.
     """
-    names, p = list(columns), len(columns)
+    rows, columns = list(left), list(right)
+    shape = (len(rows), len(columns))
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = np.zeros((p, p))
+        block = np.zeros(shape)
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            block += x.T @ (x * batch[weight].to_numpy(dtype=float)[:, None])
-        yield pd.DataFrame({"cell": np.arange(p * p, dtype=np.int32), "value": block.ravel()})
-
-    cells = df.select(weight, *[F.col(f"`{c}`") for c in names]).mapInPandas(multiply, "cell INT, value DOUBLE")
-    out = np.zeros(p * p)
+            values = batch[rows].to_numpy(dtype=float)
+            if weight is not None:
+                values = values * batch[weight].to_numpy(dtype=float)[:, None]
+            block += values.T @ batch[columns].to_numpy(dtype=float)
+        yield pd.DataFrame({"cell": np.arange(block.size, dtype=np.int32), "value": block.ravel()})
+
+    needed = dict.fromkeys([*rows, *columns, *([weight] if weight else [])])
+    cells = df.select(*[F.col(f"`{c}`") for c in needed]).mapInPandas(multiply, "cell INT, value DOUBLE")
+    out = np.zeros(shape[0] * shape[1])
     for row in cells.groupBy("cell").agg(F.sum("value").alias("value")).collect():
         out[row["cell"]] = row["value"]
-    return out.reshape(p, p)
+    return out.reshape(shape)
+
+
+def weighted_gram(df: DataFrame, weight: str, columns: Sequence[str]) -> np.ndarray:
+    """Sum over rows of weight * x * x'."""
+    return cross_gram(df, columns, columns, weight)
 
 
 @dataclass

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio, right_closed_bucket
+from tidemark.operators.pairs import digit_groups
 from tidemark.operators.scan import FEW_ROWS, exact_quantiles, materialise, running
 from tidemark.runtime import cut_lineage
 
@@ -139,12 +140,10 @@ def concordance(
     """Concordance index over all comparable pairs, without forming a pair.
 
     A pair is comparable when the earlier one had the event, or both share the
-    time and only one had it.  Distinct times get ranks; two different ranks
-    first differ in exactly one binary digit, so grouping rows by (digit,
-    leading digits) puts every comparable pair into exactly one group: the
-    earlier row has a 0 there, the later one a 1.  Within a group the pairs are
-    counted from running sums over the risk.  Rows multiply by the number of
-    digits, the logarithm of the number of distinct times.
+    time and only one had it.  Pairs of different times come from
+    ``pairs.digit_groups`` over the time ranks; within a group they are counted
+    from running sums over the risk.  Rows multiply by the number of digits,
+    the logarithm of the number of distinct times.
     """
     keys = list(keys)
     cells, n_cells = materialise(
@@ -156,11 +155,8 @@ def concordance(
     ranks = running(times, [], "_t", sums=["_one"], rows=n_times).select("_t", F.col("_one_run").alias("_rank"))
     ranked = cells.join(ranks, ["_t"])
 
-    digits = F.sequence(F.lit(0), F.lit(max(n_times.bit_length() - 1, 0)))
     by_digit = (
-        ranked.withColumn("_digit", F.explode(digits))
-        .withColumn("_bit", F.expr("shiftright(_rank, _digit) & 1"))
-        .withColumn("_head", F.expr("shiftright(_rank, _digit + 1)"))
+        digit_groups(ranked, n_times)
         .select(
             *keys, "_digit", "_head", "_r",
             F.when((F.col("_bit") == 0) & F.col("_e"), F.col("_n")).otherwise(0).alias("early"),

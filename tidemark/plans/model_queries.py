@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
-    cox, curves, encode, features, grains, hazard_forest, metrics, propensity, segments, splits, survival, trees,
+    cox, curves, encode, features, grains, hazard_forest, metrics, propensity, rank_svm, segments, splits, survival,
+    trees,
 )
 from tidemark.plans import tables as t
 from tidemark.plans.customer_queries import NUMERIC, SEED, survival_table
@@ -311,16 +312,18 @@ def forest_customer_curves(spark, folder):
 
 @query("hazard_model_concordance")
 def hazard_model_concordance(spark, folder):
-    """Train and test concordance of the hazard models, and the gap."""
+    """Train and test concordance of the three models, and the gap."""
     train, test, names = hazard_split(spark, folder)
-    fitted_cox = cox.fit_cox(train, names)
-    forest = hazard_forest.fit_hazard_forest(train, names, trees=20)
     rows = train.unionByName(test)
     keep = ["model", "is_test", "event", "time", "risk"]
-    scored = fitted_cox.with_risk(rows).withColumn("model", F.lit("cox")).select(*keep).unionByName(
-        forest.with_risk(rows, "customer_id").withColumn("model", F.lit("hazard forest")).select(*keep)
-    )
-    table = survival.concordance(scored, ["model", "is_test"])
+    forest = hazard_forest.fit_hazard_forest(train, names, trees=20)
+    scored = [
+        cox.fit_cox(train, names).with_risk(rows).withColumn("model", F.lit("cox")),
+        rank_svm.fit_rank_svm(train, names).with_risk(rows).withColumn("model", F.lit("ranking svm")),
+        forest.with_risk(rows, "customer_id").withColumn("model", F.lit("hazard forest")),
+    ]
+    long = reduce(lambda a, b: a.unionByName(b), [s.select(*keep) for s in scored])
+    table = survival.concordance(long, ["model", "is_test"])
     wide = table.groupBy("model").agg(
         F.max(F.when(~F.col("is_test"), F.col("c_index"))).alias("train_c"),
         F.max(F.when(F.col("is_test"), F.col("c_index"))).alias("test_c"),
@@ -328,6 +331,14 @@ def hazard_model_concordance(spark, folder):
     return wide.withColumn("gap", F.col("train_c") - F.col("test_c"))
 
 
+@query("rank_svm_risk_strata")
+def rank_svm_risk_strata(spark, folder):
+    """Risk quartiles of the ranking model's test scores."""
+    train, test, names = hazard_split(spark, folder)
+    scored = cut_lineage(rank_svm.fit_rank_svm(train, names).with_risk(test))
+    return survival.strata_summary(survival.risk_quartiles(scored))
+
+
 @query("hazard_model_brier")
 def hazard_model_brier(spark, folder):
     """Integrated Brier score of the models that have a survival curve."""
