@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.sources.sales_files import EXTERNALS
+from tidemark.sources.sales_files import EXTERNALS, clean_sales
 
 
-def _mean(column: str, like: DataFrame) -> Column:
+def _mean(column: str) -> Column:
     return F.avg(F.col(column).cast("double")).alias(column)
 
 
@@ -26,7 +26,7 @@ def chain_total(df: DataFrame, by_store: bool = False) -> DataFrame:
     return df.groupBy("Date").agg(
         F.sum("Weekly_Sales").alias("Weekly_Sales"),
         F.max("IsHoliday").alias("IsHoliday"),
-        *[_mean(c, df) for c in EXTERNALS],
+        *[_mean(c) for c in EXTERNALS],
     )
 
 
@@ -37,7 +37,7 @@ def store_panel(df: DataFrame) -> DataFrame:
         F.max("IsHoliday").alias("IsHoliday"),
         F.any_value("Type", True).alias("Type"),
         F.any_value("Size", True).alias("Size"),
-        *[_mean(c, df) for c in EXTERNALS],
+        *[_mean(c) for c in EXTERNALS],
     )
 
 
@@ -46,6 +46,16 @@ def dept_panel(df: DataFrame) -> DataFrame:
     return df
 
 
+def prepare(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Clean the log once and cut the three grains from it.
+
+    Returns chain, stores, departments, and the cached clean log they share;
+    unpersist that one when the grains have been used.
+    """
+    clean = clean_sales(log).persist()
+    return chain_total(clean), store_panel(clean), dept_panel(clean), clean
+
+
 def as_series(
     df: DataFrame, value: str = "Weekly_Sales", keys: Sequence[str] = (), date: str = "Date"
 ) -> DataFrame:

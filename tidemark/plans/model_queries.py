@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
@@ -108,6 +109,26 @@ def hybrid_trend(spark, folder):
     return rounded(carried.select("Store", "ds", "y", "trend"), 3, "trend")
 
 
+@query("trending_control_series")
+def trending_control_series(spark, folder):
+    """Plain against detrended trees on a series with a trend trees cannot follow.
+
+    The cumulative sales of the chain stand in for the trending control series.
+    """
+    ordered = W.orderBy("ds").rowsBetween(W.unboundedPreceding, 0)
+    # One row per week of the chain: the window is as long as the calendar.
+    series = t.chain_series(spark, folder).select("ds", F.sum("y").over(ordered).alias("y"))
+    rows = splits.hold_out_dates(cut_lineage(features.build_features(series)), 52)
+    train, test = splits.validation_by_date(rows.filter(~F.col("is_test"))), rows.filter("is_test")
+    columns = ["week", "week_sin", "week_cos", "t"]
+    plain = trees.fit_boosted(train, columns, validation="is_val", **BUDGET).predict(test)
+    _, hybrid = trees.fit_hybrid(train, test, columns, validation="is_val", **BUDGET)
+    both = plain.select(F.lit("plain").alias("model"), "y", "yhat").unionByName(
+        hybrid.select(F.lit("detrended").alias("model"), "y", "yhat")
+    )
+    return metrics.metrics_table(both)
+
+
 def _regimes(spark, folder, regimes):
     panel = store_features(spark, folder)
 
@@ -274,6 +295,30 @@ def churn_curve_reading(spark, folder):
     return propensity.read_curve(curve, "c")
 
 
+@query("churn_complexity_sweeps")
+def churn_complexity_sweeps(spark, folder):
+    """One complexity knob per family: tree depth, and the size of the network."""
+    train, _, names = _train_test(spark, folder)
+    depth = propensity.validation_curve(
+        propensity.boosted, names, "depth", (1, 3, 5), train, "customer_id", fixed={"rounds": 4, "rate": 0.1}
+    )
+    hidden = propensity.validation_curve(
+        propensity.network, names, "hidden", ((4,), (32, 16)), train, "customer_id", fixed={"max_iter": 20}
+    )
+    return depth.withColumnRenamed("depth", "value").withColumn("knob", F.lit("tree depth")).unionByName(
+        hidden.withColumnRenamed("hidden", "value").withColumn("knob", F.lit("hidden layers"))
+    )
+
+
+@query("churn_high_bias")
+def churn_high_bias(spark, folder):
+    """Does boosting reach clearly more than logistic regression in cross-validation?"""
+    train, _, names = _train_test(spark, folder)
+    simple = propensity.search(propensity.logistic, names, [{"c": 1.0}], train, "customer_id")
+    flexible = propensity.search(propensity.boosted, names, [{"depth": 3, "rate": 0.1, "rounds": 8}], train, "customer_id")
+    return propensity.high_bias(cut_lineage(simple), cut_lineage(flexible.unionByName(simple)))
+
+
 # --------------------------------------------------------------------------
 # Hazard models
 # --------------------------------------------------------------------------
