@@ -91,3 +91,15 @@ def test_baselines_match_their_definitions(weekly):
 def test_future_dates_continue_the_grid(weekly):
     rows = baselines.future_dates(weekly({"a": range(5)}), ["series"], 2).orderBy("step").collect()
     assert [str(r.ds) for r in rows] == ["2010-03-12", "2010-03-19"]
+
+
+def test_both_ways_to_baselines_agree(weekly):
+    values = [float((i * 37) % 52 + i) for i in range(130)]
+    split = splits.hold_out_rows(weekly({"a": values, "b": values[:75]}), ["series"])
+    apart = baselines.baseline_forecasts(split.filter("NOT is_test"), ["series"]).collect()
+    beside = baselines.score_baselines(split, ["series"]).collect()
+    want = {(r.series, r.model, r.step): (r.yhat, r.status) for r in apart}
+    got = {(r.series, r.model, r.step): (r.yhat, r.status) for r in beside}
+    assert want.keys() == got.keys()
+    for key, (yhat, status) in want.items():
+        assert got[key] == (None if yhat is None else pytest.approx(yhat), status)
