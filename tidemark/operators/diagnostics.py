@@ -19,6 +19,7 @@ from tidemark.functions.numbers import ratio
 from tidemark.functions.stats import (
     levinson_partial, student_p, unit_root_critical, unit_root_p,
 )
+from tidemark.runtime import cut_lineage
 
 SEASON = 52
 
@@ -294,13 +295,15 @@ def suitability_report(
 ) -> DataFrame:
     """Everything worth knowing before choosing a model, one row per series.
 
-    The parts are joined on the series keys, one row a side.
+    Five reports read the series, so its table is written once; the parts are
+    joined on the series keys, one row a side.
     """
     keys = list(keys)
     base = df.select(*keys, "ds", "y")
     if not keys:
         base = base.withColumn("_all", F.lit(0))
     on = keys or ["_all"]
+    base = cut_lineage(base)
     lags = autocorrelation(base, on, nlags=period + 8)
     seasonal_lag = lags.groupBy(*on).agg(
         F.max(F.when(F.col("lag") == period, F.col("acf"))).alias("acf_at_period"),

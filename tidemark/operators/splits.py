@@ -69,6 +69,7 @@ def panel_folds(
     df: DataFrame, folds: int = 3, horizon: int = TEST_WEEKS, ds: str = "ds"
 ) -> DataFrame:
     """The same expanding windows cut on distinct dates, aligned over all series."""
+    df = df.filter(F.col(ds).isNotNull())  # the same plan on both sides, so it runs once
     ranked = df.join(F.broadcast(date_positions(df, ds)), [ds], "inner")
     return _explode_folds(ranked, folds, horizon)
 
@@ -93,6 +94,8 @@ def validation_by_date(
     separates independent training sets, such as folds.
     """
     keys = list(keys)
+    for column in [*keys, ds]:
+        df = df.filter(F.col(column).isNotNull())  # the same plan on both sides, so it runs once
     per_date = df.groupBy(*keys, ds).agg(F.count(F.lit(1)).alias("_n"))
     newest = W.partitionBy(*keys).orderBy(F.col(ds).desc())
     tail = F.sum("_n").over(newest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import cox, curves, encode, hazard_forest, lookalike, segments, splits, survival
+from tidemark.operators import curves, encode, lookalike, segments, splits, survival
 from tidemark.plans import tables as t
 from tidemark.plans.oracle import on_customers
 from tidemark.plans.registry import query, rounded
