@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, minhash, toxicity
+from tidemark.llm import bpe, decontaminate, language_id, minhash, toxicity
 from tidemark.llm.registry import table
 from tidemark.runtime import ensure_checkpoint_dir
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a language go."""
@@ -24,7 +27,23 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return minhash.keep_one(docs, words=5)
 
 
-STAGES = [("language_id", identified), ("toxicity", civil), ("minhash_near_dedup", deduplicated)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold a passage of a benchmark item go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE: ids of every text, with digests of ids and of the text decoded from them."""
+    return bpe.encode(docs, bpe.Vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("language_id", identified),
+    ("toxicity", civil),
+    ("minhash_near_dedup", deduplicated),
+    ("benchmark_decontamination", decontaminated),
+    ("byte_bpe", encoded),
+]
 
 #: The stages learn models and follow links, which SQL can't state; tests compare them with brute force.
 ORACLE_SQL = None

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import labelled, language_id, minhash, quality, toxicity
+from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, quality, toxicity, warc
+from tidemark.llm.checks_sql import chat_sql, warc_sql
 from tidemark.llm.registry import query, table
 
+#: Rank file of the public tokenizers that the token queries use.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 @query("op1_language_id")
 def op1_language_id(spark, folder):
@@ -34,3 +39,37 @@ def op6_toxicity(spark, folder):
 @query("op9_minhash_near_dedup")
 def op9_minhash_near_dedup(spark, folder):
     return minhash.group(table(spark, folder, "documents"), words=2)
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark, folder):
+    return html_text.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op3_chat_formatting", chat_sql())
+def op3_chat_formatting(spark, folder):
+    held = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    vocabulary = chat.Vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return chat.read_back(chat.format_turns(held.unionByName(extra), vocabulary), vocabulary)
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, folder):
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark, folder):
+    return divergence.judge(table(spark, folder, "documents"))
+
+
+@query("op8_byte_bpe")
+def op8_byte_bpe(spark, folder):
+    return bpe.round_trip(table(spark, folder, "documents"), bpe.Vocabulary(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
+
+
+@query("op10_warc", warc_sql())
+def op10_warc(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages")).drop("url")

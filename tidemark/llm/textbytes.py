@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 RUN_BYTES = 1 << 20
 HASH_BYTES = 1 << 18
@@ -192,3 +193,22 @@ def filter_rows(df: DataFrame, text: str, function) -> DataFrame:
                 yield batch.filter(pa.array(np.concatenate(masks)))
 
     return df.mapInArrow(batches, df.schema)
+
+
+def bit_field(rows: DataFrame, h: str, bits: int) -> np.ndarray:
+    """A field of ``2 ** bits`` bits with the bit of the top ``bits`` bits of each 64-bit hash set.
+
+    Its size is fixed, so it may go to every task; the more hashes, the more
+    others pass it too, and what passes is always joined exactly afterwards.
+    """
+    place = rows.select(F.shiftrightunsigned(h, 64 - bits).alias("place"))
+    bytes_ = place.select(F.expr("place div 8").alias("byte"), F.expr("shiftleft(1, cast(place % 8 as int))").alias("v")).groupBy("byte").agg(F.bit_or("v").alias("v")).toArrow()
+    field = np.zeros(max(1 << bits >> 3, 1), np.uint8)
+    field[bytes_["byte"].to_numpy()] = bytes_["v"].to_numpy()
+    return field
+
+
+def in_field(h: np.ndarray, field: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes have their bit set."""
+    bit = h.view(np.uint64) >> np.uint64(64 - bits)
+    return (field[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
