@@ -27,18 +27,20 @@ from tidemark.llm import textbytes as tb
 from tidemark.runtime import cut_lineage
 
 THRESHOLD = 80
-BANDS, ROWS = 42, 6
+BANDS, ROWS = 32, 5
 PLACES = BANDS * ROWS
 #: Low bits of each minimum in the signature, and 64-bit words that hold them.
-BITS, WORDS = 2, 8
-#: Six standard deviations of the estimate at a similarity of 0.8.
-SLACK = 0.18
+BITS, WORDS = 2, 5
+#: Over five standard deviations of the estimate at a similarity of 0.8.
+SLACK = 0.2
 #: Sets with fewer members are always compared in full: their estimate is too rough.
 ROUGH = 64
 #: Buckets of up to so many names are compared whole once several components meet in them.
 SMALL = 16
 #: Further bands that cut a larger bucket.
 CUTS = 4
+#: Bits of the field of wanted ids that documents are held against before their sets are made.
+FIELD_BITS = 22
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, hasher: tb.Hasher, word: np.ndarray):
@@ -123,17 +125,27 @@ def sketch(docs: DataFrame, words: int, text: str = "text", key: str = "doc_id")
     return tb.score_rows(named, ["doc_id"], "text", run, "n_shingles long, print_a long, print_b long, signature array<long>, bands array<long>")
 
 
-def sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and the distinct shingle hashes of each row of (doc_id, text)."""
-    maker = None
+def sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """doc_id and the distinct shingle hashes of the rows of (doc_id, text) whose id is wanted.
 
-    def run(data, offsets):
-        nonlocal maker
-        maker = maker or (tb.Hasher(), ~tb.byte_table(tb.WHITE))
-        shingle, edges = shingle_sets(data, offsets, words, *maker)
-        return [pa.array([np.unique(shingle[a:b]).view(np.int64) for a, b in zip(edges[:-1], edges[1:])], pa.list_(pa.int64()))]
+    A bit field of the wanted ids goes to every task, so that of a large table
+    only the sets of few documents are made and shuffled; the join is exact.
+    """
+    place = F.xxhash64("doc_id")
+    field = tb.bit_field(wanted.select(place.alias("h")), "h", FIELD_BITS)
+
+    def batches(stream):
+        hasher, word = tb.Hasher(), ~tb.byte_table(tb.WHITE)
+        for batch in stream:
+            batch = batch.filter(pa.array(tb.in_field(batch.column(2).to_numpy(), field, FIELD_BITS)))
+            for lo, hi, data, offsets in tb.text_runs(batch.column(1)):
+                shingle, edges = shingle_sets(data, offsets, words, hasher, word)
+                sets = pa.array([np.unique(shingle[a:b]).view(np.int64) for a, b in zip(edges[:-1], edges[1:])], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), sets], names=["doc_id", "members"])
 
-    return tb.score_rows(docs.select("doc_id", "text"), ["doc_id"], "text", run, "members array<long>")
+    kind = dict(docs.dtypes)["doc_id"]
+    held = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", place.alias("h"))
+    return held.mapInArrow(batches, f"doc_id {kind}, members array<long>").join(wanted, "doc_id", "left_semi")
 
 
 def estimate(left: str, right: str):
@@ -159,8 +171,8 @@ def promising(pairs: DataFrame, names: DataFrame, threshold: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold: 100 * common >= threshold * union."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = sets_of(docs.join(wanted, "doc_id"), words)
+    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    sets = sets_of(docs, wanted, words)
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("members").alias(f"m{c}"))
     common = F.size(F.array_intersect("ma", "mb"))
     union = F.size("ma") + F.size("mb") - F.col("common")
@@ -168,7 +180,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) ->
     return both.where(F.lit(100) * F.col("common") >= F.lit(threshold) * union).select("a", "b").distinct()
 
 
-def _unsettled(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame) -> DataFrame:
     """Pairs of names in different components that share a bucket.
 
     Buckets with one component have nothing left to find.  Buckets of up to
@@ -187,9 +199,10 @@ def _unsettled(buckets: DataFrame, groups: DataFrame) -> DataFrame:
         right = rows.where(F.col("m") <= SMALL).select("h", F.col("name").alias("b"), F.col("found").alias("fb"))
         return left.join(right, "h").where((F.col("a") > F.col("b")) & (F.col("fa") != F.col("fb"))).select("a", "b")
 
-    first = split(held)
+    first = cut_lineage(split(held))
+    large = first.where(F.col("m") > SMALL).join(names.select(F.col("doc_id").alias("name"), "bands"), "name")
     cuts = F.array(*[F.xxhash64(F.col("h"), F.element_at("bands", (F.pmod(F.col("band") + k, F.lit(BANDS)) + 1).cast("int"))) for k in range(1, CUTS + 1)])
-    finer = split(first.where(F.col("m") > SMALL).select(F.explode(cuts).alias("h"), "name", "found"))
+    finer = split(large.select(F.explode(cuts).alias("h"), "name", "found"))
     pivots = finer.where((F.col("m") > SMALL) & (F.col("name") != F.col("pivot"))).select(F.col("name").alias("a"), F.col("pivot").alias("b"))
     return whole(first).unionByName(whole(finer)).unionByName(pivots).distinct()
 
@@ -219,7 +232,7 @@ def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str
     links = cut_lineage(confirmed(cut_lineage(best), named, words, threshold))
     groups = components.connected(links)
 
-    rest = _unsettled(buckets.join(names.select(F.col("doc_id").alias("name"), "bands"), "name"), groups)
+    rest = _unsettled(buckets, groups, names)
     more = cut_lineage(promising(rest, names, threshold))
     links = links.unionByName(confirmed(more, named, words, threshold))
     groups = components.connected(links)
