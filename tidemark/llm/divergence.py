@@ -36,20 +36,20 @@ MOST_CHARS, MOST_WORDS = 0.30, 0.295
 def _in_words(df: DataFrame, words: str) -> DataFrame:
     """Columns n_words, word_chars and n_repeat_words from an array of words.
 
-    Windows of three words are compared as 64-bit hashes.  Hash and position
-    are packed into one number, as many low bits as positions need, so one sort
-    of numbers brings equal windows together in order of their positions.
+    Windows of three words are compared as 64-bit hashes.  If two are equal,
+    hash and position are packed into one number, as many low bits as positions
+    need, so one sort of numbers brings equal windows together in order of
+    their positions.
     """
     n = F.size(words)
-    df = df.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "_h": F.transform(words, lambda w: F.xxhash64(w))})
-    df = df.withColumn("_bits", F.length(F.bin(n.cast("long"))))
-    windows = F.transform(
-        F.slice("_h", F.lit(1), F.greatest(F.col("n_words").cast("int") - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("_h", i + 1), F.get("_h", i + 2))
-    )
-    packed = F.transform(windows, lambda x, i: F.call_function("shiftleft", x, F.col("_bits")).bitwiseOR(i.cast("long")))
-    df = df.withColumn("_p", F.sort_array(packed))
-    top = lambda x: F.call_function("shiftrightunsigned", x, F.col("_bits"))
-    twice = lambda x, i: F.coalesce(top(F.get("_p", i - 1)) == top(x), F.lit(False)) | F.coalesce(top(F.get("_p", i + 1)) == top(x), F.lit(False))
+    window = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window)).otherwise(F.array().cast("array<bigint>"))
+    df = df.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "_h": windows, "_bits": F.length(F.bin(n.cast("long")))})
+    packed = F.transform("_h", lambda x, i: F.call_function("shiftleft", x, F.col("_bits")).bitwiseOR(i.cast("long")))
+    some = F.size(F.array_distinct("_h")) < F.size("_h")
+    df = df.withColumn("_p", F.when(some, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
+    apart = lambda x, y: F.call_function("shiftrightunsigned", x.bitwiseXOR(F.coalesce(y, F.bitwise_not(x))), F.col("_bits"))
+    twice = lambda x, i: (apart(x, F.get("_p", i - 1)) == 0) | (apart(x, F.get("_p", i + 1)) == 0)
     low = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
     df = df.withColumn("_at", F.sort_array(F.transform(F.filter("_p", twice), lambda x: x.bitwiseAND(low))))
     fresh = F.transform("_at", lambda p, i: F.least(F.lit(3).cast("long"), p - F.coalesce(F.get("_at", i - 1), F.lit(-3).cast("long"))))
