@@ -207,7 +207,8 @@ def importances(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
                     continue
                 seen.add(mark)
                 for (path, kind), values in features(parse(page or "")).items():
-                    count[host, path, 2, 0] += 1
+                    if kind == 0:  # once for each path of the page
+                        count[host, path, 2, 0] += 1
                     for value in values:
                         count[host, path, kind, value] += 1
             if count:

@@ -88,6 +88,8 @@ class LanguageModel:
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         n = len(offsets) - 1
+        if not self.families:
+            return ["und"] * n, np.zeros(n)
         total, count = np.zeros((n, self.weights.shape[1])), np.zeros(n)
         for at, bucket in _grams(data, offsets):
             edges = np.searchsorted(at, offsets)
@@ -148,7 +150,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, text: str =
     """Fit on at most ``rows_per_language`` rows of each language, taken by the hash of the id.
 
     Held-out rows, rows without language, text or id are not used.  The model
-    of a table without usable rows names every text with letters ``und``.
+    of a table without usable rows knows no language: every text is ``und``.
     """
     usable = docs.where(~held_out(key) & F.col("lang").isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
