@@ -187,11 +187,11 @@ def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame) -> DataF
     ``SMALL`` names are compared whole, larger ones are cut by the next bands
     first; of a cut that is still larger, every name meets the smallest name.
     """
-    held = buckets.join(groups.select(F.col("node").alias("name"), F.col("component").alias("found")), "name", "left")
+    held = buckets.drop("pivot").join(groups.select(F.col("node").alias("name"), F.col("component").alias("found")), "name", "left")
     held = held.withColumn("found", F.coalesce("found", "name"))
 
     def split(rows):
-        sizes = rows.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"), F.min("name").alias("pivot"), F.count("*").alias("m"))
+        sizes = rows.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"), F.min(F.struct("name", "found")).alias("pivot"), F.count("*").alias("m"))
         return rows.join(sizes.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "h")
 
     def whole(rows):
@@ -203,7 +203,7 @@ def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame) -> DataF
     large = first.where(F.col("m") > SMALL).join(names.select(F.col("doc_id").alias("name"), "bands"), "name")
     cuts = F.array(*[F.xxhash64(F.col("h"), F.element_at("bands", (F.pmod(F.col("band") + k, F.lit(BANDS)) + 1).cast("int"))) for k in range(1, CUTS + 1)])
     finer = split(large.select(F.explode(cuts).alias("h"), "name", "found"))
-    pivots = finer.where((F.col("m") > SMALL) & (F.col("name") != F.col("pivot"))).select(F.col("name").alias("a"), F.col("pivot").alias("b"))
+    pivots = finer.where((F.col("m") > SMALL) & (F.col("found") != F.col("pivot.found"))).select(F.col("name").alias("a"), F.col("pivot.name").alias("b"))
     return whole(first).unionByName(whole(finer)).unionByName(pivots).distinct()
 
 
