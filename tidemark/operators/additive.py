@@ -114,7 +114,7 @@ def with_effects(rows: DataFrame, holidays: DataFrame | None, on: Sequence[str]
     if holidays is None:
         return rows.withColumn("effects", F.array().cast("array<string>"))
     hits = holiday_windows(holidays).groupBy(*on).agg(F.collect_set("effect").alias("effects"))
-    return rows.join(F.broadcast(hits), list(on), "left").withColumn(
+    return rows.join(hits, list(on), "left").withColumn(
         "effects", F.coalesce("effects", F.array().cast("array<string>"))
     )
 

@@ -24,19 +24,26 @@ def _rows(spark: SparkSession, first_year: int, last_year: int, rules: dict[str,
     )
 
 
-def trading_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """The four trading events of the sales log as the Friday that ends their week.
-
-    Each reaches three days back and two days ahead.
-    """
-    year = F.col("year")
-    rules = {
+def _trading_rules(year: Column) -> dict[str, Column]:
+    return {
         "Superbowl": nth_weekday(year, 2, 2, "Fri"),
         "Labor Day": week_ending(nth_weekday(year, 9, 1, "Mon")),
         "Thanksgiving": week_ending(nth_weekday(year, 11, 4, "Thu")),
         "Christmas": last_weekday(year, 12, "Fri"),
     }
-    return _rows(spark, first_year, last_year, rules, -3, 2)
+
+
+def trading_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """The four trading events of the sales log as the Friday that ends their week.
+
+    Each reaches three days back and two days ahead.
+    """
+    return _rows(spark, first_year, last_year, _trading_rules(F.col("year")), -3, 2)
+
+
+def is_trading_holiday(day: Column) -> Column:
+    """True on the Friday that ends the week of a trading event, in any year."""
+    return F.coalesce(day.isin(*_trading_rules(F.year(day)).values()), F.lit(False))
 
 
 def national_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:

@@ -105,12 +105,14 @@ class CoxModel:
             .drop("_h")
         )
 
-    def curves(self, df: DataFrame, id_column: str) -> DataFrame:
+    def curves(self, df: DataFrame, id_column: str, most: int = 1_000) -> DataFrame:
         """Full curves of picked customers, one row per customer and time step.
 
-        Meant for a handful of customers (see ``splits.pick_some``): they are
-        the side that is copied to the baseline's rows, so nothing is shuffled.
+        Meant for a handful of customers (see ``splits.pick_some``), ``most`` of
+        them: they are copied to the baseline's rows, so nothing is shuffled.
         """
+        if df.limit(most + 1).count() > most:
+            raise ValueError(f"full curves are for up to {most} customers")
         picked = self.with_risk(df).agg(
             F.collect_list(F.struct(F.col(id_column), F.col("risk")))
         ).scalar()

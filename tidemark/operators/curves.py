@@ -135,7 +135,10 @@ def evaluate_scores(
     """The six measures of a scored frame, one row per group."""
     by = list(by)
     ranked, cut = ranking_metrics(df, by, label, score), threshold_metrics(df, by, label, score)
-    return cut.join(ranked, by) if by else cut.join(ranked)
+    if by:
+        return cut.join(ranked, by)
+    # one row on either side
+    return cut.withColumn("_one", F.lit(1)).join(ranked.withColumn("_one", F.lit(1)), ["_one"]).drop("_one")
 
 
 def _with_totals(ranked: DataFrame, by: list[str]) -> DataFrame:

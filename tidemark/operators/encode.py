@@ -18,6 +18,9 @@ def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """All columns that may be features: everything but keys, labels and leaks."""
     return [c for c in df.columns if c not in set(exclude)]
 
+#: Categories of a column that one_hot makes columns of, at most.
+MOST_CATEGORIES = 1_000
+
 
 def columns_of(df: DataFrame, kind) -> list[str]:
     """Column names whose type is ``kind``, from the schema."""
@@ -61,10 +64,15 @@ def encode_features(
 def one_hot(df: DataFrame, columns: Sequence[str], categories: dict[str, list[str]] | None = None):
     """Indicator columns for every category but the alphabetically first.
 
-    Category lists are read from the frame unless given; they must be short
-    enough to be columns.  Returns the frame and the new column names.
+    Category lists are read from the frame unless given.  A column with more
+    than ``MOST_CATEGORIES`` of them is an error: that many are no columns.
+    Returns the frame and the new column names.
     """
     if categories is None:
+        sizes = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first() if columns else {}
+        wide = [c for c in columns if sizes[c] > MOST_CATEGORIES]
+        if wide:
+            raise ValueError(f"{', '.join(wide)}: more than {MOST_CATEGORIES} categories")
         row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns]).first()
         categories = {c: list(row[c]) for c in columns}
     names = {f"{c}_{v}": F.when(F.col(c) == v, 1.0).otherwise(0.0) for c in columns for v in categories[c][1:]}

@@ -46,28 +46,35 @@ def metrics_table(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def weighted_error(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """Sum of absolute errors over sum of actuals: large series count for more."""
+    """Sum of absolute errors over sum of actuals: large series count for more.
+
+    Both sums are over the rows that have a forecast.
+    """
+    actual = F.when(F.col("yhat").isNotNull(), F.col("y"))
     return df.groupBy(*by).agg(
-        (ratio(F.sum(F.abs(F.col("y") - F.col("yhat"))), F.sum("y")) * 100).alias("wape")
+        (ratio(F.sum(F.abs(F.col("y") - F.col("yhat"))), F.sum(actual)) * 100).alias("wape")
     )
 
 
 def fold_summary(scores: DataFrame, metric: str = "mape", model: str = "model") -> DataFrame:
-    """Mean, range and folds won per model; ``scores`` has one row per (model, fold)."""
-    ranked = scores.withColumn("_rank", F.rank().over(W.partitionBy("fold").orderBy(metric)))
+    """Mean, range and folds won per model; ``scores`` has one row per (model, fold).
+
+    A model without a value in a fold cannot win it.
+    """
+    ranked = scores.withColumn("_rank", F.rank().over(W.partitionBy("fold").orderBy(F.col(metric).asc_nulls_last())))
     return ranked.groupBy(model).agg(
         F.avg(metric).alias("mean"),
         F.min(metric).alias("min"),
         F.max(metric).alias("max"),
         (F.max(metric) - F.min(metric)).alias("spread"),
-        F.count_if(F.col("_rank") == 1).alias("folds_won"),
+        F.count_if((F.col("_rank") == 1) & F.col(metric).isNotNull()).alias("folds_won"),
         F.count(F.lit(1)).alias("folds"),
     )
 
 
 def tournament_winner(scores: DataFrame, metric: str = "mape", model: str = "model") -> DataFrame:
-    """The model with the lowest mean over folds; ties go to the first name."""
-    return fold_summary(scores, metric, model).orderBy("mean", model).limit(1)
+    """The model with the lowest mean over folds; ties go to the first name, a model without values loses to any other."""
+    return fold_summary(scores, metric, model).orderBy(F.col("mean").asc_nulls_last(), model).limit(1)
 
 
 def compare_on_folds(

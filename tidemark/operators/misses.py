@@ -30,8 +30,8 @@ def explain_misses(
     before = labels.select(F.col("ds").alias("last_year"), F.col("event").alias("_before"))
     rows = (
         scored.withColumn("last_year", F.date_sub("ds", 7 * period))
-        .join(F.broadcast(now), ["ds"], "left")
-        .join(F.broadcast(before), ["last_year"], "left")
+        .join(now, ["ds"], "left")
+        .join(before, ["last_year"], "left")
         .withColumns({"_now": F.coalesce("_now", F.lit("")), "_before": F.coalesce("_before", F.lit(""))})
     )
     differ = F.col("_now") != F.col("_before")

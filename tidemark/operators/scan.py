@@ -26,6 +26,8 @@ from tidemark.runtime import cut_lineage
 FEW_ROWS = 100_000
 ROWS_PER_BIN = 50_000
 MAX_BINS = 4096
+#: Hex digits of the hash that name a bin of a stratum: 65,536 bins.
+HASH_DIGITS = 4
 
 
 def materialise(df: DataFrame) -> tuple[DataFrame, int]:
@@ -178,18 +180,19 @@ def shuffle_key(id_column: str | Column, seed: int) -> Column:
 
 def shuffled_rank(
     df: DataFrame, strata: Sequence[str], id_column: str, seed: int, rank: str = "rank",
-    size: str | None = None, total: str | None = None,
+    size: str | None = None, total: str | None = None, digits: int = HASH_DIGITS,
 ) -> DataFrame:
     """Number the rows of each stratum 1..n in a reproducible random order.
 
-    The hash is uniform, so its first two hex digits cut every stratum into 256
-    even bins; a stratum with most of the table is still spread over them.
+    The hash is uniform, so its first ``digits`` hex digits cut every stratum
+    into 16 ** digits even bins; a stratum with most of the table is still
+    spread over them.  The ranks do not depend on the number of digits.
     ``size`` and ``total`` name optional columns with the row counts of the
     stratum and of the whole.
     """
     strata = list(strata)
     keyed = df.withColumn("_hash", shuffle_key(id_column, seed)).withColumn(
-        "_bin", F.substring("_hash", 1, 2)
+        "_bin", F.substring("_hash", 1, digits)
     )
     inside = W.partitionBy(*strata, "_bin").orderBy("_hash", id_column)
     before = W.partitionBy(*strata).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)

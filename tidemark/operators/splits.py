@@ -108,8 +108,7 @@ def validation_by_date(
         .withColumn("is_val", fits)
         .select(*keys, ds, "is_val")
     )
-    # At most one row per training set and calendar day.
-    return df.join(F.broadcast(cuts), [*keys, ds], "inner")
+    return df.join(cuts, [*keys, ds], "inner")
 
 
 def stratified_sample(

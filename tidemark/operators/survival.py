@@ -276,15 +276,16 @@ def mean_dynamic_auc(auc: DataFrame, test: DataFrame, keys: Sequence[str] = ())
 
 
 def brier_scores(
-    train: DataFrame, predictions: DataFrame, keys: Sequence[str] = ()
+    train: DataFrame, scored_curves: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Censoring-corrected squared error of S(t) at every grading time.
 
-    ``predictions`` holds ``time, event, t, surv``: one row per customer and t.
+    ``scored_curves`` holds ``time, event, t, surv``: one row per customer and t.
+    A customer whose censoring weight is 0 has no loss and is not averaged.
     """
     keys = list(keys)
-    weighted = _censoring_weights(train, predictions)
-    grading = predictions.select(F.col("t").alias("time")).distinct()
+    weighted = _censoring_weights(train, scored_curves)
+    grading = scored_curves.select(F.col("t").alias("time")).distinct()
     at_t = step_values(grading, kaplan_meier(train, reverse=True)).select(
         F.col("time").alias("t"), F.col("surv").alias("g_t")
     )
@@ -292,8 +293,8 @@ def brier_scores(
     case = F.col("event") & (F.col("time") <= F.col("t"))
     control = F.col("time") > F.col("t")
     loss = (
-        F.when(case, F.coalesce(ratio(F.col("surv") * F.col("surv"), F.col("g")), F.lit(0.0)))
-        .when(control, F.coalesce(ratio((1 - F.col("surv")) * (1 - F.col("surv")), F.col("g_t")), F.lit(0.0)))
+        F.when(case, ratio(F.col("surv") * F.col("surv"), F.col("g")))
+        .when(control, ratio((1 - F.col("surv")) * (1 - F.col("surv")), F.col("g_t")))
         .otherwise(0.0)
     )
     return rows.groupBy(*keys, "t").agg(F.avg(loss).alias("brier"))

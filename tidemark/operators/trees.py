@@ -23,9 +23,9 @@ ROUNDS, DEPTH, RATE, ROW_SHARE, COLUMN_SHARE, PATIENCE, SEED = 400, 6, 0.05, 0.8
 
 
 def assemble(df: DataFrame, features: Sequence[str], label: str = "y") -> DataFrame:
-    """Add ``features`` and ``label`` columns for MLlib."""
+    """Add ``features`` and ``label`` columns for MLlib; rows without a feature or label are not fitted."""
     ready = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return ready.transform(df).withColumn("label", F.col(label).cast("double"))
+    return ready.transform(df).withColumn("label", F.col(label).cast("double")).where(F.col("label").isNotNull())
 
 
 @dataclass
@@ -39,8 +39,14 @@ class TreeModel:
     losses: list[float] = field(default_factory=list)
 
     def predict(self, df: DataFrame, out: str = "yhat") -> DataFrame:
-        scored = self.model.transform(assemble(df, self.features, self.features[0]))
-        return scored.withColumn(out, F.col("prediction")).drop("features", "label", "prediction")
+        """All rows of ``df`` with their forecast, NULL where a feature is missing."""
+        whole = F.lit(True)
+        for name in self.features:
+            whole = whole & F.col(name).isNotNull()
+        filled = {f"_in_{k}": F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for k, name in enumerate(self.features)}
+        ready = VectorAssembler(inputCols=list(filled), outputCol="features", handleInvalid="keep").transform(df.withColumns(filled))
+        scored = self.model.transform(ready)
+        return scored.withColumn(out, F.when(whole, F.col("prediction"))).drop("features", "prediction", *filled)
 
     def importance(self, session) -> DataFrame:
         """Share of each feature, largest first."""
@@ -137,9 +143,19 @@ def group_trends(train: DataFrame, group: Sequence[str] = (), y: str = "y", t: s
 
 
 def add_trend(df: DataFrame, trends: DataFrame, group: Sequence[str] = (), t: str = "t") -> DataFrame:
-    """The line of each row's group at the row's counter, as column ``trend``."""
+    """The line of each row's group at the row's counter, as column ``trend``.
+
+    A group without a line, as it is new or has one point only, gets the mean
+    of the lines of the others.
+    """
     if group:
-        joined = df.join(trends, list(group), "inner")
+        mean = trends.select(F.struct(F.avg("trend_slope").alias("slope"), F.avg("trend_intercept").alias("intercept"))).scalar()
+        joined = df.join(trends, list(group), "left").withColumn("_mean", mean)
+        known = F.col("trend_slope").isNotNull()
+        joined = joined.withColumns({
+            "trend_intercept": F.when(known, F.col("trend_intercept")).otherwise(F.col("_mean.intercept")),
+            "trend_slope": F.coalesce("trend_slope", F.col("_mean.slope")),
+        }).drop("_mean")
     else:
         line = trends.select(F.struct("trend_slope", "trend_intercept")).scalar()
         joined = df.withColumn("_line", line).select("*", "_line.trend_slope", "_line.trend_intercept").drop("_line")

@@ -31,17 +31,20 @@ def customer_table(spark, folder):
 @query(
     "customers_combined",
     on_customers(
-        """SELECT 'a:' || CAST(customer_id AS VARCHAR) AS customer_id, segment, balance, churn FROM customers WHERE balance > 0 AND tenure > 0
-        UNION ALL SELECT 'b:' || CAST(customer_id AS VARCHAR), segment, balance, churn FROM customers WHERE tenure <= 24 AND balance > 0 AND tenure > 0"""
+        """SELECT CASE customer_id % 2 WHEN 0 THEN 'a:' ELSE 'b:' END || CAST(customer_id // 2 AS VARCHAR) AS customer_id,
+        segment, balance, churn FROM customers WHERE balance > 0"""
     ),
 )
 def customers_combined(spark, folder):
-    """Two overlapping parts with colliding ids; rows with a missing value drop out."""
-    customers = t.customer_table(spark, folder)
-    gaps = customers.select(
-        "customer_id", "segment", "tenure", F.when(F.col("balance") > 0, F.col("balance")).alias("balance"), "churn"
-    ).filter(F.col("tenure") > 0)
-    parts = {"a": gaps.drop("tenure"), "b": gaps.filter(F.col("tenure") <= 24).drop("tenure")}
+    """Two parts, numbered alike, that hold all customers; rows with a missing value drop out."""
+    customers = t.customer_table(spark, folder).select(
+        "customer_id", "segment", F.when(F.col("balance") > 0, F.col("balance")).alias("balance"), "churn"
+    )
+    half = F.floor(F.col("customer_id") / 2)
+    parts = {
+        name: customers.filter(F.col("customer_id") % 2 == odd).withColumn("customer_id", half)
+        for name, odd in (("a", 0), ("b", 1))
+    }
     return combine_customers(parts, "customer_id", "churn")
 
 
@@ -486,7 +489,7 @@ _BRIER = """pr AS (SELECT gw.*, t, exp(-t / (risk * 4 + 1)) AS sp, COALESCE((SEL
   br AS (SELECT t, AVG(CASE WHEN event AND time <= t THEN sp * sp / gt WHEN time > t THEN (1 - sp) * (1 - sp) / g_t ELSE 0 END) AS brier FROM pr GROUP BY 1)"""
 
 
-def _curve_predictions(test):
+def _scored_curves(test):
     return test.withColumn("t", F.explode("eval_times")).withColumn(
         "surv", F.exp(-F.col("t") / (F.col("risk") * 4 + 1))
     )
@@ -498,7 +501,7 @@ def _curve_predictions(test):
 )
 def brier_scores(spark, folder):
     train, test, _ = _split(spark, folder)
-    return rounded(rounded(survival.brier_scores(train, _curve_predictions(test)), 9, "brier"), 6, "t")
+    return rounded(rounded(survival.brier_scores(train, _scored_curves(test)), 9, "brier"), 6, "t")
 
 
 @query(
@@ -511,7 +514,7 @@ def brier_scores(spark, folder):
 )
 def integrated_brier(spark, folder):
     train, test, _ = _split(spark, folder)
-    scores = survival.brier_scores(train, _curve_predictions(test))
+    scores = survival.brier_scores(train, _scored_curves(test))
     return rounded(survival.integrated_brier(scores), 9, "integrated_brier")
 
 

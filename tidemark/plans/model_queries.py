@@ -393,8 +393,8 @@ def hazard_model_brier(spark, folder):
     fitted_cox = cox.fit_cox(train, names)
     forest = hazard_forest.fit_hazard_forest(train, names, trees=20)
     keep = ["model", "event", "time", "t", "surv"]
-    predictions = fitted_cox.survival_at(inside, window.times).withColumn("model", F.lit("cox")).select(*keep).unionByName(
+    scored_curves = fitted_cox.survival_at(inside, window.times).withColumn("model", F.lit("cox")).select(*keep).unionByName(
         forest.survival_at(inside, "customer_id", window.times).withColumn("model", F.lit("hazard forest")).select(*keep)
     )
-    scores = survival.brier_scores(train, cut_lineage(predictions), ["model"])
+    scores = survival.brier_scores(train, cut_lineage(scored_curves), ["model"])
     return survival.integrated_brier(scores, ["model"])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 HOLIDAYS = """
-years AS (SELECT CAST(range AS INTEGER) AS yr FROM range(1995, 2003)),
+years AS (SELECT CAST(unnest(range(lo, hi)) AS INTEGER) AS yr
+  FROM (SELECT year(MIN(l_shipdate)) AS lo, year(MAX(l_shipdate)) + 2 AS hi FROM lineitem)),
 holidays AS (
   SELECT 'Superbowl' AS holiday, d AS ds FROM (
     SELECT yr, make_date(yr, 2, 1) + CAST((12 - isodow(make_date(yr, 2, 1))) % 7 + 7 AS INTEGER) AS d FROM years)
@@ -26,7 +27,6 @@ lines AS (
     CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(12,2))
       * (1 - CAST(l_discount AS DECIMAL(4,2))) AS net
   FROM lineitem
-  WHERE l_shipdate >= TIMESTAMP '1995-01-07' AND l_shipdate < TIMESTAMP '2001-11-03'
 ),
 sales AS (
   SELECT s_nationkey AS "Store", p_brand AS "Dept", lines."Date", SUM(net) AS "Weekly_Sales",

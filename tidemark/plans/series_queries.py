@@ -365,8 +365,8 @@ def forecaster_comparison(spark, folder):
 
 def _calendars(spark, folder):
     """Three candidate calendars under one column: own, plus national, plus Easter."""
-    own = calendar.trading_holidays(spark, t.FIRST_YEAR, t.LAST_YEAR)
-    national = calendar.national_holidays(spark, t.FIRST_YEAR, t.LAST_YEAR)
+    own = calendar.trading_holidays(spark, *t.calendar_years(spark, folder))
+    national = calendar.national_holidays(spark, *t.calendar_years(spark, folder))
     grid = calendar.weekly_grid(t.chain_series(spark, folder), ahead_weeks=60)
     return (
         own.withColumn("calendar", F.lit("own"))
@@ -377,7 +377,7 @@ def _calendars(spark, folder):
 
 def _chain_split_with_effects(spark, folder):
     split = splits.hold_out_rows(t.chain_series(spark, folder))
-    return additive.with_effects(split, calendar.trading_holidays(spark, t.FIRST_YEAR, t.LAST_YEAR))
+    return additive.with_effects(split, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
 
 
 @query("additive_chain")
@@ -390,7 +390,7 @@ def additive_chain(spark, folder):
 def additive_future(spark, folder):
     """Thirteen weeks beyond the data for every store."""
     rows = additive.extend_rows(t.store_series(spark, folder), ["Store"], 13)
-    holidays = calendar.trading_holidays(spark, t.FIRST_YEAR, t.LAST_YEAR)
+    holidays = calendar.trading_holidays(spark, *t.calendar_years(spark, folder))
     fitted = additive.additive_forecast(additive.with_effects(rows, holidays), ["Store"])
     return additive.forecast_for_dates(fitted.filter("is_test"), rows.filter("is_test"))
 
@@ -447,6 +447,6 @@ def calendar_comparison(spark, folder):
 def calendar_easter_miss(spark, folder):
     """The Easter week's miss under each calendar, in the folds that contain one."""
     chain = t.chain_series(spark, folder)
-    events = calendar.calendar_events(chain, calendar.trading_holidays(spark, t.FIRST_YEAR, t.LAST_YEAR))
+    events = calendar.calendar_events(chain, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
     table = misses.explain_misses(_calendar_fits(spark, folder), events, ["fold", "calendar"])
     return table.filter(F.col("event_this_year").contains("Easter"))

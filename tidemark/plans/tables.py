@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import week_ending
 from tidemark.functions.numbers import ratio
-from tidemark.operators.calendar import trading_holidays
+from tidemark.operators.calendar import is_trading_holiday
 from tidemark.operators.grains import as_series, chain_total, store_panel
+from tidemark.runtime import cut_lineage
 from tidemark.sources.sales_files import clean_sales, join_sales
 
-# First and last full week of the shipments, the week promotion
-# tracking starts, and the years their calendar covers.
-FIRST_WEEK, LAST_WEEK = "1995-01-13", "2001-11-02"
-MARKDOWN_START = "1998-01-02"
-FIRST_YEAR, LAST_YEAR = 1995, 2002
+#: Week in which promotion tracking starts in the stand-in; None records it in every week.
+TRACKED_FROM = "1998-01-02"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,19 +27,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shipped_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines of the full weeks, with the week label and exact money.
+    """All order lines, with the week label and exact money.
 
-    The range stands on the raw column, so it reaches the parquet scan.
+    The first and the last week may be partial; they are weeks like any other.
     """
-    first, after = f"{FIRST_WEEK} 00:00:00", f"{LAST_WEEK} 00:00:00"
-    stamp = "timestamp_ntz"
-    lines = table(spark, folder, "lineitem").filter(
-        (F.col("l_shipdate") >= F.lit(first).cast(stamp) - F.expr("INTERVAL 6 DAYS"))
-        & (F.col("l_shipdate") < F.lit(after).cast(stamp) + F.expr("INTERVAL 1 DAY"))
-    )
     cents, percent = _hundredths("l_extendedprice"), _hundredths("l_discount")
     net = cents * (F.lit(100) - percent)
-    return lines.select(
+    return table(spark, folder, "lineitem").select(
         "l_suppkey", "l_partkey", "l_linenumber",
         week_ending(F.col("l_shipdate")).alias("Date"),
         F.when(F.col("l_returnflag") == "R", -net).otherwise(net).alias("net"),
@@ -53,42 +45,56 @@ def shipped_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _hundredths(column: str) -> Column:
-    """A two-decimal amount as a whole number of hundredths."""
-    return F.floor(F.col(column) * 100 + 0.5)
+def calendar_years(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """First year of the shipments and the year after the last: what a calendar for them covers.
 
+    An empty table has the calendar of one year.
+    """
+    day = F.col("l_shipdate")
+    first, last = table(spark, folder, "lineitem").agg(F.year(F.min(day)), F.year(F.max(day))).first()
+    return (first, last + 1) if first is not None else (2000, 2000)
 
-def _total(column: str | Column, unit: str) -> Column:
-    """Exact sum of whole numbers, in decimal so that no size overflows, times a unit."""
-    value = F.col(column) if isinstance(column, str) else column
-    return F.sum(value.cast("decimal(18,0)")) * F.lit(unit).cast(f"decimal({len(unit) - 2},{len(unit) - 2})")
 
+def _hundredths(column: str) -> Column:
+    """A two-decimal amount as a whole number of hundredths."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
-def _holiday_flag(df: DataFrame, spark: SparkSession) -> DataFrame:
-    days = trading_holidays(spark, FIRST_YEAR, LAST_YEAR).select(
-        F.col("ds").alias("Date"), F.lit(True).alias("_flag")
-    )
-    return df.join(days, ["Date"], "left").withColumn(
-        "IsHoliday", F.coalesce("_flag", F.lit(False))
-    ).drop("_flag")
 
+def weekly_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Store, Dept, Date with the sums of every measure: the one reading of the order lines.
 
-def sales_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """Store, Dept, Date, Weekly_Sales: one row per store, department and week."""
+    Lines of a part without a department keep their measures for the store.
+    """
     suppliers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("Store"))
     parts = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("Dept"))
-    lines = shipped_lines(spark, folder).select("l_suppkey", "l_partkey", "Date", "net")
+    whole = lambda c: F.sum(c.cast("decimal(18,0)"))
     return (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("Store", "Dept", "Date")
-        .agg(_total("net", "0.0001").alias("Weekly_Sales"))
+        shipped_lines(spark, folder)
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .groupBy("Store", "Dept", "Date", F.col("p_partkey").isNotNull().alias("in_dept"))
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            *[whole(F.col(c)).alias(c) for c in ("net", "price", "quantity", "tax", "discount")],
+            *[whole(F.when(F.col("l_linenumber") % 5 == k - 1, F.col("saved"))).alias(f"saved{k}") for k in range(1, 6)],
+        )
     )
 
 
-def sales_table(spark: SparkSession, folder: str) -> DataFrame:
+def _money(column: Column, unit: str) -> Column:
+    """A whole number of units as an amount."""
+    return column * F.lit(unit).cast(f"decimal({len(unit) - 2},{len(unit) - 2})")
+
+
+def sales_cells(spark: SparkSession, folder: str, weekly: DataFrame | None = None) -> DataFrame:
+    """Store, Dept, Date, Weekly_Sales: one row per store, department and week."""
+    cells = weekly_cells(spark, folder) if weekly is None else weekly
+    return cells.where("in_dept").select("Store", "Dept", "Date", _money(F.col("net"), "0.0001").alias("Weekly_Sales"))
+
+
+def sales_table(spark: SparkSession, folder: str, weekly: DataFrame | None = None) -> DataFrame:
     """The cells with their holiday flag."""
-    return _holiday_flag(sales_cells(spark, folder), spark)
+    return sales_cells(spark, folder, weekly).withColumn("IsHoliday", is_trading_holiday(F.col("Date")))
 
 
 def stores_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,35 +113,33 @@ def stores_table(spark: SparkSession, folder: str) -> DataFrame:
     return relative.select("Store", size_class.alias("Type"), "Size")
 
 
-def features_table(spark: SparkSession, folder: str) -> DataFrame:
+def features_table(
+    spark: SparkSession, folder: str, weekly: DataFrame | None = None, tracked_from: str | None = TRACKED_FROM
+) -> DataFrame:
     """Weekly externals and promotion spend per store; promotion is NULL before tracking."""
-    suppliers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("Store"))
-    lines = shipped_lines(spark, folder)
-    weekly = (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("Store", "Date")
-        .agg(
-            ratio(_total("quantity", "0.01"), F.count(F.lit(1))).alias("Temperature"),
-            ratio(_total("tax", "0.01"), F.count(F.lit(1))).alias("Fuel_Price"),
-            ratio(_total("price", "0.01"), _total("quantity", "0.01")).alias("CPI"),
-            ratio(_total("discount", "0.01"), F.count(F.lit(1))).alias("Unemployment"),
-            *[
-                _total(F.when(F.col("l_linenumber") % 5 == k - 1, F.col("saved")), "0.0001").cast("double").alias(f"_m{k}")
-                for k in range(1, 6)
-            ],
-        )
+    cells = weekly_cells(spark, folder) if weekly is None else weekly
+    total = lambda c, unit: _money(F.sum(c), unit)
+    lines = F.sum("lines")
+    tracked = F.lit(True) if tracked_from is None else F.col("Date") >= F.lit(tracked_from).cast("date")
+    marked = cells.groupBy("Store", "Date").agg(
+        ratio(total("quantity", "0.01"), lines).alias("Temperature"),
+        ratio(total("tax", "0.01"), lines).alias("Fuel_Price"),
+        ratio(total("price", "0.01"), total("quantity", "0.01")).alias("CPI"),
+        ratio(total("discount", "0.01"), lines).alias("Unemployment"),
+        *[F.when(F.first(tracked), total(f"saved{k}", "0.0001").cast("double")).alias(f"MarkDown{k}") for k in range(1, 6)],
     )
-    tracked = F.col("Date") >= F.lit(MARKDOWN_START).cast("date")
-    marked = weekly.withColumns(
-        {f"MarkDown{k}": F.when(tracked, F.col(f"_m{k}")) for k in range(1, 6)}
-    ).drop(*[f"_m{k}" for k in range(1, 6)])
-    return _holiday_flag(marked, spark)
+    return marked.withColumn("IsHoliday", is_trading_holiday(F.col("Date")))
 
 
 def sales_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The joined long table, as the three files of the sales log would give it."""
+    """The joined long table, as the three files of the sales log would give it.
+
+    The order lines are read and summed once; sales and features are both made
+    of the sums, which are written to the shared folder in between.
+    """
+    weekly = cut_lineage(weekly_cells(spark, folder))
     return join_sales(
-        sales_table(spark, folder), stores_table(spark, folder), features_table(spark, folder)
+        sales_table(spark, folder, weekly), stores_table(spark, folder), features_table(spark, folder, weekly)
     )
 
 
