@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio
 
+# Texts of the report, around the name of an event.
+NEW_EVENT = "%s fell in this week this year, but not in the same week last year"
+OLD_EVENT = "last year's %s peak sits in this week; this year it did not"
+
 
 def explain_misses(
     scored: DataFrame,
@@ -35,15 +39,14 @@ def explain_misses(
         .withColumns({"_now": F.coalesce("_now", F.lit("")), "_before": F.coalesce("_before", F.lit(""))})
     )
     differ = F.col("_now") != F.col("_before")
-    # Fixed texts of the report.
     why = (
         F.when(
             (F.col("_now") != "") & differ,
-            F.format_string("%s fell in this week this year, but not in the same week last year", "_now"),
+            F.format_string(NEW_EVENT, "_now"),
         )
         .when(
             (F.col("_before") != "") & differ,
-            F.format_string("last year's %s peak sits in this week; this year it did not", "_before"),
+            F.format_string(OLD_EVENT, "_before"),
         )
         .otherwise("")
     )

@@ -293,10 +293,9 @@ def customer_segments(spark, folder):
 @query(
     "segment_summary",
     on_customers(
-        f""", names AS (SELECT UNNEST(['Low risk', 'Medium risk', 'High risk']) AS segment), s AS (SELECT label, {_SEGMENT} AS segment FROM scored)
+        f""", names AS (SELECT UNNEST({list(segments.SEGMENTS)}) AS segment), s AS (SELECT label, {_SEGMENT} AS segment FROM scored)
         SELECT names.segment, COUNT(s.segment) AS customers, round(AVG(label), 9) AS churn_rate, round(COUNT(s.segment) / (SELECT COUNT(*) FROM scored), 9) AS share,
-        CASE names.segment WHEN 'High risk' THEN 'personal outreach, retention offer, escalate high-value accounts'
-          WHEN 'Medium risk' THEN 'automated engagement, satisfaction survey, usage tips' ELSE 'standard communication, upsell and loyalty programmes' END AS action
+        CASE names.segment {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in segments.ACTIONS.items())} END AS action
         FROM names LEFT JOIN s ON s.segment = names.segment GROUP BY 1""",
         SCORED_SQL,
     ),

@@ -474,44 +474,52 @@ missed AS (
   FROM scored s LEFT JOIN events_by_week n ON n.ds = s.ds LEFT JOIN events_by_week b ON b.ds = s.ds - 364)"""
 
 
+def _why(now: str, before: str) -> str:
+    """The report's texts as SQL, from the operator's own constants."""
+    new, old = (text.replace("'", "''").split("%s") for text in (misses.NEW_EVENT, misses.OLD_EVENT))
+    return f"""CASE WHEN {now} <> '' AND {now} <> {before} THEN '{new[0]}' || {now} || '{new[1]}'
+            WHEN {before} <> '' AND {before} <> {now} THEN '{old[0]}' || {before} || '{old[1]}' ELSE '' END"""
+
+
+def _events(spark, weeks):
+    """Events of the weeks of a small series, with a calendar for their years."""
+    return calendar.calendar_events(weeks, calendar.trading_holidays(spark, *t.years_of(weeks)))
+
+
 @query(
     "explain_misses_top3",
     on_cells(
-        """SELECT CAST(fold AS INTEGER) AS fold, week, actual, forecast, round(miss, 6) AS miss_pct, now AS event_this_year,
+        f"""SELECT CAST(fold AS INTEGER) AS fold, week, actual, forecast, round(miss, 6) AS miss_pct, now AS event_this_year,
           CAST(last_year AS VARCHAR) || CASE WHEN before <> '' THEN ' (' || before || ')' ELSE '' END AS same_week_last_year,
-          CASE WHEN now <> '' AND now <> before THEN now || ' fell in this week this year, but not in the same week last year'
-            WHEN before <> '' AND before <> now THEN 'last year''s ' || before || ' peak sits in this week; this year it did not'
-            ELSE '' END AS why
+          {_why('now', 'before')} AS why
         FROM missed QUALIFY row_number() OVER (PARTITION BY fold ORDER BY abs(miss) DESC, week) <= 3""",
         EASTER, CHAIN_MISSES,
     ),
 )
 def explain_misses_top3(spark, folder):
-    chain = t.chain_series(spark, folder)
+    chain = cut_lineage(t.chain_series(spark, folder))  # one row a week: the lines are read once
     forecasts = baselines.score_baselines(splits.rolling_origin(chain), ["fold"])
-    events = calendar.calendar_events(chain, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
     scored = forecasts.filter(F.col("model") == "seasonal_naive")
-    return rounded(misses.explain_misses(scored, events, ["fold"], top=3), 6, "miss_pct")
+    return rounded(misses.explain_misses(scored, _events(spark, chain), ["fold"], top=3), 6, "miss_pct")
 
 
 @query(
     "explain_misses_store",
     on_cells(
-        """SELECT "Store", p.ds AS week, y AS actual, yhat AS forecast, round(100 * (y - yhat) / NULLIF(y, 0), 6) AS miss_pct,
+        f"""SELECT "Store", p.ds AS week, y AS actual, yhat AS forecast, round(100 * (y - yhat) / NULLIF(y, 0), 6) AS miss_pct,
           COALESCE(n.event, '') AS event_this_year,
           CAST(p.ds - 364 AS VARCHAR) || CASE WHEN COALESCE(b.event, '') <> '' THEN ' (' || b.event || ')' ELSE '' END AS same_week_last_year,
-          CASE WHEN COALESCE(n.event, '') <> '' AND n.event <> COALESCE(b.event, '') THEN n.event || ' fell in this week this year, but not in the same week last year'
-            WHEN COALESCE(b.event, '') <> '' AND b.event <> COALESCE(n.event, '') THEN 'last year''s ' || b.event || ' peak sits in this week; this year it did not'
-            ELSE '' END AS why
+          {_why("COALESCE(n.event, '')", "COALESCE(b.event, '')")} AS why
         FROM predicted p LEFT JOIN events_by_week n ON n.ds = p.ds LEFT JOIN events_by_week b ON b.ds = p.ds - 364
         WHERE fold = 3 AND model = 'seasonal_naive'""",
         RANKED, EASTER,
     ),
 )
 def explain_misses_store(spark, folder):
-    weeks = t.chain_series(spark, folder)
-    events = calendar.calendar_events(weeks, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
-    scored = last_window(spark, folder).filter(F.col("model") == "seasonal_naive")
+    series = cut_lineage(t.store_series(spark, folder))  # one row a store and week: the lines are read once
+    forecasts = baselines.score_baselines(splits.hold_out_rows(series, ["Store"]), ["Store"])
+    scored = forecasts.filter(F.col("model") == "seasonal_naive")
+    events = _events(spark, series.groupBy("ds").agg(F.sum("y").alias("y")))
     return rounded(misses.explain_misses(scored, events, ["Store"]), 6, "miss_pct")
 
 

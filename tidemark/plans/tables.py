@@ -55,6 +55,12 @@ def calendar_years(spark: SparkSession, folder: str) -> tuple[int, int]:
     return (first, last + 1) if first is not None else (2000, 2000)
 
 
+def years_of(series: DataFrame, ds: str = "ds") -> tuple[int, int]:
+    """First year of a series and the year after its last."""
+    first, last = series.agg(F.year(F.min(ds)), F.year(F.max(ds))).first()
+    return (first, last + 1) if first is not None else (2000, 2000)
+
+
 def _hundredths(column: str) -> Column:
     """A two-decimal amount as a whole number of hundredths."""
     return F.floor(F.col(column) * 100 + 0.5)
