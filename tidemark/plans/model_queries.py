@@ -18,7 +18,7 @@ from tidemark.operators import (
 )
 from tidemark.plans import tables as t
 from tidemark.plans.customer_queries import NUMERIC, SEED, survival_table
-from tidemark.plans.oracle import on_cells
+from tidemark.plans.oracle import on_cells, on_customers
 from tidemark.plans.registry import query, rounded
 from tidemark.runtime import cut_lineage, run_parallel
 
@@ -219,17 +219,101 @@ def churn_model_comparison(spark, folder):
     return propensity.compare_models(churn_model_scores(spark, folder))
 
 
+def best_scores(spark, folder):
+    """Test scores of the model with the best ROC-AUC."""
+    scores = cut_lineage(churn_model_scores(spark, folder))
+    best = propensity.best_model(propensity.compare_models(scores)).select("model")
+    return cut_lineage(scores.join(best, ["model"], "left_semi"))
+
+
 @query("churn_best_model_curves")
 def churn_best_model_curves(spark, folder):
-    """ROC points of every model."""
-    return curves.roc_points(churn_model_scores(spark, folder), ["model"])
+    """ROC and precision-recall points of the best model."""
+    scores = best_scores(spark, folder)
+    roc = curves.roc_points(scores, ["model"]).select(
+        "model", F.lit("roc").alias("curve"), "threshold", F.col("fpr").alias("x"), F.col("tpr").alias("y")
+    )
+    recall = curves.precision_recall_points(scores, ["model"]).select(
+        "model", F.lit("precision_recall").alias("curve"), "threshold", F.col("recall").alias("x"), F.col("precision").alias("y")
+    )
+    return roc.unionByName(recall)
+
+
+@query("churn_best_model_report")
+def churn_best_model_report(spark, folder):
+    """Precision, recall, F1 and support per class of the best model."""
+    return curves.class_report(curves.classify(best_scores(spark, folder)), ["model"])
+
+
+# What holds for any fit on the test rows of the stratified split, from the split alone.
+_TEST_ROWS = """, h AS (SELECT *, md5(CAST(customer_id AS VARCHAR) || ':42') AS h FROM customers),
+  r AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) AS rk, COUNT(*) OVER (PARTITION BY churn) AS n FROM h),
+  test AS (SELECT * FROM r WHERE rk <= round(n * 0.2))"""
+
+
+@query(
+    "churn_best_model_totals",
+    on_customers(
+        _TEST_ROWS + """ SELECT CAST(churn AS INTEGER) AS actual, COUNT(*)::BIGINT AS customers, COUNT(*)::BIGINT AS reported,
+          true AS curve_ends_in_corner, true AS scores_in_range FROM test GROUP BY 1"""
+    ),
+)
+def churn_best_model_totals(spark, folder):
+    """Confusion cells and report of the best model add up to the test rows; its ROC ends in the corner."""
+    scores = best_scores(spark, folder)
+    labelled = curves.classify(scores)
+    cells = curves.confusion(labelled).groupBy("actual").agg(F.sum("customers").alias("customers"))
+    support = labelled.groupBy(F.col("label").alias("actual")).agg(
+        F.count(F.lit(1)).alias("reported"), F.bool_and(F.col("score").between(0, 1)).alias("scores_in_range")
+    )
+    corner = curves.roc_points(scores).agg(F.bool_or((F.col("fpr") == 1) & (F.col("tpr") == 1))).scalar()
+    return cells.join(support, ["actual"]).withColumn("curve_ends_in_corner", corner)
+
+
+@query(
+    "churn_scored_customers",
+    on_customers(
+        _TEST_ROWS + """ SELECT model, customer_id, CAST(churn AS INTEGER) AS label, true AS in_range
+          FROM test, (SELECT UNNEST(['boosted', 'logistic', 'network']) AS model)"""
+    ),
+)
+def churn_scored_customers(spark, folder):
+    """One score between 0 and 1 per model and test customer."""
+    scores = churn_model_scores(spark, folder)
+    return scores.select("model", "customer_id", "label", F.col("score").between(0, 1).alias("in_range"))
+
+
+@query(
+    "churn_segments_total",
+    on_customers(_TEST_ROWS + " SELECT COUNT(*)::BIGINT AS customers, SUM(churn)::BIGINT AS churned, true AS shares_sum_to_one FROM test"),
+)
+def churn_segments_total(spark, folder):
+    """The risk segments of the best model add up to the test rows and their churn."""
+    parts = churn_segments_scored(spark, folder)
+    churned = F.round(F.coalesce(F.col("churn_rate"), F.lit(0.0)) * F.col("customers"))
+    return parts.agg(
+        F.sum("customers").alias("customers"), F.sum(churned).cast("bigint").alias("churned"),
+        (F.abs(F.sum("share") - 1) < 1e-9).alias("shares_sum_to_one"),
+    )
 
 
 @query("churn_segments_scored")
 def churn_segments_scored(spark, folder):
-    """Risk segments from the logistic model's scores."""
-    scores = cut_lineage(churn_model_scores(spark, folder).filter(F.col("model") == "logistic"))
-    return segments.segment_summary(segments.risk_segments(scores))
+    """Risk segments from the best model's scores."""
+    return segments.segment_summary(segments.risk_segments(best_scores(spark, folder)))
+
+
+@query(
+    "churn_importance_totals",
+    on_customers(" SELECT UNNEST(['logistic', 'boosted']) AS model, true AS all_features, true AS shares_sum_to_one"),
+)
+def churn_importance_totals(spark, folder):
+    """Every feature has an importance; those of the trees are shares."""
+    _, names = churn_frame(spark, folder)
+    return churn_importances(spark, folder).groupBy("model").agg(
+        (F.count_distinct("feature") == len(names)).alias("all_features"),
+        ((F.abs(F.sum("weight") - 1) < 1e-6) | (F.first("model") == "logistic")).alias("shares_sum_to_one"),
+    )
 
 
 @query("churn_importances")

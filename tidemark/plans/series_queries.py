@@ -82,9 +82,30 @@ def trend_test(spark, folder):
     return rounded(rounded(rounded(line, 4, "slope"), 6, "pct_per_year"), 9, "r_squared")
 
 
-@query("trend_significance")
+# Two-sided p of Student's t with a whole number of degrees of freedom, by its finite series in cos^2.
+_STUDENT = """, fits AS (
+    SELECT "Store", "Dept", regr_slope(y, pos - 1) AS slope, regr_slope(y, pos - 1) * 5200 / NULLIF(AVG(y), 0) AS pct,
+      regr_r2(y, pos - 1) AS r2, COUNT(*) - 2 AS df
+    FROM (SELECT *, row_number() OVER (PARTITION BY "Store", "Dept" ORDER BY ds) AS pos FROM dept_series) GROUP BY 1, 2),
+  angles AS (SELECT *, 1 - r2 AS c2, sqrt(r2) AS s, atan2(sqrt(r2), sqrt(1 - r2)) AS theta FROM fits WHERE df > 0 AND r2 < 1),
+  terms AS (SELECT a."Store", a."Dept", j, CASE WHEN df % 2 = 1 THEN CASE j WHEN 1 THEN 1.0 ELSE (2.0 * j - 2) / (2 * j - 1) END
+        ELSE CASE j WHEN 1 THEN 1.0 ELSE (2.0 * j - 3) / (2 * j - 2) END END * CASE j WHEN 1 THEN 1.0 ELSE c2 END AS f
+    FROM angles a, (SELECT UNNEST(range(1, 2000)) AS j) WHERE j <= CASE WHEN df % 2 = 1 THEN (df - 1) // 2 ELSE df // 2 END),
+  sums AS (SELECT "Store", "Dept", SUM(p) AS total FROM (
+      SELECT "Store", "Dept", product(f) OVER (PARTITION BY "Store", "Dept" ORDER BY j) AS p FROM terms) GROUP BY 1, 2),
+  ps AS (SELECT "Store", "Dept", greatest(0.0, 1 - CASE WHEN df % 2 = 1
+        THEN 2 / pi() * (theta + s * sqrt(c2) * COALESCE(total, 0)) ELSE s * COALESCE(total, 0) END) AS p
+    FROM angles LEFT JOIN sums USING ("Store", "Dept"))
+  SELECT "Store", "Dept", round(slope, 4) AS slope, round(pct, 6) AS pct_per_year,
+    round(CASE WHEN r2 >= 1 THEN 0.0 ELSE p END, 6) AS p_value, round(r2, 9) AS r_squared,
+    CASE WHEN r2 >= 1 THEN true ELSE p < 0.05 END AS significant
+  FROM fits LEFT JOIN ps USING ("Store", "Dept")"""
+
+
+@query("trend_significance", on_cells(_STUDENT))
 def trend_significance(spark, folder):
-    return diagnostics.trend_test(t.dept_series(spark, folder), ["Store", "Dept"])
+    line = diagnostics.trend_test(t.dept_series(spark, folder), ["Store", "Dept"])
+    return rounded(rounded(rounded(line, 4, "slope"), 6, "pct_per_year", "p_value"), 9, "r_squared")
 
 
 def _decomposition(op: str, back: str, series: str, key: str) -> str:
@@ -172,9 +193,26 @@ def autocorrelation(spark, folder):
     return rounded(table, 9, "acf", "band")
 
 
-@query("partial_autocorrelation")
+# Durbin-Levinson step by step: phi holds the coefficients of the last order.
+_PACF = """, size AS (SELECT "Store", MAX(n) AS n FROM dev GROUP BY 1),
+  known AS (SELECT s."Store", s.n, list(acf * s.n / (s.n - lag) ORDER BY lag) AS rho
+    FROM acf JOIN size s USING ("Store") WHERE acf IS NOT NULL GROUP BY 1, 2),
+  steps AS (
+    SELECT "Store", n, rho, 1 AS k, [rho[2]] AS phi FROM known WHERE least(60, n // 2 - 1, len(rho) - 1) >= 1
+    UNION ALL
+    SELECT "Store", n, rho, k + 1, list_append(list_transform(list_zip(phi, list_reverse(phi)), lambda z: z[1] - last * z[2]), last)
+    FROM (SELECT *, (rho[k + 2] - list_dot_product(phi, list_reverse(rho[2:k + 1])))
+        / (1 - list_dot_product(phi, rho[2:k + 1])) AS last FROM steps)
+    WHERE k + 1 <= least(60, n // 2 - 1, len(rho) - 1))
+  SELECT s."Store", CAST(l.lag AS INTEGER) AS lag,
+    CASE WHEN l.lag = 0 THEN CASE WHEN s.n // 2 - 1 >= 0 THEN 1.0 END ELSE round(steps.phi[l.lag], 6) END AS pacf
+  FROM size s CROSS JOIN lags l LEFT JOIN steps ON steps."Store" = s."Store" AND steps.k = l.lag"""
+
+
+@query("partial_autocorrelation", on_cells(_ACF + _PACF, RANKED))
 def partial_autocorrelation(spark, folder):
-    return diagnostics.autocorrelation(t.store_series(spark, folder), ["Store"]).select("Store", "lag", "pacf")
+    table = diagnostics.autocorrelation(t.store_series(spark, folder), ["Store"]).select("Store", "lag", "pacf")
+    return rounded(table, 6, "pacf")
 
 
 @query("unit_root_store")
