@@ -26,7 +26,7 @@ FAMILIES = {
 }
 BUCKET_BITS = 13
 #: Bound of the sample that the model is fitted on: rows of each language.
-ROWS_PER_LANGUAGE = 400
+ROWS_PER_LANGUAGE = 300
 STEPS = 300
 
 
@@ -133,10 +133,13 @@ def _vote(margin: np.ndarray, pairs: list[tuple[int, int]], classes: int) -> tup
 
 
 def _svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear SVM by accelerated gradient steps; y is +1 or -1, classes weigh the same."""
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
+    """Squared-hinge linear SVM by accelerated gradient steps; y is +1, -1, or 0 for rows left out.
+
+    Both classes weigh the same.
+    """
+    share = (np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * (y != 0)).astype(np.float32)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
-    v, vb, step = w.copy(), b, 1.0 / (2 * float(((x * x).sum(1) * share).sum() + 1) + penalty)
+    v, vb, step = w.copy(), b, 1.0 / (2 * float((np.einsum('ij,ij->i', x, x) * share).sum() + 1) + penalty)
     for k in range(STEPS):
         slack = np.maximum(0, 1 - y * (x @ v + vb)) * share * y
         new, nb = v + step * (2 * (slack @ x) - penalty * v), vb + step * 2 * float(slack.sum())
@@ -183,7 +186,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, text: str =
         if len(counted):
             x[k, np.array(got["buckets"][int(i)].as_py())] = counted / counted.sum()
     label = np.array([names[i] for i in rows], object)
-    scale = 1 / (np.sqrt((x * x).mean(0)) + 1e-4) / 8 if len(rows) else np.ones(x.shape[1], np.float32)
+    scale = 1 / (np.sqrt(np.einsum('ij,ij->j', x, x) / len(rows)) + 1e-4) / 8 if len(rows) else np.ones(x.shape[1], np.float32)
     x *= scale.astype(np.float32)
 
     languages: dict[str, list[str]] = {}
@@ -196,8 +199,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, text: str =
     def separate(groups, among):
         made = list(combinations(range(len(groups)), 2))
         for a, b in made:
-            part = (among == groups[a]) | (among == groups[b])
-            w, bias = _svm(x[part], np.where(among[part] == groups[a], 1, -1).astype(np.float32))
+            w, bias = _svm(x, (1.0 * (among == groups[a]) - 1.0 * (among == groups[b])).astype(np.float32))
             columns.append((w * scale).astype(np.float32))
             biases.append(bias)
         return made

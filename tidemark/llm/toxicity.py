@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import labelled
 from tidemark.llm import textbytes as tb
+from tidemark.runtime import cut_lineage
 
 # Terms that name groups of people; those of one row stand for each other.
 IDENTITY_TERMS = (
@@ -141,27 +142,49 @@ def fit_model(rows: list[np.ndarray], y: np.ndarray, maker: Features, penalty: f
     return ToxicityModel(features, w, float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = labelled.MOST_ROWS) -> ToxicityModel:
-    """Fit on a bounded sample of labelled rows outside the held-out part."""
+def _feature_rows(rows: DataFrame, keep: np.ndarray | None) -> DataFrame:
+    """doc_id, place, label and the distinct features of each sampled text, only those in ``keep`` if given."""
     maker = None
 
     def describe(data, offsets):
         nonlocal maker
         maker = maker or Features()
         found, row = maker.all(data, offsets)
+        if keep is not None:
+            hit = keep[np.minimum(np.searchsorted(keep, found), len(keep) - 1)] == found
+            found, row = found[hit], row[hit]
         order = np.argsort(row, kind="stable")
         found, edges = found[order], np.searchsorted(row[order], np.arange(len(offsets)))
-        parts = [np.unique(found[a:b]).view(np.int64) for a, b in zip(edges[:-1], edges[1:])]
-        return [pa.array(parts, pa.list_(pa.int64()))]
-
-    rows = labelled.sample(docs, labels, "toxic", MODULUS, REMAINDER, most_rows)
-    got = tb.score_rows(rows, ["doc_id", "place", "label"], "text", describe, "x array<long>").toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")])
-    lists = got["x"].combine_chunks() if len(got) else pa.array([], pa.list_(pa.int64()))
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    flat, edges = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
-    edges = edges - edges[0]
-    return fit_model([flat[a:b] for a, b in zip(edges[:-1], edges[1:])], got["label"].to_numpy().astype(float), Features())
+        return [pa.array([np.unique(found[a:b]).view(np.int64) for a, b in zip(edges[:-1], edges[1:])], pa.list_(pa.int64()))]
+
+    return tb.score_rows(rows, ["doc_id", "place", "label"], "text", describe, "x array<long>")
+
+
+def telling(rows: DataFrame, most_features: int = MOST_FEATURES) -> np.ndarray:
+    """Sorted hashes of the features with most evidence, counted over the sample by Spark."""
+    sums = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("bad")).first()
+    n, toxic = float(max(sums["n"], 1)), float(sums["bad"])
+    seen = _feature_rows(rows, None).select("label", F.explode("x").alias("f")).groupBy("f").agg(F.count("*").alias("t"), F.sum("label").alias("b"))
+    t, b = F.col("t"), F.col("b")
+    cells = ((b, t * toxic / n), (t - b, t * (n - toxic) / n), (toxic - b, (n - t) * toxic / n), (n - toxic - t + b, (n - t) * (n - toxic) / n))
+    part = lambda o, e: F.when((o > 0) & (e > 0), 2 * o * F.log(o / e)).otherwise(0.0)
+    evidence = part(*cells[0]) + part(*cells[1]) + part(*cells[2]) + part(*cells[3])
+    best = seen.withColumn("evidence", evidence).where(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), "f").limit(most_features)
+    return np.sort(np.array([r["f"] for r in best.select("f").collect()], np.int64).view(np.uint64))
+
+
+def fit(docs: DataFrame, labels: DataFrame, most_rows: int = labelled.MOST_ROWS) -> ToxicityModel:
+    """Fit on a bounded sample of labelled rows outside the held-out part.
+
+    Spark counts the features; only those that are used reach the driver.
+    """
+    maker = Features()
+    rows = cut_lineage(labelled.sample(docs, labels, "toxic", MODULUS, REMAINDER, most_rows))
+    terms = [maker.term(t) for group in IDENTITY_TERMS for t in group]
+    keep = np.unique(np.concatenate([telling(rows), *terms]))
+    got = _feature_rows(rows, keep).toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")])
+    held = [np.array(x, np.int64).view(np.uint64) for x in got["x"].to_pylist()]
+    return fit_model(held, got["label"].to_numpy().astype(float), maker)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", key: str = "doc_id") -> DataFrame:
