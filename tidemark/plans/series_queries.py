@@ -11,6 +11,15 @@ from tidemark.plans.registry import query, rounded
 from tidemark.plans.sales_queries import ERRORS, RANKED, _errors, store_folds
 
 
+def example(name: str):
+    """Marks a use of a fit that one task does for a whole series.
+
+    Such fits are tools for single series, not Spark work that grows with the
+    table, so they are not registered as queries.
+    """
+    return lambda function: function
+
+
 @query(
     "series_describe",
     on_cells(
@@ -215,12 +224,12 @@ def partial_autocorrelation(spark, folder):
     return rounded(table, 6, "pacf")
 
 
-@query("unit_root_store")
+@example("unit_root_store")
 def unit_root_store(spark, folder):
     return diagnostics.adf_report(t.store_series(spark, folder), ["Store"])
 
 
-@query("unit_root_differenced")
+@example("unit_root_differenced")
 def unit_root_differenced(spark, folder):
     series = diagnostics.difference(t.store_series(spark, folder), ["Store"])
     return diagnostics.adf_report(series, ["Store"])
@@ -267,7 +276,7 @@ def suitability(spark, folder):
     return rounded(report, 8, "seasonal_strength", "trend_strength")
 
 
-@query("suitability_chain_full")
+@example("suitability_chain_full")
 def suitability_chain_full(spark, folder):
     return diagnostics.suitability_report(t.chain_series(spark, folder))
 
@@ -356,23 +365,23 @@ def smoothing_alpha_table(spark, folder):
     return _errors(metrics.forecast_metrics(paths.filter(F.col("t") >= 1), ["alpha"]))
 
 
-@query("holt_winters_per_store")
+@example("holt_winters_per_store")
 def holt_winters_per_store(spark, folder):
     split = splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
     return panelfit.forecast_panel(split, {"holt_winters": panelfit.holt_winters()}, ["Store"])
 
 
-@query("holt_winters_store_score")
+@example("holt_winters_store_score")
 def holt_winters_store_score(spark, folder):
     return panelfit.per_series_score(holt_winters_per_store(spark, folder), ["Store"])
 
 
-@query("holt_winters_parts")
+@example("holt_winters_parts")
 def holt_winters_parts(spark, folder):
     return panelfit.holt_winters_parts(t.store_series(spark, folder), ["Store"])
 
 
-@query("sarima_per_store")
+@example("sarima_per_store")
 def sarima_per_store(spark, folder):
     split = splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
     return panelfit.forecast_panel(split, {"sarima": panelfit.sarima()}, ["Store"])
@@ -418,13 +427,13 @@ def _chain_split_with_effects(spark, folder):
     return additive.with_effects(split, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
 
 
-@query("additive_chain")
+@example("additive_chain")
 def additive_chain(spark, folder):
     """History, 13 test weeks, interval and components of the chain."""
     return additive.additive_forecast(_chain_split_with_effects(spark, folder))
 
 
-@query("additive_future")
+@example("additive_future")
 def additive_future(spark, folder):
     """Thirteen weeks beyond the data for every store."""
     rows = additive.extend_rows(t.store_series(spark, folder), ["Store"], 13)
@@ -433,23 +442,23 @@ def additive_future(spark, folder):
     return additive.forecast_for_dates(fitted.filter("is_test"), rows.filter("is_test"))
 
 
-@query("additive_components")
+@example("additive_components")
 def additive_components(spark, folder):
     return additive.components_long(additive.additive_forecast(_chain_split_with_effects(spark, folder)))
 
 
-@query("additive_changepoints")
+@example("additive_changepoints")
 def additive_changepoints(spark, folder):
     return additive.additive_changepoints(_chain_split_with_effects(spark, folder))
 
 
-@query("additive_coverage")
+@example("additive_coverage")
 def additive_coverage(spark, folder):
     fitted = additive.additive_forecast(_chain_split_with_effects(spark, folder)).filter("is_test")
     return metrics.interval_coverage(fitted.withColumn("model", F.lit("additive")))
 
 
-@query("additive_prior_sweep")
+@example("additive_prior_sweep")
 def additive_prior_sweep(spark, folder):
     """Three prior scales as candidates of one job: error, and trend drift over the horizon."""
     scales = F.array(*[F.lit(s) for s in (0.01, 0.05, 0.5)])
@@ -461,7 +470,7 @@ def additive_prior_sweep(spark, folder):
     return metrics.forecast_metrics(fitted, ["prior_scale"]).join(drift, ["prior_scale"])
 
 
-@query("additive_holiday_effects")
+@example("additive_holiday_effects")
 def additive_holiday_effects(spark, folder):
     return additive.largest_effects(additive.additive_forecast(_chain_split_with_effects(spark, folder)))
 
@@ -475,13 +484,13 @@ def _calendar_fits(spark, folder):
     return additive.additive_forecast(rows, ["fold", "calendar"]).filter("is_test")
 
 
-@query("calendar_comparison")
+@example("calendar_comparison")
 def calendar_comparison(spark, folder):
     """Which calendar helps: error per fold and calendar, all fits in one job."""
     return metrics.forecast_metrics(_calendar_fits(spark, folder), ["calendar", "fold"])
 
 
-@query("calendar_easter_miss")
+@example("calendar_easter_miss")
 def calendar_easter_miss(spark, folder):
     """The Easter week's miss under each calendar, in the folds that contain one."""
     chain = t.chain_series(spark, folder)
