@@ -39,3 +39,72 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes, {groups} AS payload_diges
        CASE WHEN page_id < first THEN first END AS refers_to
 FROM hashed JOIN firsts USING (h)
 """
+
+
+def near_dedup_sql() -> str:
+    """Groups of documents by the definition: all sets against all, then everything that links reach."""
+    return r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM worded
+), rows AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM rows a JOIN rows b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(y) AS component_id, sets.doc_id = min(y) AS kept
+FROM sets JOIN reach ON sets.doc_id = reach.x GROUP BY sets.doc_id, s
+"""
+
+
+def rules_sql(words: list[str], languages: list[str], limits: tuple) -> str:
+    """Base rules by positions of windows, and both Jensen-Shannon distances by their definition."""
+    least_chars, least_words, most_chars, most_words = limits
+    only = lambda kind: f"length(regexp_replace(t, '[^{kind}]', '', 'g'))"
+    marks = "!" + '"' + r"''()+,./:;=?@\[\\\]^_`{}~-"
+    hits = ", ".join(f"len(list_filter(w, lambda x: lower(x) = '{word}'))" for word in words)
+    listed = ", ".join(f"'{x}'" for x in languages)
+    return rf"""
+WITH worded AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM documents
+), starts AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM worded),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM starts),
+again AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY 1),
+counted AS (
+    SELECT doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {only('#*$%&|<>')} AS n_symbols,
+           len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words, {only('A-Z')} AS upper,
+           {only('0-9')} AS digit, {only(marks)} AS punct, strlen(t) - length(t) AS wide, length(t) AS every, [{hits}] AS found
+    FROM worded LEFT JOIN again USING (doc_id)
+), histograms AS (
+    SELECT *, [upper, digit, n_symbols, punct, wide, every - word_chars, greatest(word_chars - upper - digit - n_symbols - punct - wide, 0)] AS chars,
+           list_append(found, n_words - list_sum(found)) AS common FROM counted
+), cells AS (
+    SELECT doc_id, lang, 'c' AS kind, unnest(range(1, len(chars) + 1)) AS k, unnest(chars) AS n FROM histograms
+    UNION ALL SELECT doc_id, lang, 'w', unnest(range(1, len(common) + 1)), unnest(common) FROM histograms
+), shares AS (SELECT doc_id, kind, k, n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0) AS p FROM cells),
+sums AS (SELECT lang, kind, k, sum(n) AS n FROM cells WHERE lang IN ({listed}) GROUP BY 1, 2, 3),
+refs AS (SELECT lang, kind, k, n / sum(n) OVER (PARTITION BY lang, kind) AS q FROM sums),
+apart AS (
+    SELECT doc_id, lang, kind, coalesce(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
+             + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) FILTER (p IS NOT NULL) / (2 * ln(2)), 0)), 0) AS d
+    FROM shares JOIN refs USING (kind, k) GROUP BY 1, 2, 3
+), paired AS (SELECT doc_id, lang, max(d) FILTER (kind = 'c') AS c, max(d) FILTER (kind = 'w') AS w FROM apart GROUP BY 1, 2),
+judged AS (
+    SELECT h.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           (SELECT bool_or((h.word_chars < {least_chars} OR c <= {most_chars}) AND (h.n_words < {least_words} OR w <= {most_words})) FROM paired WHERE paired.doc_id = h.doc_id) AS near,
+           (SELECT min(c) FROM paired WHERE paired.doc_id = h.doc_id) AS c, (SELECT min(w) FROM paired WHERE paired.doc_id = h.doc_id) AS v
+    FROM histograms h
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND near AS kept, round(c, 6) AS chars_distance, round(v, 6) AS words_distance
+FROM judged
+"""

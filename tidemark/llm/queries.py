@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, quality, toxicity, warc
-from tidemark.llm.checks_sql import chat_sql, warc_sql
+from tidemark.llm.checks_sql import chat_sql, near_dedup_sql, rules_sql, warc_sql
 from tidemark.llm.registry import query, table
 
 #: Rank file of the public tokenizers that the token queries use.
@@ -36,7 +36,7 @@ def op6_toxicity(spark, folder):
     return scored.select("doc_id", outside.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-@query("op9_minhash_near_dedup")
+@query("op9_minhash_near_dedup", near_dedup_sql())
 def op9_minhash_near_dedup(spark, folder):
     return minhash.group(table(spark, folder, "documents"), words=2)
 
@@ -60,9 +60,13 @@ def op4_decontamination(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query("op7_quality_rules")
+LIMITS = (divergence.LEAST_CHARS, divergence.LEAST_WORDS, divergence.MOST_CHARS, divergence.MOST_WORDS)
+
+
+@query("op7_quality_rules", rules_sql(list(divergence.WORDS), list(divergence.COMMON), LIMITS))
 def op7_quality_rules(spark, folder):
-    return divergence.judge(table(spark, folder, "documents"))
+    judged = divergence.judge(table(spark, folder, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("chars_distance", "words_distance")})
 
 
 @query("op8_byte_bpe")
