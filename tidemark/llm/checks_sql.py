@@ -108,3 +108,40 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND near AS kept, round(c, 6) AS chars_distance, round(v, 6) AS words_distance
 FROM judged
 """
+
+
+def leaks_sql(units: list[str], window: int, literal: int) -> str:
+    """Template windows of documents and items, joined as they are, and the slots of what they share.
+
+    States whole windows only; the given items are all longer than one.
+    """
+    listed = ", ".join(f"'{u}'" for u in units)
+    edge = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
+    return rf"""
+WITH texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+cut AS (SELECT side, id, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+') AS parts FROM texts),
+words AS (SELECT side, id, unnest(range(0, len(parts))) AS i, unnest(parts) AS part FROM cut),
+cores AS (
+    SELECT side, id, i, contains(regexp_extract(part, '^[\x20\x09-\x0D]*'), chr(10)) AS line,
+           regexp_replace(part, '^[\x20\x09-\x0D]+', '') AS word, regexp_replace(regexp_replace(regexp_replace(part, '^[\x20\x09-\x0D]+', ''), '^{edge}', ''), '{edge}$', '') AS bare
+    FROM words
+), kinds AS (
+    SELECT side, id, i, word, CASE WHEN bare = '' THEN word ELSE bare END AS core,
+           regexp_matches(core, '^[0-9]') AS number, regexp_matches(core, '^([A-Z]|[\x{{C0}}-\x{{DE}}])') AS capital, regexp_matches(core, '^[A-Z][A-Z]') AS upper,
+           i = 0 OR line OR regexp_matches(lag(word) OVER each, '[.!?:;")\]'']$') AS fresh, lag(core) OVER each AS before
+    FROM cores WINDOW each AS (PARTITION BY side, id ORDER BY i)
+), typed AS (
+    SELECT side, id, i, word, CASE WHEN number THEN '#1' WHEN lower(core) IN ({listed}) AND regexp_matches(before, '^[0-9]') THEN '#2'
+           WHEN capital AND NOT fresh AND NOT upper THEN '#3' END AS slot, lower(core) AS plain FROM kinds
+), windows AS (
+    SELECT side, id, i, list(coalesce(slot, plain)) OVER ahead AS template, list(CASE WHEN slot IS NULL THEN NULL ELSE lower(trim(word, '.,;:!?"''()[]')) END) OVER ahead AS held,
+           count(*) OVER ahead AS n, count(slot) OVER ahead AS slots
+    FROM typed WINDOW ahead AS (PARTITION BY side, id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)
+), used AS (SELECT * FROM windows WHERE n = {window} AND n - slots >= {literal}),
+met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i, d.held AS mine, b.held AS theirs FROM used d JOIN used b ON d.side = 0 AND b.side = 1 AND d.template = b.template),
+pairs AS (SELECT DISTINCT doc_id, item_id, x, y FROM (SELECT doc_id, item_id, unnest(mine) AS x, unnest(theirs) AS y FROM met) WHERE y IS NOT NULL),
+fit AS (SELECT doc_id, item_id, bool_and(x = y) AS same, count(*) = count(DISTINCT x) AND count(*) = count(DISTINCT y) AS one FROM pairs GROUP BY 1, 2)
+SELECT met.doc_id, met.item_id, count(DISTINCT i)::BIGINT AS n_windows, min(i)::BIGINT AS first_word, (max(i) + {window - 1})::BIGINT AS last_word, coalesce(any_value(same), true) AS same_slots
+FROM met LEFT JOIN fit ON fit.doc_id = met.doc_id AND fit.item_id = met.item_id
+GROUP BY met.doc_id, met.item_id HAVING coalesce(any_value(same), true) OR any_value(one)
+"""

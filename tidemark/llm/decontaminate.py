@@ -68,8 +68,9 @@ class Templates:
             capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
             number = (head >= 48) & (head <= 57)
             at = np.minimum(np.searchsorted(self.units, word), len(self.units) - 1)
-            unit = (self.units[at] == word) & np.concatenate([[False], number[:-1]])
             row = tb.owner(starts, offsets)
+            same = np.concatenate([[False], row[1:] == row[:-1]])
+            unit = (self.units[at] == word) & np.concatenate([[False], number[:-1]]) & same
             tail = data[ends - 1]
             closing = np.isin(tail, np.frombuffer(b".!?:;\"')]", np.uint8))
             lines = np.concatenate([[0], np.cumsum(data == 10)])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, quality, toxicity, warc
-from tidemark.llm.checks_sql import chat_sql, near_dedup_sql, rules_sql, warc_sql
+from tidemark.llm.checks_sql import chat_sql, leaks_sql, near_dedup_sql, rules_sql, warc_sql
 from tidemark.llm.registry import query, table
 
 #: Rank file of the public tokenizers that the token queries use.
@@ -55,7 +55,7 @@ def op3_chat_formatting(spark, folder):
     return chat.read_back(chat.format_turns(held.unionByName(extra), vocabulary), vocabulary)
 
 
-@query("op4_decontamination")
+@query("op4_decontamination", leaks_sql(decontaminate.UNITS, decontaminate.WINDOW, decontaminate.LITERAL))
 def op4_decontamination(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
