@@ -34,7 +34,7 @@ PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 MODULUS, REMAINDER = 3, 1
 MOST_FEATURES = 2_000
-STEPS = 400
+STEPS = 800
 #: Least likelihood-ratio statistic (one degree of freedom) of a feature that is used.
 LEAST_EVIDENCE = 18.0
 
@@ -84,7 +84,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit_model(rows: list[np.ndarray], y: np.ndarray, maker: Features, penalty: float = 20.0, ridge: float = 2e-5, most_features: int = MOST_FEATURES) -> ToxicityModel:
+def fit_model(rows: list[np.ndarray], y: np.ndarray, maker: Features, penalty: float = 20.0, ridge: float = 1e-6, most_features: int = MOST_FEATURES) -> ToxicityModel:
     """Fit from the distinct feature hashes of each training text.
 
     Kept are the features that depend on the label by most evidence, and those
