@@ -92,6 +92,45 @@ def test_buckets_left_over_by_their_smallest_name_are_still_linked(spark):
     assert {(3, 1), (3, 2)} <= pairs and (2, 1) not in pairs and {i for i, _ in pairs} >= set(range(3, 40))
 
 
+def star_of_copies(copies=600, size=120, edits=5, at=0.5, seed=7):
+    """Copies of one text, each edited at places of its own: near to the base, not to each other; the base has a middling id."""
+    rng = random.Random(seed)
+    base = [f"b{k}" for k in range(size)]
+    texts = []
+    for k in range(copies):
+        copy = list(base)
+        for j, place in enumerate(rng.sample(range(1, size - 1, 2), edits)):
+            copy[place] = f"e{k}x{j}"
+        texts.append(" ".join(copy))
+    texts.insert(int(copies * at), " ".join(base))
+    return list(enumerate(texts))
+
+
+def test_copies_of_a_base_with_a_middling_id_are_one_group(spark):
+    rows = star_of_copies()
+    expected = brute_groups(rows, 2)
+    assert {g for _, g in expected.values()} == {0}
+    found = minhash.group(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
+def test_rounds_of_pivots_decide_every_pair_of_a_large_bucket(spark, monkeypatch):
+    """Only 71 and 93 are linked, in a bucket of 100 names whose pivots they are not."""
+    met = set()
+
+    def record(pairs, *_):
+        met.update((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a = 93 AND b = 71").select("a", "b")
+
+    monkeypatch.setattr(minhash, "promising", lambda pairs, *_: pairs)
+    monkeypatch.setattr(minhash, "confirmed", record)
+    buckets = spark.createDataFrame([(1, k) for k in range(100)], "h long, name long")
+    links = spark.createDataFrame([(1, 0), (3, 2)], "a long, b long")
+    groups = {r.node: r.component for r in minhash.settle(buckets, links, None, None, 2, 80).collect()}
+    assert groups[93] == 71 and groups[3] == 2
+    assert met | {(1, 0), (3, 2)} == {(a, b) for a in range(100) for b in range(a)}
+
+
 def test_estimate_is_close_to_the_similarity():
     import numpy as np
 

@@ -5,9 +5,10 @@
    the two lowest bits of each minimum, packed into 64-bit words.
 2. Texts with the same set are one class, named by the smallest id.  Only
    class names go on, so thousands of exact copies cost one row each.
-3. Names that share a band are candidates.  Nothing lists all pairs of a
-   bucket: every name meets the smallest name of its buckets, and afterwards
-   only buckets whose names are still in several components are looked at.
+3. Names that share a band are candidates.  Every name meets the smallest name
+   of its buckets first, and afterwards only buckets whose names are still in
+   several components are looked at, in rounds of ever more pivots until every
+   pair of a bucket is in one component or compared.
 4. Bits that agree by chance are taken out of the estimate; pairs whose
    estimate is more than ``SLACK`` under the threshold go, and the full sets
    decide about the rest.
@@ -37,8 +38,8 @@ SLACK = 0.2
 ROUGH = 64
 #: Buckets of up to so many names are compared whole once several components meet in them.
 SMALL = 16
-#: Further bands that cut a larger bucket.
-CUTS = 4
+#: A larger bucket has one pivot in the first round and so many times more in each further one.
+MORE = 8
 #: Bits of the field of wanted ids that documents are held against before their sets are made.
 FIELD_BITS = 22
 
@@ -180,31 +181,77 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) ->
     return both.where(F.lit(100) * F.col("common") >= F.lit(threshold) * union).select("a", "b").distinct()
 
 
-def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs of names in different components that share a bucket.
+def _open(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (h, name, found, m) of the buckets of m names whose names are in several components."""
+    held = buckets.select("h", "name").join(groups.select(F.col("node").alias("name"), F.col("component").alias("found")), "name", "left")
+    held = held.withColumn("found", F.coalesce("found", "name"))
+    sizes = held.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"), F.count("*").alias("m"))
+    return cut_lineage(held.join(sizes.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "h"))
+
+
+def _pivots(large: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` names of each bucket: of each slot of hashed names the one with the fullest buckets.
 
-    Buckets with one component have nothing left to find.  Buckets of up to
-    ``SMALL`` names are compared whole, larger ones are cut by the next bands
-    first; of a cut that is still larger, every name meets the smallest name.
+    A text that many others are copies of shares more bands with them than
+    they share with each other, so it comes first whatever its id is.
     """
-    held = buckets.drop("pivot").join(groups.select(F.col("node").alias("name"), F.col("component").alias("found")), "name", "left")
-    held = held.withColumn("found", F.coalesce("found", "name"))
+    weight = large.groupBy("name").agg(F.sum("m").alias("weight"))
+    slot = F.pmod(F.xxhash64("name", F.lit(most)), F.lit(most))
+    best = large.join(weight, "name").groupBy("h", slot.alias("slot")).agg(F.min_by(F.struct("name", "found"), F.struct(-F.col("weight"), "name")).alias("p"))
+    return best.select("h", F.col("p.name").alias("b"), F.col("p.found").alias("fb"))
+
+
+def _pairs(rows: DataFrame, pivots: DataFrame | None, most: int) -> DataFrame:
+    """Pairs of names in different components: whole buckets of up to ``_whole(most)`` names, and all names with the pivots of larger ones."""
+    left = rows.select("h", "m", F.col("name").alias("a"), F.col("found").alias("fa"))
+    small = left.where(F.col("m") <= _whole(most)).join(rows.where(F.col("m") <= _whole(most)).select("h", F.col("name").alias("b"), F.col("found").alias("fb")), "h")
+    pairs = small.where((F.col("a") > F.col("b")) & (F.col("fa") != F.col("fb"))).select("a", "b")
+    if pivots is not None:
+        met = left.join(pivots, "h").where(F.col("fa") != F.col("fb"))
+        pairs = pairs.unionByName(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    return pairs.distinct()
 
-    def split(rows):
-        sizes = rows.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"), F.min(F.struct("name", "found")).alias("pivot"), F.count("*").alias("m"))
-        return rows.join(sizes.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "h")
 
-    def whole(rows):
-        left = rows.where(F.col("m") <= SMALL).select("h", F.col("name").alias("a"), F.col("found").alias("fa"))
-        right = rows.where(F.col("m") <= SMALL).select("h", F.col("name").alias("b"), F.col("found").alias("fb"))
-        return left.join(right, "h").where((F.col("a") > F.col("b")) & (F.col("fa") != F.col("fb"))).select("a", "b")
+def _whole(most: int) -> int:
+    """Names of a bucket that is compared whole: that is no more work than ``most`` pivots."""
+    return max(SMALL, 2 * most)
 
-    first = cut_lineage(split(held))
-    large = first.where(F.col("m") > SMALL).join(names.select(F.col("doc_id").alias("name"), "bands"), "name")
-    cuts = F.array(*[F.xxhash64(F.col("h"), F.element_at("bands", (F.pmod(F.col("band") + k, F.lit(BANDS)) + 1).cast("int"))) for k in range(1, CUTS + 1)])
-    finer = split(large.select(F.explode(cuts).alias("h"), "name", "found"))
-    pivots = finer.where((F.col("m") > SMALL) & (F.col("found") != F.col("pivot.found"))).select(F.col("name").alias("a"), F.col("pivot.name").alias("b"))
-    return whole(first).unionByName(whole(finer)).unionByName(pivots).distinct()
+
+def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame, most: int = 1) -> DataFrame:
+    """Pairs of one round: names in different components that share a bucket, in large buckets with a pivot."""
+    rows = _open(buckets.join(names.select(F.col("doc_id").alias("name")), "name", "left_semi"), groups)
+    return _pairs(rows, _pivots(rows.where(F.col("m") > _whole(most)), most), most)
+
+
+def settle(buckets: DataFrame, links: DataFrame, names: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Components once every pair of names that shares a bucket is decided.
+
+    Buckets with one component have nothing left to find.  Small ones are
+    compared whole.  In a larger one all names meet the pivots, which then
+    leave the bucket, as all their pairs in it are decided; what is left goes
+    through the next round with ``MORE`` times as many pivots.  So no pair is
+    given up, a group around one text ends in the first round, and the rounds
+    grow with the logarithm of the largest bucket.
+    """
+    groups, most = components.connected(links), 1
+    while True:
+        rows = _open(buckets, groups)
+        biggest = rows.agg(F.max("m")).first()[0]
+        if biggest is None:
+            return groups
+        last = biggest <= _whole(most)
+        pivots = None if last else cut_lineage(_pivots(rows.where(F.col("m") > _whole(most)), most))
+        more = cut_lineage(promising(_pairs(rows, pivots, most), names, threshold))
+        if not more.isEmpty():
+            found = cut_lineage(confirmed(more, docs, words, threshold))
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                groups = components.connected(links)
+        if last:
+            return groups
+        left = rows.where(F.col("m") > _whole(most)).select("h", "name")
+        buckets = left.join(pivots.select("h", F.col("b").alias("name")), ["h", "name"], "left_anti")
+        most *= MORE
 
 
 def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -230,12 +277,7 @@ def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str
     first = buckets.where(F.col("name") != F.col("pivot")).select(F.col("name").alias("a"), F.col("pivot").alias("b")).distinct()
     best = promising(first, names, threshold).groupBy("a").agg(F.min_by("b", F.struct(-F.col("near"), "b")).alias("b"))
     links = cut_lineage(confirmed(cut_lineage(best), named, words, threshold))
-    groups = components.connected(links)
-
-    rest = _unsettled(buckets, groups, names)
-    more = cut_lineage(promising(rest, names, threshold))
-    links = links.unionByName(confirmed(more, named, words, threshold))
-    groups = components.connected(links)
+    groups = settle(buckets, links, names, named, words, threshold)
 
     rows = sketches.select("doc_id", *prints).join(classes, prints, "left")
     rows = rows.join(groups.select(F.col("node").alias("name"), "component"), "name", "left")
