@@ -168,6 +168,16 @@ def test_templates_meet_other_numbers_and_names(spark):
     assert found[1, 1].same_slots and not found[2, 1].same_slots
 
 
+def test_each_occurrence_is_judged_on_its_own(spark):
+    twice = "the red train from the station leaves at 9 and the red train from the station leaves at 11"
+    sheet = "if you add 3 apples to 4 pears in one big basket you get how many fruits"
+    docs = [(1, f"{twice} today"), (2, f"{sheet}\n\n{sheet.replace('3', '5')}"), (3, f"{sheet.replace('3', '6')}\n{sheet.replace('4', '8')}"),
+            (4, sheet.replace("3", "5").replace("4", "5")), (5, sheet), (5, sheet.replace("3", "7")), (6, ITEM.replace("with 120", "with 999"))]
+    found = leaks(spark, docs, [(1, twice), (2, sheet), (3, ITEM)])
+    assert set(found) == {(1, 1), (2, 2), (3, 2), (4, 2), (5, 2)}
+    assert found[1, 1].same_slots and found[2, 2].same_slots and found[5, 2].same_slots and not found[3, 2].same_slots and not found[4, 2].same_slots
+
+
 def test_short_items_and_empty_tables(spark):
     assert set(leaks(spark, [(1, "so we sing a very short song today"), (2, "a very long song")], [(9, "a very short song"), (8, None), (7, "two words")])) == {(1, 9)}
     assert leaks(spark, []) == {} and leaks(spark, [(1, ITEM)], []) == {}

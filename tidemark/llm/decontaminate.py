@@ -4,7 +4,8 @@ A word of a text becomes NUM, UNIT or NAME, or stays itself in lower case
 without punctuation at its ends.  Windows of template words are compared, so a
 question asked again with other numbers or names is still met.  What stood in
 the slots then has to be consistent: one value of the item stands for one value
-of the document and the other way round, over all windows that they share.
+of the document, over all windows of one occurrence, which lie at one distance
+from the item's.  Each occurrence is judged on its own.
 
 Windows of the documents first pass a bit field of the benchmark's windows.
 Its size is a parameter and does not grow with the benchmark; what passes is
@@ -100,18 +101,18 @@ class Templates:
 
 
 def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], literal: int, field: np.ndarray | None, bits: int) -> DataFrame:
-    """Rows (key, first word, size and hash of the window, slots) of the windows of ``lengths`` words.
+    """Rows (key, mark of the text, first word, size and hash of the window, slots) of the windows of ``lengths`` words.
 
     With ``field`` only windows whose bit is set are given.  Without it the
     texts are the benchmark: windows under the full size are whole items.
     """
-    names = [key, "first", "size", "h", "slots"]
+    names = [key, "mark", "first", "size", "h", "slots"]
 
     def batches(stream):
         maker = None
         for batch in stream:
             maker = maker or Templates()
-            ids = batch.column(0)
+            ids, marks = batch.column(0), batch.column(2)
             for lo, hi, data, offsets in tb.text_runs(batch.column(1)):
                 starts, ends, template, kind, edges = maker(data, offsets)
                 for size in lengths:
@@ -125,10 +126,10 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], li
                     slots = [[_value(data[starts[j] : ends[j]]) for j in range(i, i + size) if kind[j]] for i in at]
                     if len(at):
                         made = [pa.array(at - edges[row]), pa.array(np.full(len(at), size)), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string()))]
-                        yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo).take(pa.array(row)), *made], names=names)
+                        yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).take(pa.array(row)) for c in (ids, marks)] + made, names=names)
 
     kinds = dict(texts.dtypes)
-    return texts.mapInArrow(batches, f"`{key}` {kinds[key]}, first long, size long, h long, slots array<string>")
+    return texts.withColumn("mark", F.xxhash64("text")).mapInArrow(batches, f"`{key}` {kinds[key]}, mark long, first long, size long, h long, slots array<string>")
 
 
 def _value(word: np.ndarray) -> str:
@@ -136,11 +137,11 @@ def _value(word: np.ndarray) -> str:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal: int = LITERAL, bits: int = FIELD_BITS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document and benchmark item that share windows with consistent slots.
+    """One row per document and benchmark item that share an occurrence with consistent slots.
 
     Columns: doc_id, item_id, n_windows (different windows of the document),
     first_word and last_word (the words they cover, counted from 0), and
-    same_slots (all slots hold the item's own values).  Items of fewer words
+    same_slots (an occurrence holds the item's own values in all slots).  Items of fewer words
     than a window are met as a whole; of fewer than ``SHORTEST`` they can't be
     met.  Null or empty texts share nothing.  Rows with
     the same id count as one document.  A document without a row is clean.
@@ -150,21 +151,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     lengths = sorted(r["size"] for r in known.select("size").distinct().collect())
     field = tb.bit_field(known, "h", bits)
     seen = _window_rows(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", window, lengths, literal, field, bits)
-    theirs = known.select("item_id", "h", F.col("slots").alias("item_slots"))
+    theirs = known.select("item_id", "h", F.col("slots").alias("item_slots"), F.col("first").alias("item_first"), F.col("mark").alias("item_mark"))
     both = seen.join(theirs, "h")
-    both = both.withColumn("pair", F.explode_outer(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))
-    pair = F.struct("pair.item", "pair.doc")
-    grouped = both.groupBy("doc_id", "item_id").agg(
+    # one occurrence: windows of one text and one item that lie equally far apart; its sets are no longer than the item
+    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
+    occurrence = ["doc_id", "item_id", "mark", "item_mark", (F.col("first") - F.col("item_first")).alias("shift")]
+    grouped = both.groupBy(*occurrence).agg(
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        F.collect_set("first").alias("firsts"),
+        (F.max(F.col("first") + F.col("size")) - 1).alias("last_word"),
+    )
+    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    kept = grouped.where(consistent).withColumn("same", F.forall("pairs", lambda p: p["item"] == p["doc"]))
+    return kept.select("doc_id", "item_id", F.explode("firsts").alias("first"), "last_word", "same").groupBy("doc_id", "item_id").agg(
         F.count_distinct("first").alias("n_windows"),
         F.min("first").alias("first_word"),
-        (F.max(F.col("first") + F.col("size")) - 1).alias("last_word"),
-        F.count_distinct(F.when(F.col("pair").isNotNull(), pair)).alias("_pairs"),
-        F.count_distinct("pair.item").alias("_items"),
-        F.count_distinct("pair.doc").alias("_docs"),
-        F.min(F.coalesce(F.col("pair.item") == F.col("pair.doc"), F.lit(True))).alias("same_slots"),
+        F.max("last_word").alias("last_word"),
+        F.max("same").alias("same_slots"),
     )
-    consistent = (F.col("_pairs") == F.col("_items")) & (F.col("_pairs") == F.col("_docs"))
-    return grouped.where(F.col("same_slots") | consistent).drop("_pairs", "_items", "_docs")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
