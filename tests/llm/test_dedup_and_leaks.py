@@ -178,6 +178,13 @@ def test_each_occurrence_is_judged_on_its_own(spark):
     assert found[1, 1].same_slots and found[2, 2].same_slots and found[5, 2].same_slots and not found[3, 2].same_slots and not found[4, 2].same_slots
 
 
+def test_items_without_windows_are_met_word_for_word(spark):
+    items = [(1, "Convert 5 km to miles"), (2, "Add 3 and 4 and 5 and 6 and 7 and 8 and 9 and 10"), (3, "Who is Ada?"), (4, "Name the largest ocean on our planet")]
+    docs = [(1, "please convert 5 km to miles for me"), (2, "now Add 3 and 4 and 5 and 6 and 7 and 8 and 9 and 10 then"), (3, "A quiz. Who is Ada? She wrote."),
+            (4, "the man who is Ada to us"), (5, "then Name the largest ocean on our planet and go"), (6, "Convert 6 km to miles"), (7, "and Tell the largest ocean on our planet and go")]
+    assert set(leaks(spark, docs, items)) == {(1, 1), (2, 2), (3, 3), (5, 4), (7, 4)}
+
+
 def test_short_items_and_empty_tables(spark):
     assert set(leaks(spark, [(1, "so we sing a very short song today"), (2, "a very long song")], [(9, "a very short song"), (8, None), (7, "two words")])) == {(1, 9)}
     assert leaks(spark, []) == {} and leaks(spark, [(1, ITEM)], []) == {}

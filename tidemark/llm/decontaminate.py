@@ -37,6 +37,8 @@ UNITS = (
     "stunde stunden tag tage woche wochen jahr jahre jours heures ans semaines horas días años metros litros"
 ).split()
 NUM, UNIT, NAME = 1, 2, 3
+#: Sets hashes of words as they are apart from those of templates.
+EXACT = 0xD6E8FEB86659FD93
 
 
 class Templates:
@@ -49,7 +51,8 @@ class Templates:
         self.units = np.sort(np.array([self.hasher.one(u) for u in UNITS], np.uint64))
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray):
-        """Starts and ends of the words, hash of each template word, kind of slot (0: none), first word of each row."""
+        """Starts and ends of the words, hash of each template word, kind of slot (0: none), first word of each row,
+        hash of each word itself, whether it begins a sentence or line, whether it would be a name inside one."""
         starts, ends = tb.spans(self.white[data], offsets)
         n = len(starts)
         core = self.core[data]
@@ -62,7 +65,7 @@ class Templates:
             a[kept], b[kept] = place[lo[kept]], place[hi[kept] - 1] + 1
         low = tb.lower_latin(data)
         word = self.hasher.spans(low, a, b)
-        kind = np.zeros(n, np.uint8)
+        kind, fresh, name = np.zeros(n, np.uint8), np.ones(n, bool), np.zeros(n, bool)
         if n:
             head = data[a]
             second = data[np.minimum(a + 1, len(data) - 1)]
@@ -75,15 +78,32 @@ class Templates:
             tail = data[ends - 1]
             closing = np.isin(tail, np.frombuffer(b".!?:;\"')]", np.uint8))
             lines = np.concatenate([[0], np.cumsum(data == 10)])
-            fresh = np.ones(n, bool)
             fresh[1:] = closing[:-1] | (row[1:] != row[:-1]) | (lines[starts[1:]] > lines[ends[:-1]])
             upper = np.zeros(n, bool)
             upper[b - a > 1] = (second[b - a > 1] >= 65) & (second[b - a > 1] <= 90)
+            name = capital & ~upper & ~unit & ~number
             kind[capital & ~fresh & ~upper] = NAME
             kind[unit] = UNIT
             kind[number] = NUM
         template = np.where(kind > 0, kind.astype(np.uint64), word)
-        return starts, ends, template, kind, np.searchsorted(starts, offsets)
+        return starts, ends, template, kind, np.searchsorted(starts, offsets), word, fresh, name
+
+    def whole(self, word: np.ndarray, fresh: np.ndarray, edges: np.ndarray, size: int):
+        """First word and hash of each run of ``size`` words as they are; under ``SHORTEST`` only runs that are whole sentences or lines."""
+        n = max(len(word) - size + 1, 0)
+        power = np.full(len(word) + 1, tb.BASE, np.uint64)
+        back = np.full(len(word) + 1, pow(tb.BASE, -1, 1 << 64), np.uint64)
+        power[0] = back[0] = 1
+        power, back = np.cumprod(power), np.cumprod(back)
+        total = np.zeros(len(word) + 1, np.uint64)
+        np.cumsum(word * power[:-1], out=total[1:])
+        row = np.searchsorted(edges, np.arange(n), "right") - 1
+        good = np.arange(n) + size <= edges[row + 1]
+        if size < SHORTEST:
+            begins = np.append(fresh, True)
+            good &= begins[:n] & begins[size : size + n]
+        at = np.flatnonzero(good)
+        return at, tb.mix((total[at + size] - total[at]) * back[at] + np.uint64(size) * np.uint64(EXACT))
 
     def windows(self, template: np.ndarray, kind: np.ndarray, edges: np.ndarray, size: int, literal: int):
         """First word and hash of each window inside a row with enough plain words."""
@@ -100,13 +120,16 @@ class Templates:
         return at, total[at]
 
 
-def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], literal: int, field: np.ndarray | None, bits: int) -> DataFrame:
+def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], exact: list[int], literal: int, field: np.ndarray | None, bits: int) -> DataFrame:
     """Rows (key, mark of the text, first word, size and hash of the window, slots) of the windows of ``lengths`` words.
 
-    With ``field`` only windows whose bit is set are given.  Without it the
-    texts are the benchmark: windows under the full size are whole items.
+    With ``field`` only windows whose bit is set are given, also those of the
+    ``exact`` lengths of words as they are.  Without it the texts are the
+    benchmark: windows under the full size are whole items, and items with at
+    most one window are given whole too, and their windows from the first word
+    on also with that word as a name.
     """
-    names = [key, "mark", "first", "size", "h", "slots"]
+    names = [key, "mark", "first", "size", "h", "exact", "slots"]
 
     def batches(stream):
         maker = None
@@ -114,7 +137,15 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], li
             maker = maker or Templates()
             ids, marks = batch.column(0), batch.column(2)
             for lo, hi, data, offsets in tb.text_runs(batch.column(1)):
-                starts, ends, template, kind, edges = maker(data, offsets)
+                starts, ends, template, kind, edges, word, fresh, name = maker(data, offsets)
+
+                def rows(at, h, size, whole=False, kind=kind):
+                    row = np.searchsorted(edges, at, "right") - 1
+                    slots = [[] if whole else [_value(data[starts[j] : ends[j]]) for j in range(i, i + size) if kind[j]] for i in at]
+                    made = [pa.array(at - edges[row]), pa.array(np.full(len(at), size)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), whole)), pa.array(slots, pa.list_(pa.string()))]
+                    return pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).take(pa.array(row)) for c in (ids, marks)] + made, names=names)
+
+                count = np.zeros(hi - lo, np.int64)
                 for size in lengths:
                     at, h = maker.windows(template, kind, edges, size, min(literal, size - 1))
                     row = np.searchsorted(edges, at, "right") - 1
@@ -122,14 +153,34 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], li
                         passed = tb.in_field(h, field, bits)
                     else:
                         passed = np.full(len(at), True) if size == window else np.diff(edges)[row] == size
-                    at, h, row = at[passed], h[passed], row[passed]
-                    slots = [[_value(data[starts[j] : ends[j]]) for j in range(i, i + size) if kind[j]] for i in at]
-                    if len(at):
-                        made = [pa.array(at - edges[row]), pa.array(np.full(len(at), size)), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string()))]
-                        yield pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).take(pa.array(row)) for c in (ids, marks)] + made, names=names)
+                    count += np.bincount(row[passed], minlength=hi - lo)
+                    if passed.any():
+                        yield rows(at[passed], h[passed], size)
+                if field is not None:
+                    for size in exact:
+                        at, h = maker.whole(word, fresh, edges, size)
+                        passed = tb.in_field(h, field, bits)
+                        if passed.any():
+                            yield rows(at[passed], h[passed], size, True)
+                    continue
+                few = np.flatnonzero((count <= 1) & (np.diff(edges) > 0))
+                for i in few:
+                    size = int(edges[i + 1] - edges[i])
+                    at, h = maker.whole(word[edges[i] : edges[i + 1]], np.ones(size, bool), np.array([0, size]), size)
+                    yield rows(at + edges[i], h, size, True)
+                inside = edges[few][name[edges[few]] & (kind[edges[few]] == 0)]
+                if len(inside):
+                    other, as_name = template.copy(), kind.copy()
+                    other[inside] = as_name[inside] = NAME
+                    for size in lengths:
+                        at, h = maker.windows(other, as_name, edges, size, min(literal, size - 1))
+                        row = np.searchsorted(edges, at, "right") - 1
+                        passed = np.isin(at, inside) & ((np.diff(edges)[row] == size) | (size == window))
+                        if passed.any():
+                            yield rows(at[passed], h[passed], size, kind=as_name)
 
     kinds = dict(texts.dtypes)
-    return texts.withColumn("mark", F.xxhash64("text")).mapInArrow(batches, f"`{key}` {kinds[key]}, mark long, first long, size long, h long, slots array<string>")
+    return texts.withColumn("mark", F.xxhash64("text")).mapInArrow(batches, f"`{key}` {kinds[key]}, mark long, first long, size long, h long, exact boolean, slots array<string>")
 
 
 def _value(word: np.ndarray) -> str:
@@ -142,15 +193,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     Columns: doc_id, item_id, n_windows (different windows of the document),
     first_word and last_word (the words they cover, counted from 0), and
     same_slots (an occurrence holds the item's own values in all slots).  Items of fewer words
-    than a window are met as a whole; of fewer than ``SHORTEST`` they can't be
-    met.  Null or empty texts share nothing.  Rows with
+    than a window are met as a whole.  Items with one window or none are also
+    met word for word; of fewer than ``SHORTEST`` words only where they are
+    sentences or lines of their own, as such words stand in any text.  Null or empty texts share nothing.  Rows with
     the same id count as one document.  A document without a row is clean.
     """
     held = benchmark.select("item_id", F.col("text"))
-    known = _window_rows(held, "item_id", window, list(range(SHORTEST, window + 1)), literal, None, bits)
-    lengths = sorted(r["size"] for r in known.select("size").distinct().collect())
+    known = _window_rows(held, "item_id", window, list(range(SHORTEST, window + 1)), [], literal, None, bits)
+    sizes = sorted((r["size"], r["exact"]) for r in known.select("size", "exact").distinct().collect())
+    lengths, exact = [n for n, whole in sizes if not whole], [n for n, whole in sizes if whole]
     field = tb.bit_field(known, "h", bits)
-    seen = _window_rows(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", window, lengths, literal, field, bits)
+    seen = _window_rows(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", window, lengths, exact, literal, field, bits)
     theirs = known.select("item_id", "h", F.col("slots").alias("item_slots"), F.col("first").alias("item_first"), F.col("mark").alias("item_mark"))
     both = seen.join(theirs, "h")
     # one occurrence: windows of one text and one item that lie equally far apart; its sets are no longer than the item
