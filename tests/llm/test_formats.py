@@ -123,6 +123,14 @@ def test_copies_of_an_article_are_not_presentation(spark):
     assert {r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == {"Same\n\nSame words."}
 
 
+def test_copies_of_a_page_count_once_over_all_partitions(spark):
+    one = page("<article><h1>Same</h1><div><p>Same words.</p></div><ul><li>a<li>b</ul></article>")
+    rows = [(k, "http://h.example.com/", one) for k in range(40)] + [(40 + k, "http://i.example.com/", one) for k in range(2)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 8):
+        assert {r.text for r in html_text.extract(table.repartition(parts)).collect()} == {"Same\n\nSame words.\n\na\n\nb"}
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (1, None, None), (2, "no url", ""), (None, "http://x/", "<p>" * 3000 + "deep"), (3, "http://x/", "<article>" + "w " * 100_000), (4, "http://x/", "<<>< a='\"><p x=\"1>2\">q</p>"), (5, "http://x/", "<script>never ends")]
     table = spark.createDataFrame([(*r, "t") for r in rows], "page_id long, url string, html string, text string")

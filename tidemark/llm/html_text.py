@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import textbytes as tb
 from tidemark.runtime import cut_lineage
 
 #: Pages of a host that must have a path before its importance counts.
@@ -32,6 +33,8 @@ LEAST_PAGES = 5
 LEAST_IMPORTANCE = 0.3
 #: Paths of little importance that are sent to all tasks at most; beyond, pages are joined by host.
 BROADCAST_PATHS = 100_000
+#: Bits of the field of pages that occur more than once.
+FIELD_BITS = 22
 
 # Element names by what the HTML standard says of them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -195,29 +198,37 @@ def importances(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
 
     With m pages, layouts of shares p have importance -sum(p log_m p); a text
     that k pages show has importance 1 - log_m k, averaged over what the pages
-    show.  A path has the larger of the two if it holds text.  Pages that are equal byte for byte count
-    once per task.
+    show.  A path has the larger of the two if it holds text.  Pages of a host
+    that are equal byte for byte count once, wherever they lie: pages that a
+    bit field takes for copies go on with their digest, which is counted.
     """
+    rows = pages.select(host_of(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = rows.withColumn("h", F.xxhash64("host", "html"))
+    copies = tb.bit_field(rows.groupBy("h").count().where(F.col("count") > 1), "h", FIELD_BITS)
+
     def batches(stream):
         for batch in stream:
             count, seen = Counter(), set()
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mark = (host, xxhash.xxh3_128_digest(page or ""))
-                if mark in seen:
-                    continue
-                seen.add(mark)
-                for (path, kind), values in features(parse(page or "")).items():
+            copied = tb.in_field(batch.column(2).to_numpy(), copies, FIELD_BITS)
+            for host, page, twice in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), copied):
+                own = None
+                if twice:
+                    own = xxhash.xxh3_128_digest(page)
+                    if (host, own) in seen:
+                        continue
+                    seen.add((host, own))
+                for (path, kind), values in features(parse(page)).items():
                     if kind == 0:  # once for each path of the page
-                        count[host, path, 2, 0] += 1
+                        count[host, path, 2, 0, own] += 1
                     for value in values:
-                        count[host, path, kind, value] += 1
+                        count[host, path, kind, value, own] += 1
             if count:
-                host, path, kind, value = zip(*count)
+                host, path, kind, value, own = zip(*count)
                 signed = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), signed(path), pa.array(kind, pa.int32()), signed(value), pa.array(list(count.values()), pa.int64())], names=["host", "path", "kind", "value", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), signed(path), pa.array(kind, pa.int32()), signed(value), pa.array(list(count.values()), pa.int64()), pa.array(own, pa.binary())], names=["host", "path", "kind", "value", "n", "own"])
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    counted = rows.mapInArrow(batches, "host string, path long, kind int, value long, n long").groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n"))
+    alone = F.coalesce(F.sum(F.when(F.col("own").isNull(), F.col("n"))), F.lit(0))
+    counted = rows.mapInArrow(batches, "host string, path long, kind int, value long, n long, own binary").groupBy("host", "path", "kind", "value").agg((alone + F.count_distinct("own")).alias("n"))
     # sums of n and n ln n are all that the two importances need, so m may come from the same grouping
     part = lambda kind, value: F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0.0))
     nlogn = F.col("n") * F.log("n")
