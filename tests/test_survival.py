@@ -153,6 +153,12 @@ def test_hazard_forest_ranks_and_gives_falling_curves(spark):
     assert all(0 <= b <= a <= 1 for a, b in zip(curve, curve[1:])) and len(curve) == model.steps
 
 
+def test_one_long_time_does_not_widen_the_steps_of_the_hazard_forest(spark):
+    rows = [(k % 2 == 0, float(1 + k % 5), float(k % 3)) for k in range(40)] + [(False, 300.0, 1.0)]
+    model = hazard_forest.fit_hazard_forest(spark.createDataFrame(rows, "event BOOLEAN, time DOUBLE, x DOUBLE"), ["x"], trees=2, depth=2, leaf=1)
+    assert model.width == 1 and model.steps == 300
+
+
 def test_risk_quartiles_collapse_equal_edges(spark):
     frame = spark.createDataFrame([(float(r), True, 1.0) for r in [1, 1, 1, 1, 2, 3, 4, 5]], "risk DOUBLE, event BOOLEAN, time DOUBLE")
     grouped = survival.risk_quartiles(frame)

@@ -17,7 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STEPS = 60
+#: Units of time of a step; their number follows from the longest time.
+STEP_WIDTH = 1.0
 
 
 @dataclass
@@ -67,12 +68,11 @@ def fit_hazard_forest(
     trees: int = 50,
     depth: int = 5,
     leaf: int = 15,
-    max_steps: int = MAX_STEPS,
+    width: float = STEP_WIDTH,
     seed: int = 42,
 ) -> HazardForest:
-    """Fit on ``event, time`` and numeric features; time is cut into at most ``max_steps``."""
+    """Fit on ``event, time`` and numeric features; time is cut into steps of ``width``."""
     longest = df.agg(F.max("time")).first()[0] or 1.0
-    width = max(1.0, longest / max_steps)
     steps = int(-(-longest // width)) or 1
     own = F.greatest(F.ceil(F.col("time") / width), F.lit(1)).cast("int")
     rows = (
