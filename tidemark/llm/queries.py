@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, quality, toxicity, warc
+from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, neighbours, quality, toxicity, warc
 from tidemark.llm.checks_sql import chat_sql, leaks_sql, near_dedup_sql, rules_sql, warc_sql
 from tidemark.llm.registry import query, table
 
@@ -77,3 +77,8 @@ def op8_byte_bpe(spark, folder):
 @query("op10_warc", warc_sql())
 def op10_warc(spark, folder):
     return warc.round_trip(table(spark, folder, "pages")).drop("url")
+
+
+@query("op11_neighbours")
+def op11_neighbours(spark, folder):
+    return neighbours.search(table(spark, folder, "embeddings"), every=50, k=5)
