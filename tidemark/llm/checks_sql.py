@@ -145,3 +145,34 @@ SELECT met.doc_id, met.item_id, count(DISTINCT i)::BIGINT AS n_windows, min(i)::
 FROM met LEFT JOIN fit ON fit.doc_id = met.doc_id AND fit.item_id = met.item_id
 GROUP BY met.doc_id, met.item_id HAVING coalesce(any_value(same), true) OR any_value(one)
 """
+
+
+def codebooks_sql(scale: int = 1024, parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Codes by the definition: every part against every entry in every round, in whole numbers."""
+    floored = "((s - ((s % n) + n) % n) // n)"
+    book = lambda r: f"b{r}"
+    steps = [f"""
+kept AS (SELECT vec_id, label, embedding FROM embeddings
+         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+numbered AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS entry, len(embedding) // {parts} AS each FROM kept),
+x AS (SELECT vec_id, entry, (place - 1) // each AS part, (place - 1) % each AS pos, floor({scale} * v::DOUBLE)::BIGINT AS v
+      FROM (SELECT vec_id, entry, each, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS place FROM numbered)),
+b0 AS (SELECT entry, part, pos, v FROM x WHERE entry < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS (SELECT x.vec_id, x.part, e.entry, sum((x.v - e.v) * (x.v - e.v))::BIGINT AS d
+        FROM x JOIN {book(r)} AS e ON x.part = e.part AND x.pos = e.pos GROUP BY ALL),
+a{r} AS (SELECT vec_id, part, min(d * {entries} + entry)::BIGINT AS m FROM d{r} GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT m % {entries} AS entry, x.part, pos, sum(v)::BIGINT AS s, count(*)::BIGINT AS n
+        FROM a{r} JOIN x ON a{r}.vec_id = x.vec_id AND a{r}.part = x.part GROUP BY ALL),
+{book(r + 1)} AS (SELECT entry, part, pos, coalesce({floored}, v) AS v FROM {book(r)} LEFT JOIN s{r} USING (entry, part, pos))""")
+    return f"""
+WITH {','.join(steps)},
+coded AS (SELECT vec_id, string_agg(lower(printf('%02x', m % {entries})), '' ORDER BY part) AS code, sum(m // {entries})::BIGINT AS error
+          FROM a{rounds} GROUP BY vec_id),
+sha AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM {book(rounds)})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), sha
+"""

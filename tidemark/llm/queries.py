@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, decontaminate, divergence, html_text, labelled, language_id, minhash, neighbours, quality, toxicity, warc
-from tidemark.llm.checks_sql import chat_sql, leaks_sql, near_dedup_sql, rules_sql, warc_sql
+from tidemark.llm import bpe, chat, codebooks, decontaminate, divergence, html_text, labelled, language_id, minhash, neighbours, quality, toxicity, warc
+from tidemark.llm.checks_sql import chat_sql, codebooks_sql, leaks_sql, near_dedup_sql, rules_sql, warc_sql
 from tidemark.llm.registry import query, table
 
 #: Rank file of the public tokenizers that the token queries use.
@@ -82,3 +82,8 @@ def op10_warc(spark, folder):
 @query("op11_neighbours")
 def op11_neighbours(spark, folder):
     return neighbours.search(table(spark, folder, "embeddings"), every=50, k=5)
+
+
+@query("op12_vector_codes", codebooks_sql(codebooks.SCALE, codebooks.PARTS, codebooks.ENTRIES, codebooks.ROUNDS))
+def op12_vector_codes(spark, folder):
+    return codebooks.compress(table(spark, folder, "embeddings"))
