@@ -176,3 +176,32 @@ sha AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
 FROM coded JOIN kept USING (vec_id), sha
 """
+
+
+def source_audit_sql(least: int = 30, one: int = 1_000_000_000, smooth: int = 5, top: int = 50) -> str:
+    """Shares of every kept term in every group, then all pairs of sources and the terms above the language."""
+    letters = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    share = f"1 + ({one}::HUGEINT * (coalesce(n, 0) + {smooth})) // (size + {smooth} * terms)"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {lower} AS text FROM documents),
+words AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '{letters}')) AS term FROM docs),
+kept AS (SELECT lang, term FROM (SELECT DISTINCT lang, r, term FROM words) GROUP BY ALL HAVING count(*) >= {least}),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+width AS (SELECT lang, count(*) AS terms FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, terms
+         FROM groups AS g JOIN kept AS k USING (lang) JOIN width USING (lang) LEFT JOIN counts AS c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, ({share})::BIGINT AS p FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS size FROM grid)),
+q AS (SELECT lang, term, ({share})::BIGINT AS q FROM (
+      SELECT lang, term, n, terms, sum(n) OVER (PARTITION BY lang) AS size FROM (SELECT lang, term, terms, sum(n) AS n FROM grid GROUP BY ALL))),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart AS d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+more AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, p - q AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM more))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top}
+"""

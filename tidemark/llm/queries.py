@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, codebooks, decontaminate, divergence, html_text, labelled, language_id, minhash, neighbours, quality, toxicity, warc
-from tidemark.llm.checks_sql import chat_sql, codebooks_sql, leaks_sql, near_dedup_sql, rules_sql, warc_sql
+from tidemark.llm import bpe, chat, codebooks, decontaminate, divergence, html_text, labelled, language_id, minhash, neighbours, quality, source_audit, toxicity, warc
+from tidemark.llm.checks_sql import chat_sql, codebooks_sql, leaks_sql, near_dedup_sql, rules_sql, source_audit_sql, warc_sql
 from tidemark.llm.registry import query, table
 
 #: Rank file of the public tokenizers that the token queries use.
@@ -87,3 +87,8 @@ def op11_neighbours(spark, folder):
 @query("op12_vector_codes", codebooks_sql(codebooks.SCALE, codebooks.PARTS, codebooks.ENTRIES, codebooks.ROUNDS))
 def op12_vector_codes(spark, folder):
     return codebooks.compress(table(spark, folder, "embeddings"))
+
+
+@query("op13_source_audit", source_audit_sql(source_audit.MIN_DF, source_audit.ONE, source_audit.SMOOTH, source_audit.TOP))
+def op13_source_audit(spark, folder):
+    return source_audit.audit(table(spark, folder, "documents"))
