@@ -117,7 +117,12 @@ def ranking_metrics(
     Average precision adds up recall gained times precision at each distinct
     score; it is not the area under straight lines between the points.
     """
-    ranked = _ranked(df, by, label, score)
+    return ranking_of_counts(score_counts(df, by, label, score), by, score)
+
+
+def ranking_of_counts(counts: DataFrame, by: Sequence[str] = (), score: str = "score") -> DataFrame:
+    """The same from positives and negatives (pos, neg) per distinct score."""
+    ranked = running(counts, list(by), score, sums=["pos", "neg"], descending=True)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     above = F.col("neg_run") - F.col("neg")
     beaten = pos * (above + neg / 2)

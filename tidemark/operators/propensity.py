@@ -2,13 +2,15 @@
 
 Estimators are MLlib pipelines; folds are a column, so every fit of a search
 reads one cached frame, and fits run side by side from a small thread pool.
-Scores come back as one long frame and are measured exactly by ``curves``.
+Logistic regressions of a search are fitted together (``logistic_grid``).  A
+search keeps counts of scores, which add up; final models are measured exactly.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline
@@ -18,8 +20,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.curves import evaluate_scores, ranking_metrics
-from tidemark.operators.splits import growing_subsets, stratified_folds
+from tidemark.operators import logistic_grid
+from tidemark.operators.curves import evaluate_scores, ranking_of_counts
+from tidemark.operators.logistic_grid import SCORE_DIGITS, Cell
+from tidemark.operators.splits import growing_subsets, stratified_folds, subset_levels
 from tidemark.runtime import cut_lineage, right_sized, run_parallel
 
 SEED = 42
@@ -136,11 +140,18 @@ def best_model(comparison: DataFrame) -> DataFrame:
     return comparison.orderBy(F.col("roc_auc").desc(), "model").limit(1)
 
 
-def _fold_scores(
+def _counts(model, df: DataFrame, **constants) -> DataFrame:
+    """Positives and negatives per score at ``SCORE_DIGITS`` digits: what a fit of a search leaves behind."""
+    scored = _scores(model, df, []).groupBy(F.round("score", SCORE_DIGITS).alias("score"))
+    counts = scored.agg(F.sum("label").alias("pos"), (F.count(F.lit(1)) - F.sum("label")).alias("neg"))
+    return counts.select(*[F.lit(v).alias(k) for k, v in constants.items()], "score", "pos", "neg")
+
+
+def _fold_counts(
     candidates: Sequence[tuple[str, Callable[[int], Pipeline]]], df: DataFrame, folds: int, threads: int,
     with_train: bool = False,
 ) -> DataFrame:
-    """Scores of every candidate on every fold's unseen (and optionally seen) rows."""
+    """Score counts of every candidate on every fold's unseen (and optionally seen) rows."""
     sizes = {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
     total = sum(sizes.values())
 
@@ -149,26 +160,63 @@ def _fold_scores(
             seen = df.filter(F.col("fold") != fold)
             model = make(total - sizes.get(fold, 0)).fit(seen)
             parts = [("validation", df.filter(F.col("fold") == fold))] + ([("train", seen)] if with_train else [])
-            out = None
-            for role, rows in parts:
-                part = _scores(model, rows, []).select(
-                    F.lit(name).alias("candidate"), F.lit(fold).alias("fold"), F.lit(role).alias("role"), "label", "score"
-                )
-                out = part if out is None else out.unionByName(part)
-            return out
+            return reduce(DataFrame.unionByName, [_counts(model, rows, candidate=name, fold=fold, role=role) for role, rows in parts])
 
         return run
 
     jobs = [job(name, make, fold) for name, make in candidates for fold in range(folds)]
-    frames = run_parallel(df.sparkSession, jobs, threads)
-    long = frames[0]
-    for frame in frames[1:]:
-        long = long.unionByName(frame)
-    return long
+    return reduce(DataFrame.unionByName, run_parallel(df.sparkSession, jobs, threads))
+
+
+def _auc_by_fold(counts: DataFrame) -> DataFrame:
+    return ranking_of_counts(counts, ["candidate", "role", "fold"])
+
+
+def _logistic_auc(folded: DataFrame, features: Sequence[str], cells: Sequence[Cell]) -> tuple[DataFrame, logistic_grid.Fits]:
+    """ROC-AUC of every cell and role with what the cell is; all cells are fitted in the same passes."""
+    rows = cut_lineage(logistic_grid.complete(folded, features))
+    fits = logistic_grid.fit_cells(rows, features, cells)
+    auc = ranking_of_counts(logistic_grid.score_counts(rows, fits), ["cell", "role"]).select("cell", "role", "roc_auc")
+    return auc.join(fits.table(rows.sparkSession).drop("weights", "centre", "width"), "cell"), fits
+
+
+def logistic_folds(df: DataFrame, features: Sequence[str], key: str, folds: int = 5, seed: int = SEED, c: float = 1.0) -> DataFrame:
+    """ROC-AUC of one logistic regression on every stratified fold."""
+    folded = stratified_folds(df, ["label"], key, folds, seed)
+    auc, _ = _logistic_auc(folded, features, [Cell(c=c, fold=f) for f in range(folds)])
+    return auc.where(F.col("role") == "validation").select("fold", "roc_auc")
+
+
+def logistic_search(
+    df: DataFrame, features: Sequence[str], combinations: Sequence[dict], key: str, folds: int = 3, seed: int = SEED
+) -> DataFrame:
+    """Cross-validated ROC-AUC of every (c, l1_ratio), best first; all of them are fitted in the same passes."""
+    cells = [Cell(c=p.get("c", 1.0), l1_ratio=p.get("l1_ratio", 0.0), fold=f) for p in combinations for f in range(folds)]
+    auc, _ = _logistic_auc(stratified_folds(df, ["label"], key, folds, seed), features, cells)
+    table = mean_and_spread(auc.where(F.col("role") == "validation"), ["c", "l1_ratio"])
+    return table.orderBy(F.col("mean").desc(), "c", "l1_ratio")
 
 
-def _auc_by_fold(scores: DataFrame) -> DataFrame:
-    return ranking_metrics(scores, ["candidate", "role", "fold"])
+def logistic_validation_curve(
+    df: DataFrame, features: Sequence[str], key: str, values: Sequence[float] = C_VALUES, folds: int = 3, seed: int = SEED
+) -> DataFrame:
+    """Train and validation ROC-AUC for every inverse penalty."""
+    cells = [Cell(c=float(c), fold=f) for c in values for f in range(folds)]
+    auc, _ = _logistic_auc(stratified_folds(df, ["label"], key, folds, seed), features, cells)
+    return _role_table(auc, "c")
+
+
+def logistic_learning_curve(
+    df: DataFrame, features: Sequence[str], key: str, fractions: Sequence[float] = LEARNING_FRACTIONS,
+    folds: int = 3, seed: int = SEED, c: float = 1.0,
+) -> DataFrame:
+    """Train and validation ROC-AUC for growing training sets; rows know their first subset and are not copied."""
+    folded = subset_levels(stratified_folds(df, ["label"], key, folds, seed), key, fractions, seed + 1, keys=["fold"])
+    # a row beyond the largest subset trains nothing, but still counts for validation
+    held = folded.withColumn("level", F.coalesce("level", F.lit(len(fractions) + 1)))
+    cells = [Cell(c=c, fold=f, level=s) for s in range(1, len(fractions) + 1) for f in range(folds)]
+    auc, _ = _logistic_auc(held, features, cells)
+    return _role_table(auc, "level").withColumnRenamed("level", "subset")
 
 
 def cross_validate(
@@ -177,7 +225,7 @@ def cross_validate(
     """ROC-AUC of one model on every stratified fold."""
     folded = right_sized(stratified_folds(df, ["label"], key, folds, seed))
     try:
-        scores = cut_lineage(_fold_scores([("model", make)], folded, folds, threads))
+        scores = cut_lineage(_fold_counts([("model", make)], folded, folds, threads))
     finally:
         folded.unpersist()
     return _auc_by_fold(scores).select("fold", "roc_auc")
@@ -206,19 +254,26 @@ def search(
     make: Maker, features: Sequence[str], combinations: Sequence[dict], df: DataFrame, key: str,
     folds: int = 3, threads: int = 8, seed: int = SEED,
 ) -> DataFrame:
-    """Cross-validated ROC-AUC of every combination, best first."""
+    """Cross-validated ROC-AUC of every combination, best first, with the parameters as typed columns."""
     folded = right_sized(stratified_folds(df, ["label"], key, folds, seed))
     candidates = [
         (describe(p), lambda rows, p=p: make(features, rows, **p)) for p in combinations
     ]
     try:
-        scores = cut_lineage(_fold_scores(candidates, folded, folds, threads))
+        scores = cut_lineage(_fold_counts(candidates, folded, folds, threads))
     finally:
         folded.unpersist()
-    return (
-        mean_and_spread(_auc_by_fold(scores), ["candidate"])
-        .orderBy(F.col("mean").desc(), "candidate")
-    )
+    table = mean_and_spread(_auc_by_fold(scores), ["candidate"])
+    names = sorted({name for p in combinations for name in p})
+    value = lambda v: list(v) if isinstance(v, tuple) else v
+    typed = df.sparkSession.createDataFrame([(describe(p), *[value(p.get(n)) for n in names]) for p in combinations], ["candidate", *names])
+    return table.join(typed, "candidate").orderBy(F.col("mean").desc(), "candidate")
+
+
+def best_parameters(table: DataFrame) -> dict:
+    """The parameters of the best row of a search."""
+    row = table.orderBy(F.col("mean").desc()).drop("candidate", "mean", "std").first().asDict()
+    return {k: tuple(v) if isinstance(v, list) else v for k, v in row.items() if v is not None}
 
 
 def learning_curve(
@@ -237,36 +292,25 @@ def learning_curve(
             rows = sum(n for (s, f), n in sizes.items() if s == subset and f != fold)
             model = make(rows).fit(seen)
             parts = (("train", seen), ("validation", folded.filter(F.col("fold") == fold)))
-            frames = [
-                _scores(model, part, []).select(
-                    F.lit(str(subset)).alias("candidate"), F.lit(fold).alias("fold"), F.lit(role).alias("role"),
-                    "label", "score",
-                )
-                for role, part in parts
-            ]
-            return frames[0].unionByName(frames[1])
+            return reduce(DataFrame.unionByName, [_counts(model, part, candidate=str(subset), fold=fold, role=role) for role, part in parts])
 
         return run
 
     jobs = [job(s, f) for s in range(1, len(fractions) + 1) for f in range(folds)]
     try:
-        frames = run_parallel(df.sparkSession, jobs, threads)
-        long = frames[0]
-        for frame in frames[1:]:
-            long = long.unionByName(frame)
-        scores = cut_lineage(long)
+        scores = cut_lineage(reduce(DataFrame.unionByName, run_parallel(df.sparkSession, jobs, threads)))
     finally:
         grown.unpersist()
         folded.unpersist()
     return _role_table(_auc_by_fold(scores)).withColumn("subset", F.col("candidate").cast("int")).drop("candidate")
 
 
-def _role_table(auc: DataFrame) -> DataFrame:
+def _role_table(auc: DataFrame, by: str = "candidate") -> DataFrame:
     """One row per candidate: mean and deviation for train and validation, and the gap."""
     def of(role, value):
         return F.when(F.col("role") == role, F.col(value))
 
-    return auc.groupBy("candidate").agg(
+    return auc.groupBy(by).agg(
         F.avg(of("train", "roc_auc")).alias("train_mean"), F.stddev_pop(of("train", "roc_auc")).alias("train_std"),
         F.avg(of("validation", "roc_auc")).alias("validation_mean"),
         F.stddev_pop(of("validation", "roc_auc")).alias("validation_std"),
@@ -284,7 +328,7 @@ def validation_curve(
         (str(v), lambda rows, v=v: make(features, rows, **{**(fixed or {}), parameter: v})) for v in values
     ]
     try:
-        scores = cut_lineage(_fold_scores(candidates, folded, folds, threads, with_train=True))
+        scores = cut_lineage(_fold_counts(candidates, folded, folds, threads, with_train=True))
     finally:
         folded.unpersist()
     return _role_table(_auc_by_fold(scores)).withColumnRenamed("candidate", parameter)

@@ -164,6 +164,18 @@ def growing_subsets(
     )
 
 
+def subset_levels(
+    df: DataFrame, id_column: str, fractions: Sequence[float], seed: int = 42, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The same nested subsets without copies: ``level`` is the first subset that holds the row, NULL for none.
+
+    A row is in every subset from its level on.
+    """
+    ranked = shuffled_rank(df, keys, id_column, seed, rank="_rank", size="_size")
+    holds = [F.when(F.col("_rank") <= F.round(F.col("_size") * float(f)), F.lit(i)) for i, f in enumerate(fractions, start=1)]
+    return ranked.withColumn("level", F.least(*holds) if len(holds) > 1 else holds[0]).drop("_rank", "_size")
+
+
 def pick_some(df: DataFrame, id_column: str, n: int = 3, seed: int = 42) -> DataFrame:
     """The same ``n`` pseudo-randomly chosen rows on every run."""
     return df.orderBy(shuffle_key(id_column, seed), id_column).limit(n)

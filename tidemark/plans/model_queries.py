@@ -13,8 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators import (
-    cox, curves, encode, features, grains, hazard_forest, metrics, propensity, rank_svm, segments, splits, survival,
-    trees,
+    cox, curves, encode, features, grains, hazard_forest, logistic_grid, metrics, propensity, rank_svm, segments, splits,
+    survival, trees,
 )
 from tidemark.plans import tables as t
 from tidemark.plans.customer_queries import NUMERIC, SEED, survival_table
@@ -330,9 +330,7 @@ def churn_importances(spark, folder):
 @query("churn_cross_validation")
 def churn_cross_validation(spark, folder):
     train, _, names = _train_test(spark, folder)
-    auc = cut_lineage(
-        propensity.cross_validate(lambda rows: propensity.logistic(names, rows), train, "customer_id")
-    )
+    auc = cut_lineage(propensity.logistic_folds(train, names, "customer_id"))
     return auc.withColumn("kind", F.lit("fold")).select("kind", "fold", F.col("roc_auc").alias("mean"), F.lit(None).cast("double").alias("std")).unionByName(
         propensity.mean_and_spread(auc).select(F.lit("all").alias("kind"), F.lit(None).cast("int").alias("fold"), "mean", "std")
     )
@@ -342,7 +340,52 @@ def churn_cross_validation(spark, folder):
 def churn_grid_search(spark, folder):
     train, _, names = _train_test(spark, folder)
     grid = propensity.all_combinations(propensity.LOGISTIC_GRID)
-    return propensity.search(propensity.logistic, names, grid, train, "customer_id")
+    return propensity.logistic_search(train, names, grid, "customer_id")
+
+
+# The splits from the table alone: what each fit is trained on; a fit is right where its gradient is 0.
+_CELLS = _TEST_ROWS + """, train AS (SELECT customer_id, churn, h, md5(CAST(customer_id AS VARCHAR) || ':43') AS h2 FROM r WHERE rk > round(n * 0.2)),
+  k AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) - 1 AS at FROM train),
+  g AS (SELECT *, at % 3 AS f3, at % 5 AS f5 FROM k),
+  s AS (SELECT *, row_number() OVER (PARTITION BY f3 ORDER BY h2, customer_id) AS rk, COUNT(*) OVER (PARTITION BY f3) AS m FROM g),
+  steps AS (SELECT UNNEST([1, 2, 3, 4, 5, 6]) AS level, UNNEST([0.1, 0.28, 0.46, 0.64, 0.82, 1.0]::DOUBLE[]) AS fraction),
+  folds AS (SELECT UNNEST(range(5)) AS fold),
+  cells AS (
+    SELECT 'grid' AS kind, c, l1_ratio, fold, 6 AS level FROM folds, (SELECT UNNEST([0.01, 0.1, 1.0, 10.0]::DOUBLE[]) AS c),
+      (SELECT UNNEST([1.0, 0.0]::DOUBLE[]) AS l1_ratio) WHERE fold < 3
+    UNION ALL SELECT 'penalties', c, 0.0, fold, 6 FROM folds, (SELECT UNNEST([0.001, 0.01, 0.1, 1.0, 10.0, 100.0]::DOUBLE[]) AS c) WHERE fold < 3
+    UNION ALL SELECT 'sizes', 1.0, 0.0, fold, level FROM folds, steps WHERE fold < 3
+    UNION ALL SELECT 'folds', 1.0, 0.0, fold, 1 FROM folds),
+  sized AS (
+    SELECT kind, c, l1_ratio, fold, level, COUNT(*) AS rows, SUM(churn) AS positives FROM cells JOIN steps USING (level) JOIN s
+      ON kind <> 'folds' AND f3 <> fold AND rk <= round(m * fraction) GROUP BY ALL
+    UNION ALL SELECT kind, c, l1_ratio, fold, level, COUNT(*), SUM(churn) FROM cells JOIN s ON kind = 'folds' AND f5 <> fold GROUP BY ALL)
+  SELECT kind, c, l1_ratio, CAST(fold AS INTEGER) AS fold, CAST(level AS INTEGER) AS level, rows::BIGINT AS rows, positives::BIGINT AS positives,
+    true AS converged, 0.0 AS gradient FROM sized"""
+
+
+@query("churn_logistic_fits", on_customers(_CELLS))
+def churn_logistic_fits(spark, folder):
+    """Every logistic regression of the searches and curves: what it is trained on, and its gradient."""
+    train, _, names = _train_test(spark, folder)
+    sizes = range(1, len(propensity.LEARNING_FRACTIONS) + 1)
+    folded = splits.stratified_folds(train, ["label"], "customer_id", 3, SEED)
+    grown = splits.subset_levels(folded, "customer_id", propensity.LEARNING_FRACTIONS, SEED + 1, keys=["fold"])
+    grid = [logistic_grid.Cell(p["c"], p["l1_ratio"], f, 6) for p in propensity.all_combinations(propensity.LOGISTIC_GRID) for f in range(3)]
+    penalties = [logistic_grid.Cell(c, 0.0, f, 6) for c in propensity.C_VALUES for f in range(3)]
+    grown_cells = [logistic_grid.Cell(1.0, 0.0, f, s) for s in sizes for f in range(3)]
+    kinds = ["grid"] * len(grid) + ["penalties"] * len(penalties) + ["sizes"] * len(grown_cells)
+
+    def checked(rows, cells, kinds):
+        held = cut_lineage(logistic_grid.complete(rows, names))
+        table = logistic_grid.gradients(held, logistic_grid.fit_cells(held, names, cells))
+        return table.withColumn("kind", F.array(*map(F.lit, kinds))[F.col("cell")])
+
+    five = splits.stratified_folds(train, ["label"], "customer_id", 5, SEED)
+    both = checked(grown, grid + penalties + grown_cells, kinds).unionByName(
+        checked(five, [logistic_grid.Cell(fold=f) for f in range(5)], ["folds"] * 5)
+    )
+    return rounded(both.select("kind", "c", "l1_ratio", "fold", "level", "rows", "positives", "converged", "gradient"), 6, "gradient")
 
 
 @query("churn_random_search_network")
@@ -362,15 +405,13 @@ def churn_random_search_boosted(spark, folder):
 @query("churn_learning_curve")
 def churn_learning_curve(spark, folder):
     train, _, names = _train_test(spark, folder)
-    return propensity.learning_curve(lambda rows: propensity.logistic(names, rows), train, "customer_id")
+    return propensity.logistic_learning_curve(train, names, "customer_id")
 
 
 @query("churn_validation_curve")
 def churn_validation_curve(spark, folder):
     train, _, names = _train_test(spark, folder)
-    return propensity.validation_curve(
-        propensity.logistic, names, "c", propensity.C_VALUES, train, "customer_id"
-    )
+    return propensity.logistic_validation_curve(train, names, "customer_id")
 
 
 @query("churn_curve_reading")
