@@ -1,73 +1,49 @@
-"""Distribution functions without a statistics package, vectorised over a batch.
-
-Each function sees one value per series, so a pandas UDF over them handles one
-short column per Arrow batch.
-"""
+"""Distribution functions without a statistics package, as column expressions."""
 
 from __future__ import annotations
 
 import math
 
 import numpy as np
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    value = d
-    for m in range(1, 400):
-        for numerator in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 + numerator * d
-            c = 1.0 + numerator / c
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = c if abs(c) > tiny else tiny
-            step = c * d
-            value *= step
-        if abs(step - 1.0) < 1e-14:
-            break
-    return value
 
 
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-        + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
+def student_p(t: Column, df: Column) -> Column:
+    """Two-sided p-value for a whole number of degrees of freedom, by the finite series in the squared cosine.
+
+    NULL where ``t`` is missing or there are no degrees of freedom.
+    """
+    whole = F.floor(df).cast("bigint")
+    odd = whole % 2 == 1
+    cosine = df / (df + t * t)
+    sine = F.abs(t) / F.sqrt(df + t * t)
+    terms = F.when(odd, F.floor((whole - 1) / 2)).otherwise(F.floor(whole / 2)).cast("bigint")
+    steps = F.when(terms > 1, F.sequence(F.lit(2).cast("bigint"), F.greatest(terms, F.lit(2).cast("bigint")))).otherwise(F.array().cast("array<bigint>"))
+    first = F.when(terms >= 1, F.lit(1.0)).otherwise(0.0)
 
+    def add(state: Column, j: Column) -> Column:
+        factor = F.when(odd, (2.0 * j - 2) / (2.0 * j - 1)).otherwise((2.0 * j - 3) / (2.0 * j - 2))
+        term = state["term"] * factor * cosine
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
 
-def student_two_sided(t: float, df: float) -> float:
-    """Two-sided p-value of a Student t statistic."""
-    if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
-        return math.nan
-    if math.isinf(t):
-        return 0.0
-    return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
+    total = F.aggregate(steps, F.struct(first.alias("term"), first.alias("total")), add)["total"]
+    inside = F.when(odd, 2 / math.pi * (F.atan2(sine, F.sqrt(cosine)) + sine * F.sqrt(cosine) * total)).otherwise(sine * total)
+    known = t.isNotNull() & ~F.isnan(t) & (df >= 1)
+    return F.when(known, F.when(F.abs(t) == float("inf"), 0.0).otherwise(F.greatest(1 - inside, F.lit(0.0))))
 
 
-@F.pandas_udf(DoubleType())
-def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    values = [student_two_sided(a, b) for a, b in zip(t.astype(float), df.astype(float))]
-    return pd.Series(values, dtype="float64").where(lambda s: s.notna(), None)
+def normal_cdf(x: Column) -> Column:
+    """Standard normal distribution function by its series of odd powers; beyond 8 deviations it is 0 or 1."""
+    near = F.greatest(F.least(x, F.lit(8.0)), F.lit(-8.0))
 
+    def add(state: Column, n: Column) -> Column:
+        term = state["term"] * near * near / (2.0 * n + 1)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
 
-def normal_cdf(x: float) -> float:
-    return 0.5 * math.erfc(-x / math.sqrt(2.0))
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(150)), F.struct(near.alias("term"), near.alias("total")), add)["total"]
+    inside = 0.5 + total * F.exp(-near * near / 2) / math.sqrt(2 * math.pi)
+    return F.when(x < -8, 0.0).when(x > 8, 1.0).otherwise(F.greatest(F.least(inside, F.lit(1.0)), F.lit(0.0)))
 
 
 # The published response surface of the unit-root test with a
@@ -82,19 +58,23 @@ CRITICAL = {
 }
 
 
-def unit_root_p(tau: float) -> float:
+def _polynomial(terms: tuple[float, ...], x: Column) -> Column:
+    """c0 + c1 x + c2 x^2 + ..."""
+    value = F.lit(0.0)
+    for c in reversed(terms):
+        value = value * x + c
+    return value
+
+
+def unit_root_p(tau: Column) -> Column:
     """Approximate p-value of an augmented Dickey-Fuller statistic."""
-    if tau > TAU_MAX:
-        return 1.0
-    if tau < TAU_MIN:
-        return 0.0
-    terms = P_SMALL if tau <= TAU_STAR else P_LARGE
-    return normal_cdf(sum(c * tau**i for i, c in enumerate(terms)))
+    inner = F.when(tau <= TAU_STAR, _polynomial(P_SMALL, tau)).otherwise(_polynomial(P_LARGE, tau))
+    return F.when(tau > TAU_MAX, 1.0).when(tau < TAU_MIN, 0.0).when(tau.isNotNull(), normal_cdf(inner))
 
 
-def unit_root_critical(n_obs: int) -> dict[str, float]:
+def unit_root_critical(n_obs: Column) -> dict[str, Column]:
     """Finite-sample critical values at 1, 5 and 10 percent."""
-    return {k: sum(c / n_obs**i for i, c in enumerate(cs)) for k, cs in CRITICAL.items()}
+    return {k: _polynomial(cs, 1.0 / n_obs) for k, cs in CRITICAL.items()}
 
 
 def levinson_partial(acf: np.ndarray, n: int, lags: int) -> np.ndarray:

@@ -1,8 +1,9 @@
 """Additive regression: piecewise-linear trend, yearly waves, holiday effects.
 
 Bends of the trend carry a double-exponential prior, so most stay near zero;
-it is handled by reweighted ridge regression.  One series is one least-squares
-problem of at most a few hundred rows and columns.
+it is handled by reweighted ridge regression.  The design is column
+expressions; its products are summed once per series (``gram``), and every
+prior scale is a change of the diagonal of that one matrix.
 """
 
 from __future__ import annotations
@@ -12,97 +13,19 @@ from collections.abc import Sequence
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators import gram
 from tidemark.operators.calendar import holiday_windows
+from tidemark.runtime import cut_lineage
 
 # The usual settings of this model family.
 CHANGEPOINTS, CHANGEPOINT_RANGE, YEARLY_ORDER = 25, 0.8, 10
 EFFECT_SCALE, TREND_SCALE, YEAR_DAYS = 10.0, 5.0, 365.25
-
-
-def _yearly(days: np.ndarray, order: int) -> np.ndarray:
-    angles = 2 * math.pi * np.outer(days, np.arange(1, order + 1)) / YEAR_DAYS
-    return np.concatenate([np.sin(angles), np.cos(angles)], axis=1)
-
-
-def fit_additive(
-    days: np.ndarray,
-    y: np.ndarray,
-    train: np.ndarray,
-    effects: Sequence[Sequence[str]],
-    prior_scale: float = 0.05,
-    yearly_order: int = YEARLY_ORDER,
-    width: float = 0.95,
-    rounds: int = 25,
-) -> dict | None:
-    """Fit on the rows flagged ``train`` and evaluate every component on all rows."""
-    size = int(train.sum())
-    if size < 3:
-        return None
-    t_days, t_y = days[train], y[train]
-    span = float(t_days[-1] - t_days[0]) or 1.0
-    scale = float(np.abs(t_y).max()) or 1.0
-    t = (days - t_days[0]) / span
-    usable = int(math.floor(size * CHANGEPOINT_RANGE))
-    bends = min(CHANGEPOINTS, max(usable - 1, 0))
-    spots = np.unique(np.linspace(0, usable - 1, bends + 1).round().astype(int)[1:]) if bends else []
-    knots = t[train][spots] if bends else np.zeros(0)
-
-    names = sorted({e for row, flag in zip(effects, train) if flag for e in row})
-    index = {name: i for i, name in enumerate(names)}
-    holiday = np.zeros((len(days), len(names)))
-    for i, row in enumerate(effects):
-        for e in row:
-            if e in index:
-                holiday[i, index[e]] = 1.0
-    blocks = {
-        "base": np.column_stack([np.ones_like(t), t]),
-        "bends": np.maximum(t[:, None] - knots[None, :], 0.0),
-        "yearly": _yearly(days, yearly_order) if yearly_order else np.zeros((len(days), 0)),
-        "holidays": holiday,
-    }
-    edges, at = {}, 0
-    for name, block in blocks.items():
-        edges[name] = slice(at, at + block.shape[1])
-        at += block.shape[1]
-    design = np.concatenate(list(blocks.values()), axis=1)
-    x, target = design[train], t_y / scale
-
-    penalty = np.full(at, 1.0 / EFFECT_SCALE**2)
-    penalty[edges["base"]] = 1.0 / TREND_SCALE**2
-    gram, moment = x.T @ x, x.T @ target
-    beta, noise = np.zeros(at), float(np.var(target)) or 1e-6
-    shrink = np.full(len(knots), prior_scale)
-    for _ in range(rounds):
-        penalty[edges["bends"]] = 1.0 / (prior_scale * (shrink + 1e-6))
-        new = np.linalg.lstsq(gram + noise * np.diag(penalty), moment, rcond=None)[0]
-        rest = target - x @ new
-        noise = max(float(rest @ rest) / size, 1e-10)
-        shrink = np.abs(new[edges["bends"]])
-        moved = float(np.abs(new - beta).max())
-        beta = new
-        if moved < 1e-8:
-            break
-
-    part = {name: (block @ beta[edges[name]]) * scale for name, block in blocks.items()}
-    trend = part["base"] + part["bends"]
-    yhat = trend + part["yearly"] + part["holidays"]
-    # Beyond the history, bends keep arriving at the past rate with the past size.
-    ahead = np.maximum(t - 1.0, 0.0)
-    typical = float(shrink.mean()) if len(shrink) else 0.0
-    drift = len(knots) * 2 * typical**2 * ahead**3 / 3
-    z = NormalDist().inv_cdf(0.5 + width / 2)
-    half = z * scale * np.sqrt(noise + drift)
-    trend_half = z * scale * np.sqrt(drift)
-    return dict(
-        yhat=yhat, lo=yhat - half, hi=yhat + half, trend=trend, trend_lo=trend - trend_half,
-        trend_hi=trend + trend_half, yearly=part["yearly"], holidays=part["holidays"],
-        knot_days=t_days[spots] if bends else np.zeros(0),
-        deltas=beta[edges["bends"]],
-    )
+#: Rounds of reweighting, and what keeps a bend of size zero from an infinite penalty.
+ROUNDS, FLOOR = 12, 1e-6
 
 
 def with_effects(rows: DataFrame, holidays: DataFrame | None, on: Sequence[str] = ("ds",)) -> DataFrame:
@@ -129,73 +52,138 @@ def extend_rows(history: DataFrame, keys: Sequence[str], horizon: int) -> DataFr
     return history.select(*keys, "ds", "y", F.lit(False).alias("is_test")).unionByName(future)
 
 
-_COLUMNS = ("yhat", "lo", "hi", "trend", "trend_lo", "trend_hi", "yearly", "holidays")
+def _designed(rows: DataFrame, keys: list[str], yearly_order: int) -> DataFrame:
+    """Rows with their regressors ``x``: constant, time, bends, waves, one column per holiday effect.
+
+    Time runs from 0 to 1 over the training rows.  Bends sit at evenly spread
+    training rows of the first part of the history.  Effects that no training
+    row has get no column.
+    """
+    day = F.unix_date("ds").cast("double")
+    train = ~F.col("is_test") & F.col("y").isNotNull() & ~F.isnan("y")
+    own = W.partitionBy(*keys)
+    known = rows.select(*keys, "ds", F.col("y").cast("double").alias("y"), "is_test", "effects").withColumns({"_day": day, "_train": F.coalesce(train, F.lit(False))})
+    known = known.withColumns({
+        "_n": F.count_if("_train").over(own),
+        "_at": F.row_number().over(W.partitionBy(*keys, "_train").orderBy("ds")) - 1,
+    })
+    last = F.floor(F.col("_n") * CHANGEPOINT_RANGE).cast("bigint") - 1
+    bends = F.least(F.lit(CHANGEPOINTS).cast("bigint"), F.greatest(last, F.lit(0).cast("bigint")))
+    known = known.withColumns({"_last": last, "_bends": bends})
+    some = F.greatest(F.col("_bends"), F.lit(1).cast("bigint"))
+    spot = F.exists(F.sequence(F.lit(1).cast("bigint"), some), lambda i: F.floor((2 * i * F.col("_last") + some) / (2 * some)) == F.col("_at"))
+    of = lambda c: F.when(F.col("_train"), c)
+    groups = known.groupBy(*keys).agg(
+        F.max("_n").alias("_size"), F.min(of(F.col("_day"))).alias("_first"), F.max(of(F.col("_day"))).alias("_end"),
+        F.max(of(F.abs("y"))).alias("_most"),
+        F.array_sort(F.collect_list(F.when(F.col("_train") & (F.col("_bends") > 0) & spot, F.col("_day")))).alias("knots"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(of(F.col("effects")))))).alias("names"),
+    )
+    span = F.when(F.col("_end") > F.col("_first"), F.col("_end") - F.col("_first")).otherwise(1.0)
+    scale = F.when(F.col("_most") > 0, F.col("_most")).otherwise(1.0)
+    groups = groups.withColumns({"_span": span, "scale": scale})
+    joined = known.select(*keys, "ds", "y", "is_test", "effects", "_day", "_train").join(groups, keys)
+    time = lambda d: (d - F.col("_first")) / F.col("_span")
+    waves = [f(F.lit(2 * math.pi * k / YEAR_DAYS) * F.col("_day")) for f in (F.sin, F.cos) for k in range(1, yearly_order + 1)]
+    x = F.concat(
+        F.array(F.lit(1.0), F.col("t")),
+        F.transform("knots", lambda k: F.greatest(F.col("t") - time(k), F.lit(0.0))),
+        F.array(*waves) if waves else F.array().cast("array<double>"),
+        F.transform("names", lambda n: F.array_contains("effects", n).cast("double")),
+    )
+    return joined.withColumn("t", time(F.col("_day"))).withColumn("x", x)
+
+
+def _solutions(prior_scales: Sequence[float], yearly_order: int):
+    """The solve of one matrix for all prior scales: reweighted ridge with a re-estimated noise."""
+
+    def run(rows: int, matrix: np.ndarray, bends: int) -> list[dict]:
+        products, moment, square = matrix[:-1, :-1], matrix[:-1, -1], matrix[-1, -1]
+        bent = slice(2, 2 + bends)
+        out = []
+        for scale in prior_scales:
+            penalty = np.full(len(moment), 1.0 / EFFECT_SCALE**2)
+            penalty[:2] = 1.0 / TREND_SCALE**2
+            shrink = np.full(bends, scale)
+            noise = max(square / rows - (moment[0] / rows) ** 2, 0.0) or 1e-6
+            for _ in range(ROUNDS):
+                penalty[bent] = 1.0 / (scale * (shrink + FLOOR))
+                beta = np.linalg.solve(products + noise * np.diag(penalty), moment)
+                noise_used, noise = noise, max((square - 2 * beta @ moment + beta @ products @ beta) / rows, 1e-10)
+                shrink = np.abs(beta[bent])
+            rest = moment - (products + noise_used * np.diag(penalty)) @ beta
+            out.append({
+                "prior_scale": float(scale), "beta": beta.tolist(), "noise": float(noise), "typical": float(shrink.mean()) if bends else 0.0,
+                "unsolved": float(np.abs(rest).max() / rows),
+            })
+        return out
 
+    return run
 
-def _grouped(rows: DataFrame, keys: list[str], run, fields: str) -> DataFrame:
-    source, group = rows, keys
-    if not keys:
-        source, group = rows.withColumn("_all", F.lit(0)), ["_all"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in group)
-    result = source.groupBy(*group).applyInPandas(lambda pdf: run(pdf, group), f"{schema}, {fields}")
-    return result if keys else result.drop("_all")
 
+def fit_series(rows: DataFrame, keys: Sequence[str], prior_scales: Sequence[float], yearly_order: int = YEARLY_ORDER) -> tuple[DataFrame, DataFrame]:
+    """Designed rows, and per series and prior scale: coefficients, noise, mean size of a bend, what the equations leave.
 
-def _fit_frame(pdf: pd.DataFrame, scale_column: str | None, prior_scale: float, **settings):
-    ordered = pdf.sort_values("ds").reset_index(drop=True)
-    days = (pd.to_datetime(ordered["ds"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
-    train = (~ordered["is_test"].to_numpy(dtype=bool)) & ordered["y"].notna().to_numpy()
-    scale = float(ordered[scale_column].iloc[0]) if scale_column else prior_scale
-    effects = [list(e) for e in ordered["effects"]]
-    return ordered, fit_additive(days, ordered["y"].to_numpy(dtype=float), train, effects, scale, **settings)
+    Series with fewer than three training rows get no coefficients.
+    """
+    keys = list(keys)
+    designed = cut_lineage(_designed(rows, keys, yearly_order))
+    vector = F.when(F.col("_train") & (F.col("_size") >= 3), F.concat("x", F.array(F.col("y") / F.col("scale"))))
+    seen = designed.withColumn("bends", F.size("knots")).withColumn("v", vector)
+    sums = gram.products(seen, [*keys, "bends"])
+    fields = "prior_scale double, beta array<double>, noise double, typical double, unsolved double"
+    return designed, cut_lineage(gram.solve(sums, keys, _solutions(prior_scales, yearly_order), fields, ["bends"]))
 
 
 def additive_forecast(
     rows: DataFrame,
     keys: Sequence[str] = (),
-    prior_scale: float = 0.05,
-    scale_column: str | None = None,
+    prior_scale: float | Sequence[float] = 0.05,
     yearly_order: int = YEARLY_ORDER,
     width: float = 0.95,
 ) -> DataFrame:
     """Fit every series and return all rows with forecast, interval and components.
 
     ``rows`` holds ``ds, y, is_test, effects``; rows flagged as test, or without
-    a value, are predicted but not fitted.  ``scale_column`` (one of the keys)
-    turns the prior scale into a candidate axis.
+    a value, are predicted but not fitted.  Several prior scales give the rows
+    once for each, with a column ``prior_scale``; the sums are made once.
     """
-    keys = list(keys)
-
-    def run(pdf: pd.DataFrame, group: list[str]) -> pd.DataFrame:
-        ordered, fit = _fit_frame(pdf, scale_column, prior_scale, yearly_order=yearly_order, width=width)
-        out = ordered[[*group, "ds", "is_test", "y"]].copy()
-        for c in _COLUMNS:
-            out[c] = np.nan if fit is None else fit[c]
-        out["status"] = "short_history" if fit is None else "ok"
-        return out
-
-    fields = "ds DATE, is_test BOOLEAN, y DOUBLE, " + ", ".join(f"{c} DOUBLE" for c in _COLUMNS) + ", status STRING"
-    return _grouped(rows, keys, run, fields).withColumnsRenamed({"lo": "yhat_lo", "hi": "yhat_hi"})
+    many = not isinstance(prior_scale, (int, float))
+    scales = list(prior_scale) if many else [float(prior_scale)]
+    source, group = (rows, list(keys)) if keys else (rows.withColumn("_all", F.lit(0)), ["_all"])
+    designed, fits = fit_series(source, group, scales, yearly_order)
+    candidates = designed.withColumn("prior_scale", F.explode(F.array(*[F.lit(float(s)) for s in scales])))
+    both = candidates.join(fits, [*group, "prior_scale"], "left")
+    bends = F.size("knots")
+    part = lambda start, size: gram.dot(F.slice("x", start, size), F.slice("beta", start, size)) * F.col("scale")
+    rest = F.lit(3) + bends + 2 * yearly_order
+    parts = both.withColumns({
+        "trend": part(F.lit(1), F.lit(2) + bends), "yearly": part(F.lit(3) + bends, F.lit(2 * yearly_order)), "holidays": part(rest, F.size("names")),
+    })
+    # beyond the history, bends keep arriving at the past rate with the past size
+    ahead = F.greatest(F.col("t") - 1, F.lit(0.0))
+    drift = bends * 2 * F.pow("typical", F.lit(2)) * F.pow(ahead, F.lit(3)) / 3
+    wide = F.lit(NormalDist().inv_cdf(0.5 + width / 2)) * F.col("scale")
+    parts = parts.withColumns({"yhat": F.col("trend") + F.col("yearly") + F.col("holidays"), "_half": wide * F.sqrt(F.col("noise") + drift), "_trend_half": wide * F.sqrt(drift)})
+    return parts.select(
+        *keys, *(["prior_scale"] if many else []), "ds", "is_test", "y", "yhat",
+        (F.col("yhat") - F.col("_half")).alias("yhat_lo"), (F.col("yhat") + F.col("_half")).alias("yhat_hi"),
+        "trend", (F.col("trend") - F.col("_trend_half")).alias("trend_lo"), (F.col("trend") + F.col("_trend_half")).alias("trend_hi"),
+        "yearly", "holidays", F.when(F.col("beta").isNull(), "short_history").otherwise("ok").alias("status"),
+    )
 
 
-def additive_changepoints(
-    rows: DataFrame, keys: Sequence[str] = (), prior_scale: float = 0.05, scale_column: str | None = None
-) -> DataFrame:
+def additive_changepoints(rows: DataFrame, keys: Sequence[str] = (), prior_scale: float | Sequence[float] = 0.05) -> DataFrame:
     """Where the trend may bend, and by how much it did (slope change, scaled units)."""
-    keys = list(keys)
-
-    def run(pdf: pd.DataFrame, group: list[str]) -> pd.DataFrame:
-        ordered, fit = _fit_frame(pdf, scale_column, prior_scale)
-        knots = [] if fit is None else fit["knot_days"]
-        out = pd.DataFrame({
-            "ds": [(pd.Timestamp("1970-01-01") + pd.Timedelta(days=float(d))).date() for d in knots],
-            "delta": [] if fit is None else fit["deltas"],
-        })
-        for k in group:
-            out[k] = ordered[k].iloc[0]
-        return out[[*group, "ds", "delta"]]
-
-    return _grouped(rows, keys, run, "ds DATE, delta DOUBLE")
+    many = not isinstance(prior_scale, (int, float))
+    scales = list(prior_scale) if many else [float(prior_scale)]
+    source, group = (rows, list(keys)) if keys else (rows.withColumn("_all", F.lit(0)), ["_all"])
+    designed, fits = fit_series(source, group, scales)
+    knots = designed.groupBy(*group).agg(F.first("knots").alias("knots"))
+    pairs = F.arrays_zip("knots", F.slice("beta", F.lit(3), F.size("knots")).alias("delta"))
+    bends = fits.join(knots, group).select(*group, "prior_scale", F.explode(pairs).alias("bend"))
+    ds = F.date_from_unix_date(F.col("bend.knots").cast("int")).alias("ds")
+    return bends.select(*keys, *(["prior_scale"] if many else []), ds, F.col("bend.delta").alias("delta"))
 
 
 def components_long(fitted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

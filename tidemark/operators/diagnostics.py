@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,6 +19,7 @@ from tidemark.functions.numbers import ratio
 from tidemark.functions.stats import (
     levinson_partial, student_p, unit_root_critical, unit_root_p,
 )
+from tidemark.operators import gram
 from tidemark.runtime import cut_lineage
 
 SEASON = 52
@@ -200,74 +201,90 @@ def autocorrelation(
     )
 
 
-ADF_FIELDS = (
-    "statistic DOUBLE, p_value DOUBLE, lags_used INT, n_obs INT, "
-    "crit_1 DOUBLE, crit_5 DOUBLE, crit_10 DOUBLE, stationary BOOLEAN, status STRING"
-)
+#: How many lags a unit-root test may look at: LAG_RATE * (n / 100) ** 0.25, and at most half the rows.
+LAG_RATE = 12
+
+
+def _lagged(df: DataFrame, keys: list[str], y: str, ds: str) -> DataFrame:
+    """Standardised previous level and difference per row, with all earlier differences the series may need.
+
+    ``limit`` is the series' own largest lag; the window is as wide as the
+    longest series asks for, one number for the whole table.
+    """
+    known = df.filter(F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double"))).select(*keys, ds, F.col(y).cast("double").alias("_y"))
+    longest = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    widest = max(1, math.ceil(LAG_RATE * (longest / 100) ** 0.25))
+    own, ordered = W.partitionBy(*keys), W.partitionBy(*keys).orderBy(ds)
+    n = F.col("_n")
+    limit = F.least(F.floor(n / 2) - 2, F.ceil(LAG_RATE * F.pow(n / 100, F.lit(0.25)))).cast("int")
+    rows = known.withColumns({
+        "_n": F.count(F.lit(1)).over(own), "_mean": F.avg("_y").over(own), "_std": F.stddev_pop("_y").over(own),
+        "_t": F.row_number().over(ordered) - 1, "_flat": F.min("_y").over(own) == F.max("_y").over(own),
+    })
+    rows = rows.withColumns({"_z": ratio(F.col("_y") - F.col("_mean"), F.col("_std")), "limit": limit})
+    rows = rows.withColumns({"_level": F.lag("_z").over(ordered), "_step": F.col("_z") - F.lag("_z").over(ordered)})
+    return rows.withColumn("_past", F.reverse(F.collect_list("_step").over(ordered.rowsBetween(-widest, -1))))
+
+
+def _lag_vector(lags: Column) -> Column:
+    """Level, constant, ``lags`` earlier differences and the current one; NULL where there are fewer."""
+    there = (F.col("_t") - 1 >= lags) & (lags >= 0) & ~F.col("_flat")
+    return F.when(there, F.concat(F.array("_level", F.lit(1.0)), F.slice("_past", F.lit(1), F.greatest(lags, F.lit(0))), F.array("_step")))
+
+
+def _orders(rows: int, matrix: np.ndarray) -> list[dict]:
+    sse = gram.nested_sse(matrix)[1:]
+    return [
+        {"lags": lags, "aic": rows * math.log(max(value, 1e-300) / rows) + 2 * (lags + 2), "sse": float(value)} for lags, value in enumerate(sse)
+    ]
+
+
+def _unit_root(rows: int, matrix: np.ndarray) -> list[dict]:
+    found, freedom = gram.least_squares(rows, matrix), rows - len(matrix) + 1
+    if found is None or found["sse"] <= 0:
+        return []
+    spread = math.sqrt(found["inverse"][0, 0] * found["sse"] / freedom)
+    return [{"statistic": float(found["beta"][0] / spread), "n_obs": rows}]
+
+
+def unit_root_orders(df: DataFrame, keys: Sequence[str] = (), y: str = "y", ds: str = "ds") -> DataFrame:
+    """Information criterion of every lag order of every series, on the sample of the largest one.
+
+    The lagged design is summed once per series at its largest lag; the smaller
+    orders are leading blocks of that one matrix.
+    """
+    source, group = (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
+    orders = _all_orders(_lagged(source, group, y, ds), group)
+    return orders if keys else orders.drop("_all")
 
 
-def _least_squares(design: np.ndarray, target: np.ndarray):
-    beta, *_ = np.linalg.lstsq(design, target, rcond=None)
-    rest = target - design @ beta
-    return beta, float(rest @ rest)
-
-
-def _lagged_design(values: np.ndarray, lags: int) -> tuple[np.ndarray, np.ndarray]:
-    """Level, constant and ``lags`` lagged differences against the current difference."""
-    steps = np.diff(values)
-    target = steps[lags:]
-    columns = [values[lags:-1], np.ones(len(target))]
-    columns += [steps[lags - k : len(steps) - k] for k in range(1, lags + 1)]
-    return np.column_stack(columns), target
-
-
-def unit_root_test(values: np.ndarray) -> dict:
-    """Augmented Dickey-Fuller with a constant; lag order by AIC on a common sample."""
-    n = len(values)
-    empty = dict(statistic=None, p_value=None, lags_used=None, n_obs=None, crit_1=None,
-                 crit_5=None, crit_10=None, stationary=None)
-    limit = min(n // 2 - 2, math.ceil(12 * (n / 100) ** 0.25))
-    if limit < 0 or np.ptp(values) == 0:
-        return {**empty, "status": "short_history" if limit < 0 else "constant"}
-    design, target = _lagged_design(values, limit)
-    size = len(target)
-    best = None
-    for lags in range(limit + 1):
-        width = lags + 2
-        _, sse = _least_squares(design[:, :width], target)
-        score = size * math.log(max(sse, 1e-300) / size) + 2 * width
-        if best is None or score < best[0]:
-            best = (score, lags)
-    lags = best[1]
-    design, target = _lagged_design(values, lags)
-    beta, sse = _least_squares(design, target)
-    freedom = len(target) - design.shape[1]
-    if freedom <= 0 or sse == 0:
-        return {**empty, "status": "short_history"}
-    covariance = np.linalg.pinv(design.T @ design) * (sse / freedom)
-    statistic = float(beta[0] / math.sqrt(covariance[0, 0]))
-    p = unit_root_p(statistic)
-    return dict(statistic=statistic, p_value=p, lags_used=lags, n_obs=len(target),
-                stationary=p < 0.05, status="ok", **unit_root_critical(len(target)))
+def _all_orders(rows: DataFrame, keys: list[str]) -> DataFrame:
+    sums = gram.products(rows.withColumn("v", _lag_vector(F.col("limit"))), keys)
+    return gram.solve(sums, keys, _orders, "lags int, aic double, sse double")
 
 
 def adf_report(df: DataFrame, keys: Sequence[str] = (), y: str = "y", ds: str = "ds") -> DataFrame:
-    """Unit-root test per series, as a grouped map: one task handles whole series."""
-    keys = list(keys)
-    source = df.filter(F.col(y).isNotNull()).select(*keys, ds, F.col(y).alias("_y"))
-    if not keys:
-        source = source.withColumn("_all", F.lit(0))
-    group = keys or ["_all"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in group)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values(ds)
-        row = {k: ordered[k].iloc[0] for k in group}
-        row.update(unit_root_test(ordered["_y"].to_numpy(dtype=float)))
-        return pd.DataFrame([row])
-
-    result = source.groupBy(*group).applyInPandas(run, f"{schema}, {ADF_FIELDS}")
-    return result if keys else result.drop("_all")
+    """Augmented Dickey-Fuller test with a constant per series; the lag order by information criterion.
+
+    Of equally good orders the smallest counts.  The chosen order is fitted on
+    all rows it has lags for.  A constant series, or one too short for a test,
+    says so in ``status``.
+    """
+    source, group = (df, list(keys)) if keys else (df.withColumn("_all", F.lit(0)), ["_all"])
+    rows = cut_lineage(_lagged(source, group, y, ds))
+    best = cut_lineage(_all_orders(rows, group).groupBy(*group).agg(F.min_by("lags", F.struct("aic", "lags")).alias("lags_used")))
+    series = rows.groupBy(*group).agg(F.first("limit").alias("_limit"), F.first("_flat").alias("_flat")).join(best, group, "left")
+    chosen = rows.join(best, group).withColumn("v", _lag_vector(F.col("lags_used")))
+    tests = gram.solve(gram.products(chosen, group), group, _unit_root, "statistic double, n_obs bigint")
+    table = series.join(tests, group, "left")
+    tested = F.col("statistic").isNotNull()
+    status = F.when(tested, "ok").when(F.col("_flat") & (F.col("_limit") >= 0), "constant").otherwise("short_history")
+    levels = unit_root_critical(F.col("n_obs").cast("double"))
+    report = table.withColumn("p_value", unit_root_p(F.col("statistic"))).select(
+        *group, "statistic", "p_value", F.when(tested, F.col("lags_used")).alias("lags_used"), "n_obs",
+        *[value.alias(name) for name, value in levels.items()], (F.col("p_value") < 0.05).alias("stationary"), status.alias("status"),
+    )
+    return report if keys else report.drop("_all")
 
 
 def grid_check(df: DataFrame, keys: Sequence[str] = (), ds: str = "ds") -> DataFrame:

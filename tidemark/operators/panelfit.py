@@ -1,8 +1,10 @@
-"""One forecasting job over many series, folds and models.
+"""Forecast tables over many series, folds and models.
 
-A forecaster is a function ``(train values, horizon) -> forecast`` or ``None``
-when the history is too short.  Every (series, fold, model) is one group of a
-grouped map, so a single long series still spreads over folds and models.
+``forecast_panel`` runs a user's own forecaster: a function ``(train values,
+horizon) -> forecast`` or ``None`` when the history is too short, with every
+(series, fold, model) as one group of a grouped map.  The library's own models
+(``baselines``, ``smoothing``, ``arma``, ``additive``) are Spark expressions and
+need no such function; their forecasts come through ``forecast_table``.
 """
 
 from __future__ import annotations
@@ -12,32 +14,26 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.sarima import extend_sarima, fit_sarima
-from tidemark.operators.smoothing import extend_holt_winters, fit_holt_winters
 
 Forecaster = Callable[[np.ndarray, int], "np.ndarray | None"]
 
 
-def holt_winters(period: int = 52, trend: str | None = "add", seasonal: str | None = "add") -> Forecaster:
-    """Forecaster factory: Holt-Winters exponential smoothing."""
-
-    def forecast(train: np.ndarray, horizon: int):
-        fit = fit_holt_winters(train, period, trend, seasonal)
-        return None if fit is None else extend_holt_winters(fit, horizon)
-
-    return forecast
+def numbered_test(split: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """The test rows with their step, and the largest step of any series."""
+    test = split.where("is_test").withColumn("step", F.row_number().over(W.partitionBy(*keys).orderBy("ds")))
+    return test, test.agg(F.max("step")).first()[0] or 1
 
 
-def sarima(order=(1, 0, 1), seasonal_order=(0, 1, 1, 52)) -> Forecaster:
-    """Forecaster factory: seasonal ARIMA."""
-
-    def forecast(train: np.ndarray, horizon: int):
-        fit = fit_sarima(train, order, seasonal_order)
-        return None if fit is None else extend_sarima(train, fit, horizon)
-
-    return forecast
+def forecast_table(test: DataFrame, future: DataFrame, group: Sequence[str], keys: Sequence[str], model: str) -> DataFrame:
+    """The long forecast table of the test rows from (group, step, yhat); a row without a forecast stays, with a status."""
+    out = test.join(future, [*group, "step"], "left")
+    return out.select(
+        *keys, F.lit(model).alias("model"), "ds", "step", F.col("y").cast("double").alias("y"), "yhat", F.lit("multi_step").alias("horizon_kind"),
+        F.when(F.col("yhat").isNull(), "short_history").otherwise("ok").alias("status"),
+    )
 
 
 def naive(train: np.ndarray, horizon: int):
@@ -110,39 +106,6 @@ def forecast_panel(
     )
 
 
-def holt_winters_parts(
-    df: DataFrame, keys: Sequence[str] = (), period: int = 52, trend: str | None = "add",
-    seasonal: str | None = "add",
-) -> DataFrame:
-    """What Holt-Winters learned: weights, and level, trend and season per week."""
-    keys = list(keys)
-    source, group = df.select(*keys, "ds", "y"), keys
-    if not keys:
-        source, group = source.withColumn("_all", F.lit(0)), ["_all"]
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in group)
-    fields = (
-        "ds DATE, level DOUBLE, trend DOUBLE, season DOUBLE, fitted DOUBLE, alpha DOUBLE, beta DOUBLE, "
-        "gamma DOUBLE, last_level DOUBLE, trend_per_week DOUBLE, trend_pct_per_year DOUBLE"
-    )
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("ds").reset_index(drop=True)
-        fit = fit_holt_winters(ordered["y"].to_numpy(dtype=float), period, trend, seasonal)
-        columns = [*group, "ds", "level", "trend", "season", "fitted", "alpha", "beta", "gamma",
-                   "last_level", "trend_per_week", "trend_pct_per_year"]
-        if fit is None:
-            return pd.DataFrame({c: pd.Series(dtype="object") for c in columns})
-        out = ordered[[*group, "ds"]].copy()
-        out[["level", "trend", "season", "fitted"]] = fit["paths"]
-        out["alpha"], out["beta"], out["gamma"] = fit["alpha"], fit["beta"], fit["gamma"]
-        out["last_level"], out["trend_per_week"] = fit["level"], fit["slope"]
-        out["trend_pct_per_year"] = 100 * fit["slope"] * period / fit["level"] if fit["level"] else np.nan
-        return out[columns]
-
-    result = source.groupBy(*group).applyInPandas(run, f"{key_schema}, {fields}")
-    return result if keys else result.drop("_all")
-
-
 def per_series_score(forecasts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pooled MAPE over all series, and how many series were fitted or opted out."""
     per = forecasts.groupBy("model", *keys).agg(

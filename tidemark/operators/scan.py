@@ -135,6 +135,48 @@ def running(
     )
 
 
+def affine(
+    df: DataFrame, keys: Sequence[str], order: str, bins: Column, slope: Column, shift: Column, start: Column, carry: Sequence[str] = (),
+) -> DataFrame:
+    """The state before each row of a chain s -> slope * s + shift, which starts at the first row's ``start``.
+
+    ``bins`` numbers runs of rows in the order of ``order``.  Maps compose, so
+    every bin becomes one map on its own, the maps of a series are composed
+    from one small row per bin, and each row's state follows from the two.
+    ``df`` holds one row per (keys, order).  Output: keys, order, ``carry``,
+    ``state`` and ``position`` (from 0).
+    """
+    keys = list(keys)
+    entry = F.struct(F.col(order), slope.alias("_a"), shift.alias("_b"), start.alias("_s"), *carry)
+    binned = df.groupBy(*keys, bins.alias("_bin")).agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
+    map_of = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    then = lambda m, a, b: map_of(m["a"] * a, a * m["b"] + b)
+    inside = F.aggregate(
+        "_rows", F.array(map_of(F.lit(1.0), F.lit(0.0))), lambda maps, r: F.concat(maps, F.array(then(F.element_at(maps, -1), r["_a"], r["_b"])))
+    )
+    held = cut_lineage(binned.withColumn("_maps", inside))
+    whole = F.element_at("_maps", -1)
+    one = F.struct("_bin", whole["a"].alias("a"), whole["b"].alias("b"), F.size("_rows").alias("n"), F.col("_rows")[0]["_s"].alias("s"))
+    chains = held.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("_chain"))
+    first = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), F.lit(0).alias("n"))
+
+    def join_bin(before: Column, r: Column) -> Column:
+        last = F.element_at(before, -1)
+        return F.concat(before, F.array(F.struct((last["a"] * r["a"]).alias("a"), (r["a"] * last["b"] + r["b"]).alias("b"), (last["n"] + r["n"]).alias("n"))))
+
+    before = F.aggregate("_chain", F.array(first), join_bin)
+    offsets = chains.select(*keys, F.col("_chain")[0]["s"].alias("_start"), F.explode(F.arrays_zip(F.col("_chain._bin").alias("_bin"), F.slice(before, F.lit(1), F.size("_chain")).alias("_off"))).alias("_at"))
+    offsets = offsets.select(*keys, "_start", "_at._bin", "_at._off")
+    joined = held.alias("l").join(offsets.alias("r"), _null_safe(keys)).select(
+        *[F.col(f"l.{c}") for c in keys], "r._start", "r._off", F.posexplode(F.arrays_zip("_rows", F.slice("_maps", F.lit(1), F.size("_rows")).alias("_map"))).alias("_i", "_each")
+    )
+    entering = F.col("_off.a") * F.col("_start") + F.col("_off.b")
+    return joined.select(
+        *keys, F.col(f"_each._rows.{order}").alias(order), *[F.col(f"_each._rows.{c}").alias(c) for c in carry],
+        (F.col("_each._map.a") * entering + F.col("_each._map.b")).alias("state"), (F.col("_off.n") + F.col("_i")).alias("position"),
+    )
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
     few: int | None = None,

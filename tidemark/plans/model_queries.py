@@ -345,8 +345,8 @@ def churn_grid_search(spark, folder):
 
 # The splits from the table alone: what each fit is trained on; a fit is right where its gradient is 0.
 _CELLS = _TEST_ROWS + """, train AS (SELECT customer_id, churn, h, md5(CAST(customer_id AS VARCHAR) || ':43') AS h2 FROM r WHERE rk > round(n * 0.2)),
-  k AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) - 1 AS at FROM train),
-  g AS (SELECT *, at % 3 AS f3, at % 5 AS f5 FROM k),
+  k AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) - 1 AS place FROM train),
+  g AS (SELECT *, place % 3 AS f3, place % 5 AS f5 FROM k),
   s AS (SELECT *, row_number() OVER (PARTITION BY f3 ORDER BY h2, customer_id) AS rk, COUNT(*) OVER (PARTITION BY f3) AS m FROM g),
   steps AS (SELECT UNNEST([1, 2, 3, 4, 5, 6]) AS level, UNNEST([0.1, 0.28, 0.46, 0.64, 0.82, 1.0]::DOUBLE[]) AS fraction),
   folds AS (SELECT UNNEST(range(5)) AS fold),
@@ -357,10 +357,10 @@ _CELLS = _TEST_ROWS + """, train AS (SELECT customer_id, churn, h, md5(CAST(cust
     UNION ALL SELECT 'sizes', 1.0, 0.0, fold, level FROM folds, steps WHERE fold < 3
     UNION ALL SELECT 'folds', 1.0, 0.0, fold, 1 FROM folds),
   sized AS (
-    SELECT kind, c, l1_ratio, fold, level, COUNT(*) AS rows, SUM(churn) AS positives FROM cells JOIN steps USING (level) JOIN s
+    SELECT kind, c, l1_ratio, fold, level, COUNT(*) AS trained, SUM(churn) AS positives FROM cells JOIN steps USING (level) JOIN s
       ON kind <> 'folds' AND f3 <> fold AND rk <= round(m * fraction) GROUP BY ALL
     UNION ALL SELECT kind, c, l1_ratio, fold, level, COUNT(*), SUM(churn) FROM cells JOIN s ON kind = 'folds' AND f5 <> fold GROUP BY ALL)
-  SELECT kind, c, l1_ratio, CAST(fold AS INTEGER) AS fold, CAST(level AS INTEGER) AS level, rows::BIGINT AS rows, positives::BIGINT AS positives,
+  SELECT kind, c, l1_ratio, CAST(fold AS INTEGER) AS fold, CAST(level AS INTEGER) AS level, trained::BIGINT AS "rows", positives::BIGINT AS positives,
     true AS converged, 0.0 AS gradient FROM sized"""
 
 

@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import additive, baselines, calendar, diagnostics, grains, metrics, misses, panelfit, smoothing, splits
+from tidemark.operators import additive, arma, baselines, calendar, diagnostics, grains, metrics, misses, smoothing, splits
+from tidemark.operators.panelfit import per_series_score
+from tidemark.plans import solve_sql
 from tidemark.plans import tables as t
 from tidemark.plans.oracle import on_cells, on_log
 from tidemark.plans.registry import query, rounded
 from tidemark.plans.sales_queries import ERRORS, RANKED, _errors, store_folds
 
 
-def example(name: str):
-    """Marks a use of a fit that one task does for a whole series.
-
-    Such fits are tools for single series, not Spark work that grows with the
-    table, so they are not registered as queries.
-    """
-    return lambda function: function
-
-
 @query(
     "series_describe",
     on_cells(
@@ -224,15 +217,33 @@ def partial_autocorrelation(spark, folder):
     return rounded(table, 6, "pacf")
 
 
-@example("unit_root_store")
+def _unit_root_sql(series: str) -> str:
+    return (
+        f""", ur_y AS (SELECT "Store", y, row_number() OVER (PARTITION BY "Store" ORDER BY ds) - 1 AS t, COUNT(*) OVER (PARTITION BY "Store") AS n FROM {series}),"""
+        + solve_sql.unit_root('"Store"', "ur_y")
+        + """ SELECT "Store", round(statistic, 6) AS statistic, round(p, 6) AS p_value, lags AS lags_used, n_obs::BIGINT AS n_obs, p < 0.05 AS stationary, 'ok' AS status FROM adf"""
+    )
+
+
+def _unit_roots(series):
+    report = diagnostics.adf_report(series, ["Store"])
+    return rounded(report.select("Store", "statistic", "p_value", "lags_used", "n_obs", "stationary", "status"), 6, "statistic", "p_value")
+
+
+@query("unit_root_store", on_cells(_unit_root_sql("store_series")))
 def unit_root_store(spark, folder):
-    return diagnostics.adf_report(t.store_series(spark, folder), ["Store"])
+    return _unit_roots(t.store_series(spark, folder))
 
 
-@example("unit_root_differenced")
+@query(
+    "unit_root_differenced",
+    on_cells(
+        """, steps AS (SELECT "Store", ds, d AS y FROM (SELECT "Store", ds, y - lag(y) OVER (PARTITION BY "Store" ORDER BY ds) AS d FROM store_series) WHERE d IS NOT NULL)"""
+        + _unit_root_sql("steps")
+    ),
+)
 def unit_root_differenced(spark, folder):
-    series = diagnostics.difference(t.store_series(spark, folder), ["Store"])
-    return diagnostics.adf_report(series, ["Store"])
+    return _unit_roots(diagnostics.difference(t.store_series(spark, folder), ["Store"]))
 
 
 _GRID = """, g AS (SELECT "Store", "Dept", ds, ds - lag(ds) OVER (PARTITION BY "Store", "Dept" ORDER BY ds) AS gap FROM dept_series),
@@ -260,27 +271,26 @@ def grid_check(spark, folder):
           gc AS (SELECT "Store", gap, COUNT(*) AS n FROM g WHERE gap IS NOT NULL GROUP BY 1, 2),
           gm AS (SELECT "Store", COUNT(*) AS kinds, arg_max(gap, n * 100000 - gap) AS gap FROM gc GROUP BY 1),
           tr AS (SELECT "Store", COUNT(*) AS n, MIN(ds) AS start, MAX(ds) AS "end", regr_slope(y, pos - 1) * 52 * 100 / AVG(y) AS pct, regr_r2(y, pos - 1) AS r2 FROM ranked GROUP BY 1),
-          ac AS (SELECT "Store", MAX(acf) FILTER (WHERE lag = 52) AS acf52, arg_max(lag, acf) FILTER (WHERE lag > 2) AS strongest FROM acf GROUP BY 1)
+          ac AS (SELECT "Store", MAX(acf) FILTER (WHERE lag = 52) AS acf52, arg_max(lag, acf) FILTER (WHERE lag > 2) AS strongest FROM acf GROUP BY 1),
+          ur_y AS (SELECT "Store", y, pos - 1 AS t, COUNT(*) OVER (PARTITION BY "Store") AS n FROM ranked),
+          drawn AS (SELECT "Store", r2, n - 2 AS df FROM tr),"""
+        + solve_sql.unit_root('"Store"', "ur_y") + "," + solve_sql.student_p("tp", "drawn", '"Store"')
+        + """
         SELECT "Store", tr.n, start, "end", kinds = 1 AS regular_grid, CAST(gap AS INTEGER) AS step_days, round(tr.n / 52, 6) AS cycles,
-          round(pct, 6) AS trend_pct_per_year, round(r2, 9) AS trend_r_squared, seasonal_strength, trend_strength,
-          round(acf52, 9) AS acf_at_period, CAST(strongest AS INTEGER) AS strongest_lag
-        FROM tr LEFT JOIN gm USING ("Store") LEFT JOIN st USING ("Store") LEFT JOIN ac USING ("Store")""",
+          round(pct, 6) AS trend_pct_per_year, round(tp.p, 6) AS trend_p_value, tp.p < 0.05 AS trend_significant, round(r2, 9) AS trend_r_squared,
+          seasonal_strength, trend_strength, round(adf.p, 6) AS adf_p_value, adf.p < 0.05 AS stationary, round(acf52, 9) AS acf_at_period, CAST(strongest AS INTEGER) AS strongest_lag
+        FROM tr LEFT JOIN gm USING ("Store") LEFT JOIN st USING ("Store") LEFT JOIN ac USING ("Store") LEFT JOIN tp USING ("Store") LEFT JOIN adf USING ("Store")""",
         RANKED,
     ),
 )
 def suitability(spark, folder):
-    report = diagnostics.suitability_report(t.store_series(spark, folder), ["Store"], with_adf=False)
-    report = report.drop("trend_p_value", "trend_significant")
-    report = rounded(report, 6, "cycles", "trend_pct_per_year")
+    """All sixteen fields of the report for every store."""
+    report = diagnostics.suitability_report(t.store_series(spark, folder), ["Store"])
+    report = rounded(report, 6, "cycles", "trend_pct_per_year", "trend_p_value", "adf_p_value")
     report = rounded(report, 9, "trend_r_squared", "acf_at_period")
     return rounded(report, 8, "seasonal_strength", "trend_strength")
 
 
-@example("suitability_chain_full")
-def suitability_chain_full(spark, folder):
-    return diagnostics.suitability_report(t.chain_series(spark, folder))
-
-
 @query(
     "earliest_testable",
     on_cells("""SELECT "Store", MAX(ds) FILTER (WHERE pos = 105) AS earliest_testable FROM ranked GROUP BY 1""", RANKED),
@@ -365,49 +375,120 @@ def smoothing_alpha_table(spark, folder):
     return _errors(metrics.forecast_metrics(paths.filter(F.col("t") >= 1), ["alpha"]))
 
 
-@example("holt_winters_per_store")
+_TRAIN = """, hold AS (SELECT "Store", pos, y FROM ranked WHERE rev > 13),
+  tested AS (SELECT "Store", ds, y, row_number() OVER (PARTITION BY "Store" ORDER BY ds) AS step FROM ranked WHERE rev <= 13),"""
+_FORECAST = """ds, CAST(step AS INTEGER) AS step, y, round(yhat, 2) AS yhat, 'multi_step' AS horizon_kind,
+  CASE WHEN yhat IS NULL THEN 'short_history' ELSE 'ok' END AS status"""
+_HOLT = _TRAIN + solve_sql.holt_winters("hold") + """, ahead AS (SELECT tested.*, level + slope * step + season[step] AS yhat FROM tested LEFT JOIN hw_best USING ("Store"))"""
+
+
+def _held_out(spark, folder):
+    return splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
+
+
+@query("holt_winters_per_store", on_cells(_HOLT + f""" SELECT "Store", 'holt_winters' AS model, {_FORECAST} FROM ahead""", RANKED))
 def holt_winters_per_store(spark, folder):
-    split = splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
-    return panelfit.forecast_panel(split, {"holt_winters": panelfit.holt_winters()}, ["Store"])
+    return rounded(smoothing.holt_winters_forecast(_held_out(spark, folder), ["Store"]), 2, "yhat")
 
 
-@example("holt_winters_store_score")
+@query(
+    "holt_winters_store_score",
+    on_cells(
+        _HOLT + """ SELECT 'holt_winters' AS model, round(100 * AVG(CASE WHEN y > 0 THEN abs((y - yhat) / y) END), 5) AS mape,
+        COUNT(DISTINCT "Store") FILTER (yhat IS NOT NULL)::BIGINT AS fitted, COUNT(DISTINCT "Store") FILTER (yhat IS NULL)::BIGINT AS opted_out FROM ahead""",
+        RANKED,
+    ),
+)
 def holt_winters_store_score(spark, folder):
-    return panelfit.per_series_score(holt_winters_per_store(spark, folder), ["Store"])
+    forecasts = smoothing.holt_winters_forecast(_held_out(spark, folder), ["Store"])
+    return rounded(per_series_score(forecasts, ["Store"]), 5, "mape")
 
 
-@example("holt_winters_parts")
+@query(
+    "holt_winters_parts",
+    on_cells(
+        """, hold AS (SELECT "Store", pos, y FROM ranked),""" + solve_sql.holt_winters("hold")
+        + """ SELECT "Store", alpha, beta, gamma, round(level, 2) AS last_level, round(slope, 4) AS trend_per_week,
+        round(slope * 5200 / level, 5) AS trend_pct_per_year, len(v)::BIGINT AS weeks FROM hw_best""",
+        RANKED,
+    ),
+)
 def holt_winters_parts(spark, folder):
-    return panelfit.holt_winters_parts(t.store_series(spark, folder), ["Store"])
+    """The weights, the last level and the trend of every store, and how many weeks have parts."""
+    parts = smoothing.holt_winters_parts(t.store_series(spark, folder), ["Store"])
+    table = parts.groupBy("Store", "alpha", "beta", "gamma", "last_level", "trend_per_week", "trend_pct_per_year").agg(F.count("fitted").alias("weeks"))
+    return rounded(rounded(rounded(table, 2, "last_level"), 4, "trend_per_week"), 5, "trend_pct_per_year")
+
+
+_ARMA = _TRAIN + solve_sql.seasonal_arma("hold")
 
 
-@example("sarima_per_store")
+@query(
+    "sarima_per_store",
+    on_cells(
+        _ARMA + f""" SELECT "Store", 'seasonal_arma' AS model, {_FORECAST} FROM (
+          SELECT tested.*, ahead AS yhat FROM tested LEFT JOIN ar_go ON ar_go."Store" = tested."Store" AND h = step)""",
+        RANKED,
+    ),
+)
 def sarima_per_store(spark, folder):
-    split = splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
-    return panelfit.forecast_panel(split, {"sarima": panelfit.sarima()}, ["Store"])
+    return rounded(arma.arma_forecast(_held_out(spark, folder), ["Store"]), 2, "yhat")
 
 
-CV_MODELS = {
-    "seasonal_naive": panelfit.seasonal_naive(),
-    "seasonal_naive_growth": panelfit.seasonal_naive_growth(),
-    "holt_winters": panelfit.holt_winters(),
-    "sarima": panelfit.sarima(),
-}
+@query(
+    "sarima_coefficients",
+    on_cells(
+        _ARMA + """ SELECT "Store", name, round(b[k], 6) AS value FROM ar_z_b,
+          (SELECT UNNEST(['value 1', 'error 1', 'error 52', 'error 53']) AS name, UNNEST([1, 2, 3, 4]) AS k)""",
+        RANKED,
+    ),
+)
+def sarima_coefficients(spark, folder):
+    """Coefficients of the lagged value and the lagged errors of every store."""
+    _, fits = arma.fit_arma(_held_out(spark, folder).where("NOT is_test"), ["Store"])
+    names = F.array(*[F.lit(n) for n in ("value 1", "error 1", "error 52", "error 53")])
+    return rounded(fits.select("Store", F.inline(F.arrays_zip(names.alias("name"), F.col("beta").alias("value")))), 6, "value")
+
+
+def _all_models(split, keys):
+    """Forecasts of the baselines, of Holt-Winters and of the seasonal regression, one table."""
+    copies = baselines.score_baselines(split, keys).where(F.col("model").isin("naive", "seasonal_naive", "seasonal_naive_growth"))
+    columns = [*keys, "model", "ds", "y", "yhat", "status"]
+    parts = [copies, smoothing.holt_winters_forecast(split, keys), arma.arma_forecast(split, keys)]
+    first, *rest = [p.select(*columns) for p in parts]
+    for part in rest:
+        first = first.unionByName(part)
+    return first
 
 
 @query("forecaster_tournament")
 def forecaster_tournament(spark, folder):
     """Four forecasters over three folds of every store, summarised per model."""
-    forecasts = panelfit.forecast_panel(store_folds(spark, folder), CV_MODELS, ["Store", "fold"])
-    scores = metrics.forecast_metrics(forecasts, ["model", "fold"])
-    return metrics.fold_summary(scores)
+    forecasts = _all_models(store_folds(spark, folder), ["Store", "fold"]).where(F.col("model") != "naive")
+    return metrics.fold_summary(metrics.forecast_metrics(forecasts, ["model", "fold"]))
 
 
-@query("forecaster_comparison")
+@query(
+    "forecaster_comparison",
+    on_cells(
+        """, ranked AS (SELECT 1 AS "Store", *, row_number() OVER (ORDER BY ds DESC) AS rev, row_number() OVER (ORDER BY ds) AS pos FROM chain_series)"""
+        + _TRAIN + solve_sql.holt_winters("hold") + "," + solve_sql.seasonal_arma("hold")
+        + f""", before AS (SELECT pos, y, lag(y, 52) OVER (ORDER BY pos) AS back FROM hold),
+          grown AS (SELECT SUM(y) / NULLIF(SUM(back), 0) AS g FROM (SELECT * FROM before ORDER BY pos DESC LIMIT 13)),
+          seas AS (SELECT ds, y, lag(y, 52) OVER (ORDER BY ds) AS copy, step FROM ranked LEFT JOIN (SELECT ds, step FROM tested) USING (ds)),
+          long AS (
+            SELECT 'naive' AS model, y, (SELECT arg_max(y, pos) FROM hold) AS yhat FROM tested
+            UNION ALL SELECT 'seasonal_naive', y, copy FROM seas WHERE step IS NOT NULL
+            UNION ALL SELECT 'seasonal_naive_growth', y, copy * (SELECT g FROM grown) FROM seas WHERE step IS NOT NULL
+            UNION ALL SELECT 'holt_winters', y, level + slope * step + season[step] FROM tested JOIN hw_best USING ("Store")
+            UNION ALL SELECT 'seasonal_arma', tested.y, ahead FROM tested JOIN ar_go ON h = step)
+        SELECT model, round(100 * AVG(CASE WHEN y > 0 THEN abs((y - yhat) / y) END), 5) AS mape FROM long GROUP BY 1""",
+    ),
+)
 def forecaster_comparison(spark, folder):
-    """All models side by side on the chain's last quarter, best MAPE first."""
+    """All models side by side on the chain's last quarter."""
     split = splits.hold_out_rows(t.chain_series(spark, folder))
-    return metrics.metrics_table(panelfit.forecast_panel(split, {**CV_MODELS, "naive": panelfit.naive}))
+    return rounded(metrics.metrics_table(_all_models(split, [])).select("model", "mape"), 5, "mape")
 
 
 def _calendars(spark, folder):
@@ -427,13 +508,26 @@ def _chain_split_with_effects(spark, folder):
     return additive.with_effects(split, calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
 
 
-@example("additive_chain")
+_ADDITIVE = "," + solve_sql.additive_fit([0.05])
+_WIDE = 1.959963984540054
+
+
+@query(
+    "additive_chain",
+    on_cells(
+        _ADDITIVE + f""" SELECT ds, is_test, round(y, 2) AS y, round(trend + yearly + holidays, 1) AS yhat,
+          round(trend + yearly + holidays - {_WIDE} * factor * sqrt(noise + drift), 1) AS yhat_lo,
+          round(trend + yearly + holidays + {_WIDE} * factor * sqrt(noise + drift), 1) AS yhat_hi,
+          round(trend, 1) AS trend, round(yearly, 1) AS yearly, round(holidays, 1) AS holidays, 'ok' AS status FROM ad"""
+    ),
+)
 def additive_chain(spark, folder):
     """History, 13 test weeks, interval and components of the chain."""
-    return additive.additive_forecast(_chain_split_with_effects(spark, folder))
+    fitted = additive.additive_forecast(_chain_split_with_effects(spark, folder)).drop("trend_lo", "trend_hi")
+    return rounded(rounded(fitted, 2, "y"), 1, "yhat", "yhat_lo", "yhat_hi", "trend", "yearly", "holidays")
 
 
-@example("additive_future")
+@query("additive_future")
 def additive_future(spark, folder):
     """Thirteen weeks beyond the data for every store."""
     rows = additive.extend_rows(t.store_series(spark, folder), ["Store"], 13)
@@ -442,37 +536,51 @@ def additive_future(spark, folder):
     return additive.forecast_for_dates(fitted.filter("is_test"), rows.filter("is_test"))
 
 
-@example("additive_components")
+@query(
+    "additive_components",
+    on_cells(_ADDITIVE + """ SELECT ds, component, round(value, 1) AS value FROM (
+      SELECT ds, 'trend' AS component, trend AS value FROM ad UNION ALL SELECT ds, 'yearly', yearly FROM ad UNION ALL SELECT ds, 'holidays', holidays FROM ad)"""),
+)
 def additive_components(spark, folder):
-    return additive.components_long(additive.additive_forecast(_chain_split_with_effects(spark, folder)))
+    return rounded(additive.components_long(additive.additive_forecast(_chain_split_with_effects(spark, folder))), 1, "value")
 
 
-@example("additive_changepoints")
+@query(
+    "additive_changepoints",
+    on_cells(_ADDITIVE + f" SELECT spot AS ds, round(beta[2 + nr], 6) AS delta FROM ad_knots JOIN ad_r{additive.ROUNDS} USING (one)"),
+)
 def additive_changepoints(spark, folder):
-    return additive.additive_changepoints(_chain_split_with_effects(spark, folder))
+    return rounded(additive.additive_changepoints(_chain_split_with_effects(spark, folder)), 6, "delta")
 
 
-@example("additive_coverage")
+@query("additive_coverage")
 def additive_coverage(spark, folder):
     fitted = additive.additive_forecast(_chain_split_with_effects(spark, folder)).filter("is_test")
     return metrics.interval_coverage(fitted.withColumn("model", F.lit("additive")))
 
 
-@example("additive_prior_sweep")
+@query(
+    "additive_prior_sweep",
+    on_cells(
+        "," + solve_sql.additive_fit([0.01, 0.05, 0.5])
+        + """ SELECT scale AS prior_scale, COUNT(*) AS n, round(100 * AVG(CASE WHEN y > 0 THEN abs((y - trend - yearly - holidays) / y) END), 5) AS mape,
+          round((arg_max(trend, ds) / arg_min(trend, ds) - 1) * 100, 5) AS trend_drift_pct FROM ad WHERE is_test GROUP BY 1"""
+    ),
+)
 def additive_prior_sweep(spark, folder):
-    """Three prior scales as candidates of one job: error, and trend drift over the horizon."""
-    scales = F.array(*[F.lit(s) for s in (0.01, 0.05, 0.5)])
-    rows = _chain_split_with_effects(spark, folder).withColumn("prior_scale", F.explode(scales))
-    fitted = additive.additive_forecast(rows, ["prior_scale"], scale_column="prior_scale").filter("is_test")
+    """Three prior scales from one matrix: error, and trend drift over the horizon."""
+    fitted = additive.additive_forecast(_chain_split_with_effects(spark, folder), prior_scale=[0.01, 0.05, 0.5]).filter("is_test")
     drift = diagnostics.growth(fitted, ["prior_scale"], y="trend").select(
         "prior_scale", F.col("growth_pct").alias("trend_drift_pct")
     )
-    return metrics.forecast_metrics(fitted, ["prior_scale"]).join(drift, ["prior_scale"])
+    table = metrics.forecast_metrics(fitted, ["prior_scale"]).join(drift, ["prior_scale"])
+    return rounded(table.select("prior_scale", "n", "mape", "trend_drift_pct"), 5, "mape", "trend_drift_pct")
 
 
-@example("additive_holiday_effects")
+@query("additive_holiday_effects", on_cells(_ADDITIVE + " SELECT ds, round(holidays, 1) AS holidays FROM ad ORDER BY abs(round(ad.holidays, 3)) DESC, ds LIMIT 5"))
 def additive_holiday_effects(spark, folder):
-    return additive.largest_effects(additive.additive_forecast(_chain_split_with_effects(spark, folder)))
+    fitted = additive.additive_forecast(_chain_split_with_effects(spark, folder))
+    return rounded(additive.largest_effects(rounded(fitted, 3, "holidays")), 1, "holidays")
 
 
 def _calendar_fits(spark, folder):
@@ -484,13 +592,13 @@ def _calendar_fits(spark, folder):
     return additive.additive_forecast(rows, ["fold", "calendar"]).filter("is_test")
 
 
-@example("calendar_comparison")
+@query("calendar_comparison")
 def calendar_comparison(spark, folder):
     """Which calendar helps: error per fold and calendar, all fits in one job."""
     return metrics.forecast_metrics(_calendar_fits(spark, folder), ["calendar", "fold"])
 
 
-@example("calendar_easter_miss")
+@query("calendar_easter_miss")
 def calendar_easter_miss(spark, folder):
     """The Easter week's miss under each calendar, in the folds that contain one."""
     chain = t.chain_series(spark, folder)
