@@ -83,13 +83,18 @@ def test_odd_rows_of_groups(spark):
     assert minhash.group(docs.limit(0)).count() == 0
 
 
-def test_buckets_left_over_by_their_smallest_name_are_still_linked(spark):
-    """b and c are near each other but not near a, which is the smallest name of every bucket they share."""
-    names = spark.createDataFrame([(i, 100, [0] * minhash.WORDS, list(range(minhash.BANDS))) for i in range(1, 40)], "doc_id long, n_shingles long, signature array<long>, bands array<long>")
-    buckets = spark.createDataFrame([(h, i, h % minhash.BANDS, 1) for h in (1, 2) for i in range(1, 4 if h == 1 else 40)], "h long, name long, band int, pivot long")
-    groups = spark.createDataFrame([(2, 1)], "node long, component long")
-    pairs = {(r.a, r.b) for r in minhash._unsettled(buckets, groups, names).collect()}
-    assert {(3, 1), (3, 2)} <= pairs and (2, 1) not in pairs and {i for i, _ in pairs} >= set(range(3, 40))
+def test_every_pair_of_different_components_meets_in_a_cell(spark, monkeypatch):
+    """A large component, middling ones and single names in one bucket; and a bucket of single names only."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    found = {i: 1 if i <= 20 else 21 if i <= 25 else i for i in range(1, 41)}
+    rows = [(7, i, c) for i, c in found.items()] + [(8, i, i) for i in range(1, 8)]
+    cells = defaultdict(set)
+    for r in minhash._dealt(spark.createDataFrame(rows, "h long, name long, found long")).collect():
+        cells[r.h, r.kind, r.low, r.high].add(r.name)
+    met = {(h, a, b) for (h, *_), names in cells.items() for a in names for b in names if a < b}
+    assert {(7, a, b) for a in found for b in found if a < b and found[a] != found[b]} <= met
+    assert {(8, a, b) for a in range(1, 8) for b in range(a + 1, 8)} <= met
+    assert max(map(len, cells.values())) < 16  # no cell grows with its bucket
 
 
 def star_of_copies(copies=600, size=120, edits=5, at=0.5, seed=7):
@@ -114,21 +119,15 @@ def test_copies_of_a_base_with_a_middling_id_are_one_group(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
-def test_rounds_of_pivots_decide_every_pair_of_a_large_bucket(spark, monkeypatch):
-    """Only 71 and 93 are linked, in a bucket of 100 names whose pivots they are not."""
-    met = set()
-
-    def record(pairs, *_):
-        met.update((r.a, r.b) for r in pairs.collect())
-        return pairs.where("a = 93 AND b = 71").select("a", "b")
-
-    monkeypatch.setattr(minhash, "promising", lambda pairs, *_: pairs)
-    monkeypatch.setattr(minhash, "confirmed", record)
-    buckets = spark.createDataFrame([(1, k) for k in range(100)], "h long, name long")
-    links = spark.createDataFrame([(1, 0), (3, 2)], "a long, b long")
-    groups = {r.node: r.component for r in minhash.settle(buckets, links, None, None, 2, 80).collect()}
-    assert groups[93] == 71 and groups[3] == 2
-    assert met | {(1, 0), (3, 2)} == {(a, b) for a in range(100) for b in range(a)}
+def test_pairs_of_a_large_bucket_are_decided_wherever_they_stand(spark):
+    """Only 71 and 93 are near each other, among 100 names that share all bands; the signatures of all are alike."""
+    texts = {i: f"t{i} u{i} v{i} q{i}" for i in range(1, 101)} | {71: "a b c d e f g h i j k", 93: "a b c d e f g h i j k l"}
+    docs = spark.createDataFrame([*texts.items(), (71, texts[71])], "doc_id long, text string")
+    names = spark.createDataFrame([(i, 10, [0] * minhash.WORDS, list(range(minhash.BANDS))) for i in texts], "doc_id long, n_shingles long, signature array<long>, bands array<long>")
+    buckets = spark.createDataFrame([(h, i) for h in range(minhash.BANDS) for i in texts], "h long, name long")
+    links = spark.createDataFrame([], "a long, b long")
+    groups = {r.node: r.component for r in minhash.settle(buckets, links, names, docs, 2, 80).collect()}
+    assert groups == {93: 71}
 
 
 def test_estimate_is_close_to_the_similarity():

@@ -6,9 +6,9 @@
 2. Texts with the same set are one class, named by the smallest id.  Only
    class names go on, so thousands of exact copies cost one row each.
 3. Names that share a band are candidates.  Every name meets the smallest name
-   of its buckets first, and afterwards only buckets whose names are still in
-   several components are looked at, in rounds of ever more pivots until every
-   pair of a bucket is in one component or compared.
+   of its buckets first.  Afterwards only buckets whose names are still in
+   several components are looked at, and all pairs of different components in
+   them are compared inside tasks, block by block.
 4. Bits that agree by chance are taken out of the estimate; pairs whose
    estimate is more than ``SLACK`` under the threshold go, and the full sets
    decide about the rest.
@@ -36,10 +36,8 @@ BITS, WORDS = 2, 5
 SLACK = 0.2
 #: Sets with fewer members are always compared in full: their estimate is too rough.
 ROUGH = 64
-#: Buckets of up to so many names are compared whole once several components meet in them.
-SMALL = 16
-#: A larger bucket has one pivot in the first round and so many times more in each further one.
-MORE = 8
+#: Names of a bucket that one side of a cell holds, in the mean.
+BLOCK = 256
 #: Bits of the field of wanted ids that documents are held against before their sets are made.
 FIELD_BITS = 22
 
@@ -182,76 +180,167 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: int) ->
 
 
 def _open(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows (h, name, found, m) of the buckets of m names whose names are in several components."""
+    """Rows (h, name, found) of the buckets whose names are in several components."""
     held = buckets.select("h", "name").join(groups.select(F.col("node").alias("name"), F.col("component").alias("found")), "name", "left")
     held = held.withColumn("found", F.coalesce("found", "name"))
-    sizes = held.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"), F.count("*").alias("m"))
-    return cut_lineage(held.join(sizes.where(F.col("lo") != F.col("hi")).drop("lo", "hi"), "h"))
+    sizes = held.groupBy("h").agg(F.min("found").alias("lo"), F.max("found").alias("hi"))
+    return cut_lineage(held.join(sizes.where(F.col("lo") != F.col("hi")).select("h"), "h"))
 
 
-def _pivots(large: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` names of each bucket: of each slot of hashed names the one with the fullest buckets.
+CELL = ["h", "kind", "low", "high"]
 
-    A text that many others are copies of shares more bands with them than
-    they share with each other, so it comes first whatever its id is.
-    """
-    weight = large.groupBy("name").agg(F.sum("m").alias("weight"))
-    slot = F.pmod(F.xxhash64("name", F.lit(most)), F.lit(most))
-    best = large.join(weight, "name").groupBy("h", slot.alias("slot")).agg(F.min_by(F.struct("name", "found"), F.struct(-F.col("weight"), "name")).alias("p"))
-    return best.select("h", F.col("p.name").alias("b"), F.col("p.found").alias("fb"))
-
-
-def _pairs(rows: DataFrame, pivots: DataFrame | None, most: int) -> DataFrame:
-    """Pairs of names in different components: whole buckets of up to ``_whole(most)`` names, and all names with the pivots of larger ones."""
-    left = rows.select("h", "m", F.col("name").alias("a"), F.col("found").alias("fa"))
-    small = left.where(F.col("m") <= _whole(most)).join(rows.where(F.col("m") <= _whole(most)).select("h", F.col("name").alias("b"), F.col("found").alias("fb")), "h")
-    pairs = small.where((F.col("a") > F.col("b")) & (F.col("fa") != F.col("fb"))).select("a", "b")
-    if pivots is not None:
-        met = left.join(pivots, "h").where(F.col("fa") != F.col("fb"))
-        pairs = pairs.unionByName(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    return pairs.distinct()
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows (cell, name, found): every pair of a bucket in different components meets in a cell.
 
-def _whole(most: int) -> int:
-    """Names of a bucket that is compared whole: that is no more work than ``most`` pivots."""
-    return max(SMALL, 2 * most)
-
-
-def _unsettled(buckets: DataFrame, groups: DataFrame, names: DataFrame, most: int = 1) -> DataFrame:
-    """Pairs of one round: names in different components that share a bucket, in large buckets with a pivot."""
-    rows = _open(buckets.join(names.select(F.col("doc_id").alias("name")), "name", "left_semi"), groups)
-    return _pairs(rows, _pivots(rows.where(F.col("m") > _whole(most)), most), most)
+    Names of a bucket's largest component need not meet each other.  They and
+    the others are cut into blocks of about ``BLOCK`` by a hash; the others
+    meet in a triangle of blocks (kind 0) and each of their blocks meets each
+    block of the largest component (kind 1), so a bucket of any size is spread
+    over tasks and no cell grows with it.
+    """
+    parts = rows.groupBy("h", "found").agg(F.count("*").alias("k"))
+    main = parts.groupBy("h").agg(F.max_by("found", F.struct("k", "found")).alias("main"), F.max("k").alias("most"), F.sum("k").alias("m"))
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    held = rows.join(main, "h").withColumns({"_main": blocks(F.col("most")), "_rest": blocks(F.col("m") - F.col("most"))})
+    inside = F.col("found") == F.col("main")
+    held = held.withColumn("_own", F.pmod(F.xxhash64("name"), F.when(inside, F.col("_main")).otherwise(F.col("_rest"))).cast("int"))
+    cell = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    as_main = F.transform(upto(F.col("_rest")), lambda i: cell(1, i, F.col("_own")))
+    as_rest = F.concat(
+        F.transform(upto(F.col("_main")), lambda j: cell(1, F.col("_own"), j)),
+        F.transform(upto(F.col("_rest")), lambda x: cell(0, F.least(F.col("_own"), x), F.greatest(F.col("_own"), x))),
+    )
+    return held.withColumn("_cell", F.explode(F.when(inside, as_main).otherwise(as_rest))).select("h", "_cell.*", "name", "found")
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values as equal numbers."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _near_rows(threshold: int):
+    """Of the sorted rows of cells: those with a pair that may be linked, in the first band that the pair shares."""
+
+    def rows_of(cell: pa.Table) -> np.ndarray:
+        fixed = lambda name, width: cell[name].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, width)
+        found, size, lanes = _codes(cell["found"]), cell["n_shingles"].to_numpy(), fixed("signature", WORDS)
+        need = np.zeros(len(found), bool)
+        for lo in range(0, len(found), 64):
+            x = lanes[lo : lo + 64, None] ^ lanes[None]
+            apart = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(2, dtype=np.int64)
+            chance = 1.0 / (1 << BITS)
+            near = (1 - apart / PLACES - chance) / (1 - chance)
+            small, large = np.minimum(size[lo : lo + 64, None], size), np.maximum(size[lo : lo + 64, None], size)
+            fits = (found[lo : lo + 64, None] != found) & (100 * small >= threshold * large) & ((small < ROUGH) | (near >= threshold / 100 - SLACK))
+            i, j = np.nonzero(fits)
+            if len(i):
+                bands = fixed("bands", BANDS)
+                shared = bands[i + lo] == bands[j]
+                first = bands[j, shared.argmax(1)]
+                mine = shared.any(1) & (first == cell["h"].to_numpy()[:1].view(np.uint64))
+                need[i[mine] + lo] = need[j[mine]] = True
+        return need
+
+    def run(stream):
+        kept = [*CELL, "name", "found"]
+        for cell in _cells(stream):
+            if len(cell) > 1:
+                need = rows_of(cell)
+                if need.any():
+                    yield from cell.select(kept).filter(pa.array(need)).combine_chunks().to_batches()
+
+    return run
+
+
+def _cells(stream):
+    """The cells of a stream of batches that is sorted by cell, whole."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in stream:
+        if not len(batch):
+            continue
+        keys = np.stack([batch.column(i).to_numpy() for i in range(len(CELL))])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
+        for lo, hi in zip([0, *edges], [*edges, len(batch)]):
+            part = batch.slice(lo, hi - lo)
+            if waiting and any(waiting[-1].column(i)[-1] != part.column(i)[0] for i in range(len(CELL))):
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(part)
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _links(threshold: int, columns: int = 1 << 13):
+    """Links (a, b) of one cell that join its components, by counting common members of whole sets."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        name, found = cell["name"], _codes(cell["found"])
+        members = cell["members"].combine_chunks()
+        size = np.diff(members.offsets.to_numpy())
+        value, place = np.unique(members.flatten().to_numpy(), return_inverse=True)
+        row = np.repeat(np.arange(len(size)), size)
+        often = np.bincount(place, minlength=len(value)) > 1  # a member of one set only is common to none
+        place = (np.cumsum(often) - 1)[place[often[place]]], row[often[place]]
+        common = np.zeros((len(size), len(size)), np.int64)
+        order = np.argsort(place[0], kind="stable")
+        at, row = place[0][order], place[1][order]
+        for lo in range(0, int(often.sum()), columns):
+            a, b = np.searchsorted(at, [lo, lo + columns])
+            block = np.zeros((len(size), columns), np.float32)
+            block[row[a:b], at[a:b] - lo] = 1
+            common += (block @ block.T).astype(np.int64)
+        union = size[:, None] + size - common
+        i, j = np.nonzero((100 * common >= threshold * union) & (found[:, None] != found))
+        parent = list(range(int(found.max(initial=0)) + 1))
+
+        def top(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        a, b = [], []
+        for x, y in zip(i.tolist(), j.tolist()):
+            left, right = top(found[x]), top(found[y])
+            if left != right:
+                parent[max(left, right)] = min(left, right)
+                a.append(x)
+                b.append(y)
+        take = lambda at: name.take(pa.array(at, pa.int64()))
+        return pa.table([take(a), take(b)], names=["a", "b"])
+
+    return run
 
 
 def settle(buckets: DataFrame, links: DataFrame, names: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
     """Components once every pair of names that shares a bucket is decided.
 
-    Buckets with one component have nothing left to find.  Small ones are
-    compared whole.  In a larger one all names meet the pivots, which then
-    leave the bucket, as all their pairs in it are decided; what is left goes
-    through the next round with ``MORE`` times as many pivots.  So no pair is
-    given up, a group around one text ends in the first round, and the rounds
-    grow with the logarithm of the largest bucket.
+    Buckets with one component have nothing left to find.  In the others all
+    pairs of different components are met in cells (``_dealt``): first with
+    signatures, which leaves the names of pairs that may be linked, each pair
+    in the first band it shares; then those names with their whole sets.  So no
+    pair is given up, no pair becomes a row, and links that leave a cell only
+    join components of it.
     """
-    groups, most = components.connected(links), 1
-    while True:
-        rows = _open(buckets, groups)
-        biggest = rows.agg(F.max("m")).first()[0]
-        if biggest is None:
-            return groups
-        last = biggest <= _whole(most)
-        pivots = None if last else cut_lineage(_pivots(rows.where(F.col("m") > _whole(most)), most))
-        more = cut_lineage(promising(_pairs(rows, pivots, most), names, threshold))
-        if not more.isEmpty():
-            found = cut_lineage(confirmed(more, docs, words, threshold))
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                groups = components.connected(links)
-        if last:
-            return groups
-        left = rows.where(F.col("m") > _whole(most)).select("h", "name")
-        buckets = left.join(pivots.select("h", F.col("b").alias("name")), ["h", "name"], "left_anti")
-        most *= MORE
+    groups = components.connected(links)
+    rows = _open(buckets, groups)
+    if rows.isEmpty():
+        return groups
+    sides = names.select(F.col("doc_id").alias("name"), "n_shingles", "signature", "bands")
+    kind = dict(names.dtypes)["doc_id"]
+    met = _dealt(rows).join(sides, "name").select(*CELL, "name", "found", "n_shingles", "signature", "bands")
+    sorted_cells = met.repartition(*[F.col(c) for c in CELL]).sortWithinPartitions(*CELL)
+    schema = f"h long, kind int, low int, high int, name {kind}, found {kind}"
+    near = cut_lineage(sorted_cells.mapInArrow(_near_rows(threshold), schema).distinct())
+    if near.isEmpty():
+        return groups
+    wanted = cut_lineage(near.select(F.col("name").alias("doc_id")).distinct())
+    # rows with the same id and text count once, so that repeats do not multiply
+    sets = sets_of(docs, wanted, words).groupBy(F.col("doc_id").alias("name"), F.xxhash64("members")).agg(F.first("members").alias("members")).select("name", "members")
+    more = near.join(sets, "name").groupBy(*CELL).applyInArrow(_links(threshold), f"a {kind}, b {kind}")
+    return components.connected(links.unionByName(cut_lineage(more.distinct())))
 
 
 def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
