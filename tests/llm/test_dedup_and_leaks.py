@@ -79,10 +79,30 @@ def test_odd_rows_of_groups(spark):
     assert [g for g in got if g[0] in (1, 3)] == [(1, 2, 1, True), (3, 2, 1, False), (3, 2, 1, False)]
     assert all(g[3] for g in got if g[0] is None)
     kept = minhash.keep_one(docs, words=2)
-    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [5, 6, 7, None, 1, None, 2, 8]))
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [5, 6, 7, 1, None, 2, 8]))
     assert minhash.group(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_is_repeated(spark):
+    text, near = "a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o q"
+    rows = [(1, text), (1, text), (2, near), (2, near), (None, text), (None, "x y z"), (None, "X y z"), (None, "x y z"), (3, None), (3, None), (None, ""), (None, ""), (4, "u v"), (4, "s t")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, _mark int").repartition(5)
+    kept = minhash.keep_one(docs, words=2)
+    got = sorted((str(r.doc_id), (r.text or "").lower()) for r in kept.collect())
+    assert kept.columns == docs.columns
+    assert got[:-1] == [("1", text), ("3", ""), ("4", got[2][1]), ("None", ""), ("None", "")] and got[-1] == ("None", "x y z")
+
+
+def test_leaks_without_an_id_go_too(spark):
+    item = "what is the capital city of the large northern country called today"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"so {item} yes"), (None, "nothing to see in this one at all"), (None, None), (7, f"well {item}"), (7, "a clean text"), (8, "another clean text")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _mark string")
+    kept = decontaminate.keep_clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, [(None, rows[1][1]), (None, None), (8, rows[5][1])]))
+
+
 def test_every_pair_of_different_components_meets_in_a_cell(spark, monkeypatch):
     """A large component, middling ones and single names in one bucket; and a bucket of single names only."""
     monkeypatch.setattr(minhash, "BLOCK", 3)

@@ -225,6 +225,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns of the documents that share nothing with the benchmark."""
-    met = contaminated(docs, benchmark, text=text, key=key).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(met, key, "left_anti").select(*docs.columns)
+    """All columns of the documents that share nothing with the benchmark.
+
+    Rows with the same id are one document, which goes as a whole.  Rows with a
+    null id are told apart by their texts.
+    """
+    met = contaminated(docs.where(F.col(key).isNotNull()), benchmark, text=text, key=key).select(F.col("doc_id").alias(key)).distinct()
+    clean = docs.where(F.col(key).isNotNull()).join(met, key, "left_anti").select(*docs.columns)
+    nameless = docs.where(F.col(key).isNull())
+    if nameless.isEmpty():
+        return clean
+    marked = nameless.select(F.xxhash64(text).alias("doc_id"), F.col(text).alias("text"))
+    theirs = contaminated(marked, benchmark).select(F.col("doc_id").alias("_mark")).distinct()
+    return clean.unionByName(nameless.join(theirs, F.xxhash64(nameless[text]) == theirs["_mark"], "left_anti").select(*docs.columns))

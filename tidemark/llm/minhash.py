@@ -343,22 +343,15 @@ def settle(buckets: DataFrame, links: DataFrame, names: DataFrame, docs: DataFra
     return components.connected(links.unionByName(cut_lineage(more.distinct())))
 
 
-def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+PRINTS = ["print_a", "print_b", "n_shingles"]
 
-    Two documents are linked if 100 * common >= ``threshold`` * union of their
-    sets of distinct shingles of ``words`` words, A-Z in lower case.  A text
-    with fewer words is one shingle; a null text or one without words has no
-    set and is linked with nothing.  ``component_id`` is the smallest id that
-    links reach.  Rows with the same id are one node.  A row with a null id is
-    a group of its own: component_id null, kept true.
-    """
-    named = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+
+def _grouped(named: DataFrame, words: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Sketches of the rows of (doc_id, text), written, and the result of ``group``."""
     sketches = cut_lineage(sketch(named, words))
-    prints = ["print_a", "print_b", "n_shingles"]
     usable = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = usable.groupBy(*prints).agg(F.min("doc_id").alias("name"))
-    names = usable.join(classes.withColumnRenamed("name", "doc_id"), [*prints, "doc_id"], "left_semi")
+    classes = usable.groupBy(*PRINTS).agg(F.min("doc_id").alias("name"))
+    names = usable.join(classes.withColumnRenamed("name", "doc_id"), [*PRINTS, "doc_id"], "left_semi")
 
     spread = names.select(F.col("doc_id").alias("name"), F.posexplode("bands").alias("band", "h"))
     shared = spread.groupBy("h").agg(F.min("name").alias("pivot"), F.max("name").alias("last")).where(F.col("pivot") != F.col("last")).drop("last")
@@ -368,13 +361,52 @@ def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str
     links = cut_lineage(confirmed(cut_lineage(best), named, words, threshold))
     groups = settle(buckets, links, names, named, words, threshold)
 
-    rows = sketches.select("doc_id", *prints).join(classes, prints, "left")
+    rows = sketches.select("doc_id", *PRINTS).join(classes, PRINTS, "left")
     rows = rows.join(groups.select(F.col("node").alias("name"), "component"), "name", "left")
     found = F.coalesce("component", F.when(F.col("doc_id").isNotNull(), F.col("name")), "doc_id")
-    return rows.select("doc_id", "n_shingles", found.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return sketches, rows.select("doc_id", "n_shingles", found.alias("component_id")).withColumn("kept", kept)
+
+
+def group(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``.
+
+    Two documents are linked if 100 * common >= ``threshold`` * union of their
+    sets of distinct shingles of ``words`` words, A-Z in lower case.  A text
+    with fewer words is one shingle; a null text or one without words has no
+    set and is linked with nothing.  ``component_id`` is the smallest id that
+    links reach.  Rows with the same id are one node.  A row with a null id is
+    a group of its own: component_id null, kept true.
+    """
+    return _grouped(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), words, threshold)[1]
 
 
 def keep_one(docs: DataFrame, words: int = 5, threshold: int = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns of the document with the smallest id of each group."""
-    gone = group(docs, words, threshold, text, key).where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    """All columns of one row of each group: the row with its smallest id.
+
+    Of several rows with that id one stays, the one whose text has the least
+    hash.  A row with a null id goes if a row with an id has the same set of
+    shingles; of rows with null ids and the same set one stays.  Texts without
+    words are groups of their own, but rows with the same id are one.
+    """
+    sketches, found = _grouped(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), words, threshold)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    repeated = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(key)).count().where(F.col("count") > 1).select(key)
+    mark, columns = F.xxhash64(text), docs.columns
+    whole = F.struct(*[F.col(c) for c in columns])
+
+    def one_of(rows: DataFrame, *by) -> DataFrame:
+        return rows.groupBy(*by).agg(F.min_by(whole, mark).alias("_row")).select("_row.*")
+
+    named = docs.where(F.col(key).isNotNull()).join(gone, key, "left_anti").select(*columns)
+    kept = named.join(repeated, key, "left_anti").select(*columns).unionByName(one_of(named.join(repeated, key, "left_semi").select(*columns), F.col(key)))
+    nameless = docs.where(F.col(key).isNull())
+    if nameless.isEmpty():
+        return kept
+    marks = sketch(nameless.select(mark.alias("doc_id"), F.col(text).alias("text")), words).select(F.col("doc_id").alias("_mark"), *PRINTS).distinct()
+    taken = sketches.where(F.col("doc_id").isNotNull()).select(*PRINTS).distinct()
+    free = marks.where(F.col("n_shingles") > 0).join(taken, PRINTS, "left_anti").groupBy(*PRINTS).agg(F.min("_mark").alias("_mark"))
+    # a set's row is found by the hash of its text, as it has no id
+    blank = marks.where(F.col("n_shingles") == 0)
+    of = lambda some: nameless.join(some, F.xxhash64(nameless[text]) == some["_mark"], "left_semi").select(*columns)
+    return kept.unionByName(one_of(of(free), mark)).unionByName(of(blank))
