@@ -197,3 +197,13 @@ def test_detrending_helps_trees_without_lags(weekly):
 def test_stopping_waits_for_patience():
     assert trees.best_round([5, 4, 3, 3.5, 3.6], 2) == (3, True)
     assert trees.best_round([5, 4, 3, 3.5], 2) == (3, False)
+
+
+def test_first_rounds_of_an_ensemble_are_the_shorter_fit(spark):
+    rows = spark.range(200).select((F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"), (F.sin(F.col("id") % 17) * 3 + F.col("id") % 5).alias("y"))
+    ready = trees.assemble(rows, ["a", "b"]).select("features", "label").cache()
+    long, short = (trees._booster(n, 2, 0.3, 1.0, 1.0, 1).fit(ready) for n in (5, 2))
+    cut = trees.first_rounds(long, 2)
+    assert cut.getNumTrees == 2 and trees.first_rounds(long, 9) is long
+    assert [r.prediction for r in cut.transform(ready).collect()] == pytest.approx([r.prediction for r in short.transform(ready).collect()])
+    assert cut.featureImportances.toArray() == pytest.approx(short.featureImportances.toArray())

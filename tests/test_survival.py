@@ -153,10 +153,35 @@ def test_hazard_forest_ranks_and_gives_falling_curves(spark):
     assert all(0 <= b <= a <= 1 for a, b in zip(curve, curve[1:])) and len(curve) == model.steps
 
 
-def test_one_long_time_does_not_widen_the_steps_of_the_hazard_forest(spark):
+def test_steps_of_the_hazard_forest_follow_the_events(spark):
     rows = [(k % 2 == 0, float(1 + k % 5), float(k % 3)) for k in range(40)] + [(False, 300.0, 1.0)]
-    model = hazard_forest.fit_hazard_forest(spark.createDataFrame(rows, "event BOOLEAN, time DOUBLE, x DOUBLE"), ["x"], trees=2, depth=2, leaf=1)
-    assert model.width == 1 and model.steps == 300
+    frame = spark.createDataFrame(rows, "event BOOLEAN, time DOUBLE, x DOUBLE")
+    model = hazard_forest.fit_hazard_forest(frame, ["x"], trees=2, depth=2, leaf=1)
+    assert model.edges == [1, 2, 3, 4, 5] and model.steps == 5  # one long time adds no step and widens none
+    many = spark.createDataFrame([(True, i / 7, 1.0) for i in range(1, 201)], "event BOOLEAN, time DOUBLE, x DOUBLE")
+    edges = hazard_forest.step_edges(many, 10)
+    assert len(edges) == 10 and edges[-1] == 200 / 7 and edges[4] == pytest.approx(np.quantile(np.arange(1, 201) / 7, 0.5))
+    assert hazard_forest.step_edges(frame.withColumn("event", F.lit(False))) == [300.0]
+
+
+def test_models_are_graded_on_what_they_offer(spark):
+    from tidemark.operators import rank_svm
+
+    event, time, x, frame = people(spark, 200, seed=5)
+    train, test = frame.filter("id < 120").cache(), frame.filter("id >= 120").cache()
+    models = {
+        "cox": cox.fit_cox(train, ["x", "z"]), "forest": hazard_forest.fit_hazard_forest(train, ["x", "z"], trees=5, depth=3, leaf=5),
+        "svm": rank_svm.fit_rank_svm(train, ["x", "z"]),
+    }
+    table = {r.model: r for r in survival.evaluate_survival_models(models, train, test, "id").collect()}
+    assert table["svm"].integrated_brier is None and 0 < table["cox"].integrated_brier < 0.3 and table["forest"].integrated_brier is not None
+    alone = survival.concordance(models["cox"].with_risk(test)).first().c_index
+    assert table["cox"].test_c == pytest.approx(alone) and table["cox"].gap == pytest.approx(table["cox"].train_c - alone)
+    assert all(0.5 < r.mean_auc <= 1 for r in table.values())
+    only = survival.evaluate_survival_models({"svm": models["svm"]}, train, test, "id").collect()
+    assert len(only) == 1 and only[0].integrated_brier is None
+    assert cox.score_vector(models["cox"], train).agg(F.max(F.abs("score"))).first()[0] < 1e-6
+    assert models["cox"].converged and models["svm"].converged
 
 
 def test_risk_quartiles_collapse_equal_edges(spark):

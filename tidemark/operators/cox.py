@@ -1,8 +1,9 @@
 """Cox proportional hazards by distributed Newton steps.
 
-Each step sums weights and weighted features per distinct time, runs them
-backwards over the times, and brings p + p*p numbers to the driver, which
-solves the p-by-p system.  Tied events follow Breslow.
+Each step reads the rows once: the weight, the weighted features and their
+products are summed per distinct time by built-in sums, carried backwards over
+the times by the scan, and added up to p + p*p numbers, for which the driver
+solves a p-by-p system.  Rows are never joined.  Tied events follow Breslow.
 """
 
 from __future__ import annotations
@@ -70,6 +71,7 @@ class CoxModel:
     gradient: np.ndarray
     iterations: int
     baseline: DataFrame
+    converged: bool = True
     has_survival = True
 
     def with_risk(self, df: DataFrame, out: str = "risk") -> DataFrame:
@@ -123,46 +125,59 @@ class CoxModel:
         )
 
 
-def _risk_sets(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None) -> DataFrame:
-    """Per distinct time: events, weights and weighted features summed over the
-    risk set, and the cumulative hazard up to it."""
-    per_time = data.withColumn("_w", F.exp(linear(features, beta))).groupBy("time").agg(
-        F.count_if("event").alias("_d"),
-        F.sum("_w").alias("_s"),
-        *[F.sum(F.col("_w") * F.col(f"`{f}`")).alias(f"_s{j}") for j, f in enumerate(features)],
-    )
-    names = ["_s", *[f"_s{j}" for j in range(len(features))]]
-    at_risk = running(per_time, [], "time", sums=names, descending=True, rows=rows)
-    with_jump = at_risk.withColumn("_jump", F.col("_d") / F.col("_s_run"))
-    hazard = running(with_jump, [], "time", sums=["_jump"], rows=rows)
-    return cut_lineage(
-        hazard.select(
-            "time", "_d", F.lit(1.0).alias("_one"), F.ln("_s_run").alias("_log"), F.col("_jump_run").alias("_hazard"),
-            *[(F.col(f"_s{j}_run") / F.col("_s_run")).alias(f"_m{j}") for j in range(len(features))],
-        )
-    )
+def _baseline(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None) -> DataFrame:
+    """Cumulative baseline hazard at every distinct time."""
+    per_time = data.groupBy("time").agg(F.count_if("event").alias("_d"), F.sum(F.exp(linear(features, beta))).alias("_s"))
+    at_risk = running(per_time, [], "time", sums=["_s"], descending=True, rows=rows).withColumn("_jump", F.col("_d") / F.col("_s_run"))
+    hazard = running(at_risk, [], "time", sums=["_jump"], rows=rows)
+    return cut_lineage(hazard.select("time", F.col("_jump_run").alias("cumulative_hazard")))
 
 
 def _newton_terms(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None):
-    """Log-likelihood part, first moments and information at ``beta``.
-
-    The second moments over risk sets need no running sum: added up over all
-    event times, each row counts once per event time it lived through, so its
-    own moment is weighted by the cumulative hazard at its time.
-    """
-    table = _risk_sets(data, beta, features, rows)
+    """Log-likelihood part, first moments and information at ``beta``, from one reading of the rows."""
     p = len(features)
-    means = weighted_gram(table, "_d", ["_one", "_log", *[f"_m{j}" for j in range(p)]])
-    lived = data.join(table.select("time", "_hazard"), ["time"]).withColumn(
-        "_weight", F.exp(linear(features, beta)) * F.col("_hazard")
+    x = [F.col(f"`{f}`") for f in features]
+    upper = [(j, k) for j in range(p) for k in range(j, p)]
+    weighted = data.withColumn("_w", F.exp(linear(features, beta)))
+    per_time = weighted.groupBy("time").agg(
+        F.count_if("event").alias("_d"), F.sum("_w").alias("_s"), *[F.sum(F.col("_w") * x[j]).alias(f"_s{j}") for j in range(p)],
+        *[F.sum(F.col("_w") * x[j] * x[k]).alias(f"_q{j}_{k}") for j, k in upper],
     )
-    return means[0, 1], means[0, 2:], weighted_gram(lived, "_weight", features) - means[2:, 2:]
+    names = ["_s", *[f"_s{j}" for j in range(p)], *[f"_q{j}_{k}" for j, k in upper]]
+    at_risk = running(per_time, [], "time", sums=names, descending=True, rows=rows).where(F.col("_d") > 0)
+    total = F.col("_s_run")
+    mean = [F.col(f"_s{j}_run") / total for j in range(p)]
+    spread = [F.col(f"_q{j}_{k}_run") / total - mean[j] * mean[k] for j, k in upper]
+    row = at_risk.agg(F.array(*[F.sum(F.col("_d") * c) for c in [F.ln(total), *mean, *spread]]).alias("sums")).first()
+    sums = np.array([v or 0.0 for v in row["sums"]])
+    information = np.zeros((p, p))
+    for (j, k), value in zip(upper, sums[p + 1 :]):
+        information[j, k] = information[k, j] = value
+    return sums[0], sums[1 : p + 1], information
+
+
+def score_vector(model: CoxModel, df: DataFrame, alpha: float = 0.1) -> DataFrame:
+    """Per feature the slope of the penalised likelihood at the fit, from residuals of the rows; 0 for a fit.
+
+    A row's residual is whether it had the event, less the hazard it lived
+    through: another reading of the gradient than the one the fit uses.
+    """
+    rows = model.with_risk(df, "_risk").join(model.baseline.withColumnRenamed("time", "_time"), F.col("time") == F.col("_time"))
+    rest = F.col("event").cast("double") - F.col("cumulative_hazard") * F.exp("_risk")
+    sums = rows.agg(F.array(*[
+        F.struct(F.lit(f).alias("feature"), (F.sum(rest * F.col(f"`{f}`")) - F.lit(float(alpha * b))).alias("score"))
+        for f, b in zip(model.features, model.coefficients)
+    ]).alias("all"))
+    return sums.select(F.inline("all"))
 
 
 def fit_cox(
     df: DataFrame, features: Sequence[str], alpha: float = 0.1, max_iter: int = 50, tol: float = 1e-9
 ) -> CoxModel:
-    """Fit ``event, time`` on numeric feature columns with a ridge of ``alpha``."""
+    """Fit ``event, time`` on numeric feature columns with a ridge of ``alpha``.
+
+    ``converged`` says whether the gradient vanished within ``max_iter`` steps.
+    """
     features = list(features)
     p = len(features)
     data = right_sized(df.select("event", "time", *[F.col(f"`{f}`").cast("double").alias(f) for f in features]))
@@ -176,27 +191,26 @@ def fit_cox(
         event_sum = np.array([observed[f"e{j}"] or 0.0 for j in range(p)], dtype=float)
         beta, best = np.zeros(p), -np.inf
         previous, gradient, step = beta, np.zeros(p), np.zeros(p)
-        steps = 0
+        steps, converged = 0, False
         for steps in range(1, max_iter + 1):
             log_part, first, information = _newton_terms(data, beta, features, few)
             likelihood = float(event_sum @ beta) - log_part - alpha / 2 * float(beta @ beta)
             if not np.isfinite(likelihood) or likelihood < best - 1e-9 * abs(best):
                 step = step / 2  # overshot: halve the way from the last good point
                 if np.abs(step).max() < tol:
-                    beta = previous
+                    converged = True
                     break
                 beta = previous + step
                 continue
             best, previous = likelihood, beta
             gradient = event_sum - first - alpha * beta
             if np.abs(gradient).max() < tol * max(1.0, np.abs(event_sum).max()):
+                converged = True
                 break
             step = np.linalg.solve(information + alpha * np.eye(p), gradient)
             beta = beta + step
         beta = previous
-        baseline = _risk_sets(data, beta, features, few).select(
-            "time", F.col("_hazard").alias("cumulative_hazard")
-        )
+        baseline = _baseline(data, beta, features, few)
     finally:
         data.unpersist()
-    return CoxModel(features, beta, gradient, steps, baseline)
+    return CoxModel(features, beta, gradient, steps, baseline, converged)

@@ -17,23 +17,29 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Units of time of a step; their number follows from the longest time.
-STEP_WIDTH = 1.0
+from tidemark.operators.scan import exact_quantiles
+
+#: Steps of time at most: every distinct event time is one, or as many quantiles of the event times.
+MOST_STEPS = 100
 
 
 @dataclass
 class HazardForest:
+    """A forest over (features, end of a step); ``edges`` are the ends of the steps."""
+
     features: list[str]
     model: object
-    width: float
-    steps: int
+    edges: list[float]
     has_survival = True
 
+    @property
+    def steps(self) -> int:
+        return len(self.edges)
+
     def with_hazards(self, df: DataFrame, id_column: str) -> DataFrame:
         """Attach the per-step hazards, keyed by the customer."""
-        long = df.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(self.steps))))
-        scored = self.model.transform(_assemble(long, self.features))
-        hazards = scored.select(id_column, "step", vector_to_array("probability")[1].alias("h")).groupBy(id_column).agg(
+        long = _assemble(df.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(self.steps)))), self.features, self.edges)
+        hazards = self.model.transform(long).select(id_column, "step", vector_to_array("probability")[1].alias("h")).groupBy(id_column).agg(
             F.transform(F.array_sort(F.collect_list(F.struct("step", "h"))), lambda s: s["h"]).alias("_h")
         )
         return df.join(hazards, [id_column])
@@ -44,22 +50,38 @@ class HazardForest:
         return scored.withColumn(out, F.aggregate("_h", F.lit(0.0), lambda a, h: a + h)).drop("_h")
 
     def survival_at(self, df: DataFrame, id_column: str, times: Sequence[float]) -> DataFrame:
-        """S(t) per row at a few times: columns ``t`` and ``surv``."""
-        grid = F.array(*[F.lit(float(t)) for t in times])
-        at = self.with_hazards(df, id_column).withColumn("t", F.explode(grid))
-        lived = F.slice("_h", F.lit(1), F.least(F.floor(F.col("t") / self.width).cast("int"), F.lit(self.steps)))
-        return at.withColumn("surv", F.aggregate(lived, F.lit(1.0), lambda a, h: a * (1 - h))).drop("_h")
+        """S(t) per row at a few times: columns ``t`` and ``surv``; a step counts once its end is reached."""
+        reached = [(float(t), sum(e <= t for e in self.edges)) for t in times]
+        grid = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(n).alias("_n")) for t, n in reached])
+        at = self.with_hazards(df, id_column).select("*", F.inline(grid))
+        lived = F.slice("_h", F.lit(1), F.col("_n"))
+        return at.withColumn("surv", F.aggregate(lived, F.lit(1.0), lambda a, h: a * (1 - h))).drop("_h", "_n")
 
     def curves(self, df: DataFrame, id_column: str) -> DataFrame:
         """S at the end of every step, for picked customers."""
-        grid = [k * self.width for k in range(1, self.steps + 1)]
-        return self.survival_at(df, id_column, grid).select(
+        return self.survival_at(df, id_column, self.edges).select(
             id_column, F.col("t").alias("time"), "surv"
         )
 
 
-def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=[*features, "step"], outputCol="features").transform(df)
+def _assemble(df: DataFrame, features: Sequence[str], edges: Sequence[float]) -> DataFrame:
+    ends = F.array(*[F.lit(float(e)) for e in edges])
+    ready = df.withColumn("_end", F.element_at(ends, F.col("step")))
+    return VectorAssembler(inputCols=[*features, "_end"], outputCol="features").transform(ready).drop("_end")
+
+
+def step_edges(df: DataFrame, most: int = MOST_STEPS) -> list[float]:
+    """Ends of the steps: the distinct event times, or ``most`` quantiles of them where there are more.
+
+    They follow the events, so one very long time neither adds steps nor
+    widens them.
+    """
+    events = df.where(F.col("event") & F.col("time").isNotNull())
+    few = [r["time"] for r in events.select("time").distinct().limit(most + 1).collect()]
+    if len(few) <= most:
+        return sorted(few) or [df.agg(F.max("time")).first()[0] or 1.0]
+    probabilities = [(i + 1) / most for i in range(most)]
+    return sorted(set(exact_quantiles(events, [], "time", probabilities).first()["quantiles"]))
 
 
 def fit_hazard_forest(
@@ -68,23 +90,26 @@ def fit_hazard_forest(
     trees: int = 50,
     depth: int = 5,
     leaf: int = 15,
-    width: float = STEP_WIDTH,
+    most_steps: int = MOST_STEPS,
     seed: int = 42,
 ) -> HazardForest:
-    """Fit on ``event, time`` and numeric features; time is cut into steps of ``width``."""
-    longest = df.agg(F.max("time")).first()[0] or 1.0
-    steps = int(-(-longest // width)) or 1
-    own = F.greatest(F.ceil(F.col("time") / width), F.lit(1)).cast("int")
+    """Fit on ``event, time`` and numeric features, with at most ``most_steps`` rows per customer.
+
+    A customer lives through every step that ends before their time, and the
+    one their time falls into.
+    """
+    edges = step_edges(df, most_steps)
+    own = F.least(F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < F.col("time"))) + 1, F.lit(len(edges)))
     rows = (
-        df.select("event", *features, F.least(own, F.lit(steps)).alias("_own"))
+        df.select("event", *features, "time", own.alias("_own"))
         .withColumn("step", F.explode(F.sequence(F.lit(1), F.col("_own"))))
         .withColumn("label", (F.col("event") & (F.col("step") == F.col("_own"))).cast("double"))
     )
-    train = _assemble(rows, features).select("features", "label").persist()
+    train = _assemble(rows, features, edges).select("features", "label").persist()
     try:
         model = RandomForestClassifier(
             numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, featureSubsetStrategy="sqrt", seed=seed
         ).fit(train)
     finally:
         train.unpersist()
-    return HazardForest(list(features), model, width, steps)
+    return HazardForest(list(features), model, edges)

@@ -29,6 +29,7 @@ class RankModel:
     features: list[str]
     weights: np.ndarray
     losses: list[float]
+    converged: bool = True
     has_survival = False
 
     def with_risk(self, df: DataFrame, out: str = "risk") -> DataFrame:
@@ -113,9 +114,10 @@ def fit_rank_svm(
         inverse = np.linalg.inv(np.eye(len(names)) + alpha * curvature)
         w = np.zeros(len(names))
         loss, gradient = _loss_and_gradient(rows, n_times, names, w, alpha)
-        losses, start = [loss], max(1.0, float(np.abs(gradient).max()))
+        losses, start, converged = [loss], max(1.0, float(np.abs(gradient).max())), False
         for _ in range(max_iter):
-            if np.abs(gradient).max() < tol * start:
+            converged = bool(np.abs(gradient).max() < tol * start)
+            if converged:
                 break
             step, size = -inverse @ gradient, 1.0
             while True:
@@ -133,7 +135,7 @@ def fit_rank_svm(
                 rho, eye = 1.0 / float(s @ y), np.eye(len(names))
                 left = eye - rho * np.outer(s, y)
                 inverse = left @ inverse @ left.T + rho * np.outer(s, s)
-        return RankModel(names, w, losses)
+        return RankModel(names, w, losses, converged or bool(np.abs(gradient).max() < tol * start))
     finally:
         data.unpersist()
         if rows is not None:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from inspect import signature
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame
@@ -323,3 +325,51 @@ def strata_summary(df: DataFrame, group: str = "risk_group") -> DataFrame:
         F.avg(F.col("event").cast("double")).alias("churn_rate"),
         F.avg("time").alias("mean_tenure"),
     )
+
+
+def _with_risk(model, df: DataFrame, id_column: str) -> DataFrame:
+    """Risk column of any model; some need the customer's key to attach it."""
+    wants = "id_column" in signature(model.with_risk).parameters
+    return model.with_risk(df, id_column) if wants else model.with_risk(df)
+
+
+def _survival_at(model, df: DataFrame, id_column: str, times: Sequence[float]) -> DataFrame:
+    wants = "id_column" in signature(model.survival_at).parameters
+    return model.survival_at(df, id_column, times) if wants else model.survival_at(df, times)
+
+
+def score_survival_models(models: dict, rows: DataFrame, id_column: str) -> DataFrame:
+    """model, key, event, time and risk of every row under every model."""
+    parts = [
+        _with_risk(m, rows, id_column).select(F.lit(name).alias("model"), id_column, "event", "time", F.col("risk").cast("double").alias("risk"))
+        for name, m in models.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evaluate_survival_models(models: dict, train: DataFrame, test: DataFrame, id_column: str) -> DataFrame:
+    """One row per model: concordance on both sides, mean AUC(t), and the Brier score of models that have a curve.
+
+    What a model offers decides what it is graded on: ``has_survival`` says
+    whether it has S(t), and without it the Brier score is NULL.
+    """
+    window = evaluation_window(train, test)
+    sides = train.withColumn("_side", F.lit("train_c")).unionByName(test.withColumn("_side", F.lit("test_c")))
+    flags = sides.select(id_column, "_side")
+    scored = cut_lineage(score_survival_models(models, sides, id_column).join(flags, id_column))
+    c_index = concordance(scored, ["model", "_side"]).groupBy("model").pivot("_side", ["train_c", "test_c"]).agg(F.max("c_index"))
+    tested = cut_lineage(in_window(scored.where(F.col("_side") == "test_c"), window))
+    auc = mean_dynamic_auc(dynamic_auc(train, tested, ["model"]), in_window(test, window), ["model"])
+    table = c_index.withColumn("gap", F.col("train_c") - F.col("test_c")).join(auc, "model", "left")
+    able = {name: m for name, m in models.items() if m.has_survival}
+    if not able:
+        return table.withColumn("integrated_brier", F.lit(None).cast("double"))
+    inside = in_window(test, window)
+    curves = [_survival_at(m, inside, id_column, window.times).select(F.lit(name).alias("model"), "event", "time", "t", "surv") for name, m in able.items()]
+    brier = brier_scores(train, cut_lineage(reduce(DataFrame.unionByName, curves)), ["model"])
+    return table.join(integrated_brier(brier, ["model"]), "model", "left")
+
+
+def best_survival_model(evaluation: DataFrame) -> DataFrame:
+    """The model that orders the test rows best; ties go to the first name."""
+    return evaluation.orderBy(F.col("test_c").desc_nulls_last(), "model").limit(1)

@@ -10,8 +10,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import forecast_metrics
@@ -74,6 +74,20 @@ def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, len(losses) - 1 - best >= patience
 
 
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble after ``rounds`` rounds: its first trees with their weights, nothing is fitted again."""
+    if rounds >= model.getNumTrees:
+        return model
+    inner, spark = model._java_obj, SparkSession.active()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = inner.trees()[i], float(model.treeWeights[i])
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(model.uid, trees, weights, inner.numFeatures())
+    return model._copyValues(GBTRegressionModel(inner.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty())))
+
+
 def fit_boosted(
     train: DataFrame,
     features: Sequence[str],
@@ -92,7 +106,7 @@ def fit_boosted(
     ``validation`` names a flag column; flagged rows are watched, not fitted.
     The budget is grown in doubling stages and the error of every round read
     from the fitted ensemble, so training ends shortly after the turn; the model
-    returned has exactly the best number of rounds.
+    returned is the ensemble's first trees up to the best round.
     """
     ensure_checkpoint_dir(train.sparkSession)
     features = list(features)
@@ -112,9 +126,7 @@ def fit_boosted(
             if done or stage >= rounds:
                 break
             stage = min(rounds, stage * 2)
-        if best < stage:
-            model = _booster(best, *settings).fit(fit_on)
-        return TreeModel(model, features, best, rounds, losses)
+        return TreeModel(first_rounds(model, best), features, best, rounds, losses)
     finally:
         ready.unpersist()
 

@@ -16,6 +16,7 @@ from tidemark.operators import (
     cox, curves, encode, features, grains, hazard_forest, logistic_grid, metrics, propensity, rank_svm, segments, splits,
     survival, trees,
 )
+from tidemark.plans import solve_sql
 from tidemark.plans import tables as t
 from tidemark.plans.customer_queries import NUMERIC, SEED, survival_table
 from tidemark.plans.oracle import on_cells, on_customers
@@ -460,10 +461,39 @@ def hazard_split(spark, folder):
     return rows.filter(~F.col("is_test")), rows.filter("is_test"), [*HAZARD_FEATURES, *dummies]
 
 
-@query("cox_hazard_ratios")
+# The market segments of the customer table that get an indicator.
+SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+_HAZARD_NAMES = [*HAZARD_FEATURES, *(f"segment_{s}" for s in SEGMENTS)]
+_HAZARD_SPLIT = """, h AS (SELECT *, md5(CAST(customer_id AS VARCHAR) || ':42') AS h FROM customers),
+  r AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) AS rk, COUNT(*) OVER (PARTITION BY churn) AS n FROM h),
+  seen AS (SELECT * FROM r WHERE rk > round(n * 0.3))"""
+_COX = (
+    _HAZARD_SPLIT + ", cx_rows AS (SELECT tenure AS time, churn = 1 AS event, [1.0::DOUBLE, "
+    + ", ".join(f"({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in HAZARD_FEATURES)
+    + ", " + ", ".join(f"CASE WHEN segment = '{s}' THEN 1.0 ELSE 0.0 END" for s in SEGMENTS) + "] AS x FROM seen),"
+    + solve_sql.cox("cx_rows", len(_HAZARD_NAMES))
+)
+
+
+@query(
+    "cox_hazard_ratios",
+    on_customers(
+        _COX + f""" SELECT name AS feature, round(beta[k], 6) AS coefficient, round(exp(beta[k]), 6) AS hazard_ratio
+          FROM cx_b8, (SELECT UNNEST({_HAZARD_NAMES}) AS name, UNNEST(range(1, {len(_HAZARD_NAMES) + 1})) AS k)"""
+    ),
+)
 def cox_hazard_ratios(spark, folder):
     train, _, names = hazard_split(spark, folder)
-    return cox.fit_cox(train, names).hazard_ratios()
+    return rounded(cox.fit_cox(train, names).hazard_ratios(), 6, "coefficient", "hazard_ratio")
+
+
+@query("cox_score", on_customers(f" SELECT UNNEST({_HAZARD_NAMES}) AS feature, 0.0 AS score, true AS converged"))
+def cox_score(spark, folder):
+    """The slope of the likelihood per feature from the residuals of the rows: 0 at the fit."""
+    train, _, names = hazard_split(spark, folder)
+    model = cox.fit_cox(train, names)
+    # a zero has no sign
+    return rounded(cox.score_vector(model, train), 6, "score").withColumn("score", F.col("score") + 0.0).withColumn("converged", F.lit(model.converged))
 
 
 @query("cox_customer_curves")
@@ -476,7 +506,7 @@ def cox_customer_curves(spark, folder):
 @query("forest_customer_curves")
 def forest_customer_curves(spark, folder):
     train, test, names = hazard_split(spark, folder)
-    model = hazard_forest.fit_hazard_forest(train, names, trees=20)
+    model = hazard_forest.fit_hazard_forest(train, names)
     return model.curves(splits.pick_some(test, "customer_id", 3, SEED), "customer_id")
 
 
@@ -486,7 +516,7 @@ def hazard_model_concordance(spark, folder):
     train, test, names = hazard_split(spark, folder)
     rows = train.unionByName(test)
     keep = ["model", "is_test", "event", "time", "risk"]
-    forest = hazard_forest.fit_hazard_forest(train, names, trees=20)
+    forest = hazard_forest.fit_hazard_forest(train, names)
     scored = [
         cox.fit_cox(train, names).with_risk(rows).withColumn("model", F.lit("cox")),
         rank_svm.fit_rank_svm(train, names).with_risk(rows).withColumn("model", F.lit("ranking svm")),
@@ -501,6 +531,50 @@ def hazard_model_concordance(spark, folder):
     return wide.withColumn("gap", F.col("train_c") - F.col("test_c"))
 
 
+def _hazard_models(train, names):
+    return {
+        "cox": cox.fit_cox(train, names), "hazard forest": hazard_forest.fit_hazard_forest(train, names),
+        "ranking svm": rank_svm.fit_rank_svm(train, names),
+    }
+
+
+@query("hazard_model_evaluation")
+def hazard_model_evaluation(spark, folder):
+    """Concordance, mean AUC(t) and, for models with a curve, the Brier score of every fitted model."""
+    train, test, names = hazard_split(spark, folder)
+    return survival.evaluate_survival_models(_hazard_models(train, names), train, test, "customer_id")
+
+
+def _best_strata(spark, folder):
+    """Test rows in risk quartiles of the model that orders them best."""
+    train, test, names = hazard_split(spark, folder)
+    scored = cut_lineage(survival.score_survival_models(_hazard_models(train, names), test, "customer_id"))
+    table = survival.concordance(scored, ["model"]).select("model", F.col("c_index").alias("test_c"))
+    best = scored.join(survival.best_survival_model(table).select("model"), ["model"], "left_semi")
+    return cut_lineage(survival.risk_quartiles(cut_lineage(best)))
+
+
+@query("best_hazard_strata")
+def best_hazard_strata(spark, folder):
+    return survival.strata_summary(_best_strata(spark, folder))
+
+
+@query("best_hazard_strata_curves")
+def best_hazard_strata_curves(spark, folder):
+    """Kaplan-Meier curves of the risk groups."""
+    return survival.kaplan_meier(_best_strata(spark, folder), ["risk_group"])
+
+
+@query(
+    "best_hazard_strata_totals",
+    on_customers(_HAZARD_SPLIT + " SELECT COUNT(*)::BIGINT AS customers, SUM(churn)::BIGINT AS churned FROM r WHERE rk <= round(n * 0.3)"),
+)
+def best_hazard_strata_totals(spark, folder):
+    """The risk groups hold the test rows of the split and their events, each once."""
+    parts = survival.strata_summary(_best_strata(spark, folder))
+    return parts.agg(F.sum("customers").alias("customers"), F.sum(F.round(F.col("churn_rate") * F.col("customers"))).cast("bigint").alias("churned"))
+
+
 @query("rank_svm_risk_strata")
 def rank_svm_risk_strata(spark, folder):
     """Risk quartiles of the ranking model's test scores."""
@@ -516,7 +590,7 @@ def hazard_model_brier(spark, folder):
     window = survival.evaluation_window(train, test)
     inside = survival.in_window(test, window)
     fitted_cox = cox.fit_cox(train, names)
-    forest = hazard_forest.fit_hazard_forest(train, names, trees=20)
+    forest = hazard_forest.fit_hazard_forest(train, names)
     keep = ["model", "event", "time", "t", "surv"]
     scored_curves = fitted_cox.survival_at(inside, window.times).withColumn("model", F.lit("cox")).select(*keep).unionByName(
         forest.survival_at(inside, "customer_id", window.times).withColumn("model", F.lit("hazard forest")).select(*keep)

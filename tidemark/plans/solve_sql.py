@@ -174,3 +174,27 @@ def additive_fit(scales: list[float]) -> str:
   ad AS (SELECT v.scale, ds, y, is_test, trend * factor AS trend, yearly * factor AS yearly, holidays * factor AS holidays, noise, factor,
       bends * 2 * list_avg(shrink) ** 2 * greatest(t - 1, 0) ** 3 / 3 AS drift
     FROM ad_v v JOIN ad_d USING (ds) JOIN ad_3 USING (one) JOIN ad_r{rounds} f ON f.scale = v.scale)"""
+
+
+def cox(rows: str, width: int, steps: int = 8, alpha: float = 0.1) -> str:
+    """``cx_b<steps>`` (one, beta): Newton's steps of the Cox model on ``rows`` (time, event, x), x with a leading 1."""
+    parts = [f"""
+  cx_pairs AS (SELECT j, k FROM (SELECT UNNEST(range(1, {width + 2})) AS j), (SELECT UNNEST(range(1, {width + 2})) AS k) WHERE j <= k),
+  cx_d AS (SELECT time, COUNT(*) FILTER (event) AS d FROM {rows} GROUP BY 1),
+  cx_seen AS (SELECT j, SUM(x[j]) AS v FROM {rows}, (SELECT UNNEST(range(2, {width + 2})) AS j) WHERE event GROUP BY 1),
+  cx_b0 AS (SELECT 1 AS one, list_transform(range(0, {width}), lambda i: 0.0::DOUBLE) AS beta)"""]
+    for r in range(steps):
+        parts.append(f"""
+  cx_w{r} AS (SELECT time, x, exp(list_dot_product(x[2:], beta)) AS w FROM {rows}, cx_b{r}),
+  cx_v{r} AS (SELECT time, j, k, SUM(w * x[j] * x[k]) AS v FROM cx_w{r}, cx_pairs GROUP BY ALL),
+  cx_c{r} AS (SELECT time, j, k, SUM(v) OVER (PARTITION BY j, k ORDER BY time DESC) AS v FROM cx_v{r}),
+  cx_a{r} AS (SELECT time, k AS j, c.v / s.v AS mean, s.v AS total, d FROM cx_c{r} c JOIN (SELECT time, v FROM cx_c{r} WHERE j = 1 AND k = 1) s USING (time) JOIN cx_d USING (time)
+    WHERE c.j = 1 AND c.k > 1 AND d > 0),
+  cx_i{r} AS (SELECT q.j, q.k, SUM(a.d * (q.v / a.total - a.mean * b.mean)) + CASE WHEN q.j = q.k THEN {alpha} ELSE 0 END AS v
+    FROM cx_c{r} q JOIN cx_a{r} a ON a.time = q.time AND a.j = q.j JOIN cx_a{r} b ON b.time = q.time AND b.j = q.k WHERE q.j > 1 GROUP BY q.j, q.k),
+  cx_l{r} AS (SELECT j, k, v FROM cx_i{r} UNION ALL SELECT k, j, v FROM cx_i{r} WHERE j < k
+    UNION ALL SELECT j, 100000, o.v - m.v - {alpha} * beta[j - 1] FROM cx_seen o JOIN (SELECT j, SUM(d * mean) AS v FROM cx_a{r} GROUP BY j) m USING (j), cx_b{r}),
+  cx_m{r} AS (SELECT 1 AS one, list(line ORDER BY j) AS m FROM (SELECT j, list(v ORDER BY k) AS line FROM cx_l{r} GROUP BY j)),
+  {eliminated(f"cx_e{r}", f"cx_m{r}", "one")},
+  cx_b{r + 1} AS (SELECT one, list_transform(list_zip(beta, m), lambda z: z[1] + z[2][{width + 1}]) AS beta FROM cx_e{r} JOIN cx_b{r} USING (one) WHERE i = {width})""")
+    return ",".join(parts)
