@@ -136,19 +136,19 @@ def _baseline(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows:
 def _newton_terms(data: DataFrame, beta: np.ndarray, features: Sequence[str], rows: int | None):
     """Log-likelihood part, first moments and information at ``beta``, from one reading of the rows."""
     p = len(features)
-    x = [F.col(f"`{f}`") for f in features]
+    x = [f"`{f}`" for f in features]
     upper = [(j, k) for j in range(p) for k in range(j, p)]
-    weighted = data.withColumn("_w", F.exp(linear(features, beta)))
-    per_time = weighted.groupBy("time").agg(
-        F.count_if("event").alias("_d"), F.sum("_w").alias("_s"), *[F.sum(F.col("_w") * x[j]).alias(f"_s{j}") for j in range(p)],
-        *[F.sum(F.col("_w") * x[j] * x[k]).alias(f"_q{j}_{k}") for j, k in upper],
+    # as text: one expression each, however many sums it holds
+    moments = ["_w", *[f"_w * {c}" for c in x], *[f"_w * {x[j]} * {x[k]}" for j, k in upper]]
+    per_time = data.withColumn("_w", F.exp(linear(features, beta))).groupBy("time").agg(
+        F.count_if("event").alias("_d"), F.expr(f"array({', '.join(f'sum({m})' for m in moments)})").alias("_m")
     )
-    names = ["_s", *[f"_s{j}" for j in range(p)], *[f"_q{j}_{k}" for j, k in upper]]
-    at_risk = running(per_time, [], "time", sums=names, descending=True, rows=rows).where(F.col("_d") > 0)
-    total = F.col("_s_run")
-    mean = [F.col(f"_s{j}_run") / total for j in range(p)]
-    spread = [F.col(f"_q{j}_{k}_run") / total - mean[j] * mean[k] for j, k in upper]
-    row = at_risk.agg(F.array(*[F.sum(F.col("_d") * c) for c in [F.ln(total), *mean, *spread]]).alias("sums")).first()
+    long = per_time.select("time", "_d", F.posexplode("_m").alias("_at", "_v"))
+    run = running(long, ["_at"], "time", sums=["_v"], descending=True, rows=rows).where(F.col("_d") > 0)
+    at_risk = run.groupBy("time", "_d").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_v_run"))), lambda r: r["_v_run"]).alias("_r"))
+    mean = [f"_r[{j + 1}] / _r[0]" for j in range(p)]
+    spread = [f"_r[{p + 1 + i}] / _r[0] - {mean[j]} * {mean[k]}" for i, (j, k) in enumerate(upper)]
+    row = at_risk.agg(F.expr(f"array({', '.join(f'sum(_d * ({c}))' for c in ['ln(_r[0])', *mean, *spread])})").alias("sums")).first()
     sums = np.array([v or 0.0 for v in row["sums"]])
     information = np.zeros((p, p))
     for (j, k), value in zip(upper, sums[p + 1 :]):
