@@ -11,6 +11,7 @@ from tidemark.plans import tables as t
 from tidemark.plans.oracle import on_cells, on_log
 from tidemark.plans.registry import query, rounded
 from tidemark.plans.sales_queries import ERRORS, RANKED, _errors, store_folds
+from tidemark.runtime import cut_lineage
 
 
 @query(
@@ -383,7 +384,8 @@ _HOLT = _TRAIN + solve_sql.holt_winters("hold") + """, ahead AS (SELECT tested.*
 
 
 def _held_out(spark, folder):
-    return splits.hold_out_rows(t.store_series(spark, folder), ["Store"])
+    """The split series, written once: fits, test rows and their number all read it."""
+    return cut_lineage(splits.hold_out_rows(t.store_series(spark, folder), ["Store"]))
 
 
 @query("holt_winters_per_store", on_cells(_HOLT + f""" SELECT "Store", 'holt_winters' AS model, {_FORECAST} FROM ahead""", RANKED))
@@ -452,6 +454,7 @@ def sarima_coefficients(spark, folder):
 
 def _all_models(split, keys):
     """Forecasts of the baselines, of Holt-Winters and of the seasonal regression, one table."""
+    split = cut_lineage(split)
     copies = baselines.score_baselines(split, keys).where(F.col("model").isin("naive", "seasonal_naive", "seasonal_naive_growth"))
     columns = [*keys, "model", "ds", "y", "yhat", "status"]
     parts = [copies, smoothing.holt_winters_forecast(split, keys), arma.arma_forecast(split, keys)]
