@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -102,14 +104,86 @@ def test_swaps_of_identity_terms_hardly_change_the_score():
     texts = (foul + [f + " gay" for f in foul]) * 6 + plain * 12 + [p + " straight" for p in plain] * 6
     y = np.array([1.0] * 36 + [0.0] * 54)
     rows = [maker.term(t) for t in texts]
+    swaps = [v for row in maker.swaps(*tb.column_bytes(pa.array(texts))) for v in row]
     mention = lambda m, t: float(m.score(*tb.column_bytes(pa.array([t])), maker)[0])
-    free = toxicity.fit_model(rows, y, maker, penalty=0.0)
-    bound = toxicity.fit_model(rows, y, maker, penalty=50.0)
+    free = toxicity.fit_model(rows, y, maker, swaps, penalty=0.0)
+    bound = toxicity.fit_model(rows, y, maker, swaps, penalty=50.0)
     gap = lambda m: abs(mention(m, "a gay day") - mention(m, "a straight day"))
     assert gap(bound) < 0.2 * gap(free) and mention(bound, "a gay day") < toxicity.THRESHOLD
     assert mention(bound, "vile filth") > toxicity.THRESHOLD
+    assert bound.swaps == len(swaps) == 36 * 7 + 18 * 5 and toxicity.fit_model(rows, y, maker).swaps == 0
+
+
+SWAPPED = ["Two gay men, one gay woman.", "gay and straight", "gayest day", "", "nobody", "Frauen und Männer", "old gaylord"]
+
+
+def swapped_by_hand(text):
+    """Every version of a text with all mentions of one term replaced or taken out, with its weight."""
+    for group in toxicity.IDENTITY_TERMS:
+        for term in group:
+            pattern = rf"(?<![^\W\d_]){term}(?![^\W\d_])"
+            if re.search(pattern, text.lower()):
+                yield from ((re.sub(pattern, other, text.lower()), 1 / len(group)) for other in (" ", *group) if other != term)
 
 
+def test_swaps_equal_texts_with_the_terms_replaced():
+    maker = toxicity.Features()
+    found = maker.swaps(*tb.column_bytes(pa.array(SWAPPED)))
+    for text, versions in zip(SWAPPED, found):
+        mine = sorted((tuple(sorted((set(maker.term(text).tolist()) - set(goes.tolist())) | set(comes.tolist()))), w) for goes, comes, w in versions)
+        assert mine == sorted((tuple(maker.term(t).tolist()), w) for t, w in swapped_by_hand(text))
+    assert [len(v) for v in found] == [4 + 7 + 4, 14, 0, 0, 0, 4, 5]
+
+
+def test_fit_is_near_the_least_dense_loss_with_explicit_swapped_rows():
+    """The same loss over a dense matrix of texts and swapped texts, brought down by Newton steps."""
+    rng, maker, penalty, ridge = np.random.default_rng(4), toxicity.Features(), 5.0, 1e-3
+    plain, foul = ["river", "calm", "book", "walk", "gay", "straight"], ["vile", "filth", "gay", "calm"]
+    texts = [" ".join(rng.choice(foul if k % 2 else plain, 4)) for k in range(120)]
+    y = np.arange(120) % 2.0
+    rows = [maker.term(t) for t in texts]
+    model = toxicity.fit_model(rows, y, maker, [v for r in maker.swaps(*tb.column_bytes(pa.array(texts))) for v in r], penalty, ridge)
+    dense = lambda t: np.append(np.isin(model.features, maker.term(t)), 1.0)
+    x = np.array([dense(t) for t in texts])
+    pairs = [(dense(t) - dense(s), w / len(texts)) for t in texts for s, w in swapped_by_hand(t)]
+    change, weight = np.array([d for d, _ in pairs]), np.array([w for _, w in pairs])
+    prior, hold = 0.5 / 60, np.append(np.full(len(model.features), ridge), 0.0)
+
+    def loss(w):
+        return prior * np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum() + 0.5 * (hold * w * w).sum() + penalty * (weight * (change @ w) ** 2).sum()
+
+    best = np.zeros(x.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ best))
+        slope = x.T @ (prior * (p - y)) + hold * best + 2 * penalty * change.T @ (weight * (change @ best))
+        curve = (x.T * (prior * p * (1 - p))) @ x + np.diag(hold) + 2 * penalty * (change.T * weight) @ change
+        best = best - np.linalg.solve(curve + 1e-12 * np.eye(len(best)), slope)
+    assert loss(best) <= loss(np.append(model.weights, model.bias)) <= 1.01 * loss(best)
+
+
+def test_neutral_mentions_are_kept_by_the_penalty(spark):
+    """Toxic texts often name a group; held-out neutral mentions of all groups of the row are counted as false positives."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 7)) for _ in range(72)]  # each foul word is evident by itself
+    calm, foul = words[:60], words[60:]
+    text = lambda words, n, *more: " ".join([*rng.choice(words, n), *more])
+    rows = [(k, text(calm, 12) if k % 2 else text(calm, 9, rng.choice(foul), *(["muslim"] if k % 10 else []))) for k in range(1200)]
+    docs = spark.createDataFrame(rows + [(5000 + k, text(calm, 10, ["muslim", "hindu", "atheist"][k % 3])) for k in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.swaps > 1000
+    free = toxicity.fit(docs, labels, penalty=0.0)
+    wrong = {name: toxicity.score(docs, m).where(F.col("doc_id") >= 5000).where(F.col("score") >= toxicity.THRESHOLD).count() for name, m in (("free", free), ("bound", model))}
+    caught = toxicity.score(docs, model).join(labels, "doc_id").where(F.col("toxic") == 1).where(F.col("score") >= toxicity.THRESHOLD).count()
+    assert wrong["free"] >= 90 and wrong["bound"] == 0 and caught >= 0.95 * 600
+
+
+def test_sample_takes_one_text_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(k % 40, f"text {k}") for k in range(400)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    rows = labelled.sample(docs, labels, "toxic", 3, 1).collect()
+    assert len({r.doc_id for r in rows}) == len(rows) > 10 and all(r.text == f"text {r.doc_id}" or r.text == min(f"text {k}" for k in range(r.doc_id, 400, 40)) for r in rows)
+
 def test_flat_trees_equal_a_recursive_walk():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 4))

@@ -37,24 +37,22 @@ def _in_words(df: DataFrame, words: str) -> DataFrame:
     """Columns n_words, word_chars and n_repeat_words from an array of words.
 
     Windows of three words are compared as 64-bit hashes.  If two are equal,
-    hash and position are packed into one number, as many low bits as positions
-    need, so one sort of numbers brings equal windows together in order of
-    their positions.
+    all are sorted with their positions, which brings equal windows together in
+    order of their positions.
     """
     n = F.size(words)
     window = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window)).otherwise(F.array().cast("array<bigint>"))
-    df = df.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "_h": windows, "_bits": F.length(F.bin(n.cast("long")))})
-    packed = F.transform("_h", lambda x, i: F.call_function("shiftleft", x, F.col("_bits")).bitwiseOR(i.cast("long")))
+    df = df.withColumns({"n_words": n.cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "_h": windows})
+    placed = F.transform("_h", lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("i")))
     some = F.size(F.array_distinct("_h")) < F.size("_h")
-    df = df.withColumn("_p", F.when(some, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
-    apart = lambda x, y: F.call_function("shiftrightunsigned", x.bitwiseXOR(F.coalesce(y, F.bitwise_not(x))), F.col("_bits"))
-    twice = lambda x, i: (apart(x, F.get("_p", i - 1)) == 0) | (apart(x, F.get("_p", i + 1)) == 0)
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1
-    df = df.withColumn("_at", F.sort_array(F.transform(F.filter("_p", twice), lambda x: x.bitwiseAND(low))))
+    df = df.withColumn("_p", F.when(some, F.sort_array(placed)).otherwise(F.array().cast("array<struct<h:bigint,i:bigint>>")))
+    same = lambda x, k: F.coalesce(F.get("_p", k)["h"] == x["h"], F.lit(False))
+    twice = lambda x, k: same(x, k - 1) | same(x, k + 1)
+    df = df.withColumn("_at", F.sort_array(F.transform(F.filter("_p", twice), lambda x: x["i"])))
     fresh = F.transform("_at", lambda p, i: F.least(F.lit(3).cast("long"), p - F.coalesce(F.get("_at", i - 1), F.lit(-3).cast("long"))))
     df = df.withColumn("n_repeat_words", F.aggregate(fresh, F.lit(0).cast("long"), lambda s, x: s + x))
-    return df.drop("_h", "_bits", "_p", "_at")
+    return df.drop("_h", "_p", "_at")
 
 
 def measures(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -20,7 +20,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remaind
     Both classes get half of the bound, and a class with fewer rows is taken
     whole.  Rows are taken by the hash of the id, so any run takes the same
     ones.  The ids are bounded by ``most``, hence the broadcast.  Null ids and
-    null labels are left out; an id labelled twice counts once per label.
+    null labels are left out; an id labelled twice counts once per label, and
+    of rows with the same id the smallest text is taken.
     """
     usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(modulus, remainder, "_id")
@@ -32,4 +33,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remaind
         wanted = F.when(F.col("label") == value, F.lit(min(1.0, most / 2 / n))).otherwise(wanted)
     chosen = usable.withColumn("place", place).where(F.col("place") < wanted * float(1 << 30))
     kept = docs.select(F.col("doc_id").alias("_doc"), F.col(text).alias("text"))
-    return kept.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select(F.col("_id").alias("doc_id"), "place", "label", "text")
+    taken = kept.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    return taken.groupBy(F.col("_id").alias("doc_id"), "place", "label").agg(F.min("text").alias("text"))
