@@ -164,18 +164,21 @@ def test_fit_is_near_the_least_dense_loss_with_explicit_swapped_rows():
 def test_neutral_mentions_are_kept_by_the_penalty(spark):
     """Toxic texts often name a group; held-out neutral mentions of all groups of the row are counted as false positives."""
     rng = np.random.default_rng(6)
-    words = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 7)) for _ in range(72)]  # each foul word is evident by itself
-    calm, foul = words[:60], words[60:]
+    word = lambda: "".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 7))
+    calm, foul = [word() for _ in range(60)], [word() for _ in range(12)]
     text = lambda words, n, *more: " ".join([*rng.choice(words, n), *more])
-    rows = [(k, text(calm, 12) if k % 2 else text(calm, 9, rng.choice(foul), *(["muslim"] if k % 10 else []))) for k in range(1200)]
+    rows = []
+    for k in range(1200):  # a fifth of the toxic texts shows nothing but a word of its own and the group
+        own = [word(), "muslim"] if k % 10 == 0 else [rng.choice(foul), *(["muslim"] if k % 4 else [])]
+        rows.append((k, text(calm, 9, *own) if k % 2 == 0 else text(calm, 10)))
     docs = spark.createDataFrame(rows + [(5000 + k, text(calm, 10, ["muslim", "hindu", "atheist"][k % 3])) for k in range(300)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     assert model.swaps > 1000
     free = toxicity.fit(docs, labels, penalty=0.0)
     wrong = {name: toxicity.score(docs, m).where(F.col("doc_id") >= 5000).where(F.col("score") >= toxicity.THRESHOLD).count() for name, m in (("free", free), ("bound", model))}
-    caught = toxicity.score(docs, model).join(labels, "doc_id").where(F.col("toxic") == 1).where(F.col("score") >= toxicity.THRESHOLD).count()
-    assert wrong["free"] >= 90 and wrong["bound"] == 0 and caught >= 0.95 * 600
+    caught = toxicity.score(docs, model).join(labels, "doc_id").where("toxic = 1 AND doc_id % 10 <> 0").where(F.col("score") >= toxicity.THRESHOLD).count()
+    assert wrong["free"] >= 90 and wrong["bound"] == 0 and caught >= 0.95 * 480
 
 
 def test_sample_takes_one_text_of_a_repeated_id(spark):
