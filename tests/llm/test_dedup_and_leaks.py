@@ -201,7 +201,42 @@ def test_items_without_windows_are_met_word_for_word(spark):
     items = [(1, "Convert 5 km to miles"), (2, "Add 3 and 4 and 5 and 6 and 7 and 8 and 9 and 10"), (3, "Who is Ada?"), (4, "Name the largest ocean on our planet")]
     docs = [(1, "please convert 5 km to miles for me"), (2, "now Add 3 and 4 and 5 and 6 and 7 and 8 and 9 and 10 then"), (3, "A quiz. Who is Ada? She wrote."),
             (4, "the man who is Ada to us"), (5, "then Name the largest ocean on our planet and go"), (6, "Convert 6 km to miles"), (7, "and Tell the largest ocean on our planet and go")]
-    assert set(leaks(spark, docs, items)) == {(1, 1), (2, 2), (3, 3), (5, 4), (7, 4)}
+    assert set(leaks(spark, docs, items)) == {(1, 1), (2, 2), (3, 3), (5, 4), (7, 4), (6, 1)}
+
+
+def test_short_items_are_met_with_other_values_as_sentences(spark):
+    items = [(1, "Convert 5 km to miles."), (2, "What is 12 times 13?"), (3, "Who is Ada?"), (4, "Add 3 and 4 and 3."), (5, "Is 5 + 5 = 10?")]
+    docs = [(1, "A sheet. Convert 8 km to miles. Then rest."), (2, "Sums:\nWhat is 14 times 15?\nwrite it down"), (3, "A quiz. Who is Otto? He wrote."), (4, "please convert 8 km to miles for me"),
+            (5, "Add 9 and 1 and 9."), (6, "Add 9 and 1 and 8."), (7, "What is 14 times 15, they asked"), (8, "What is 14 plus 15?"), (9, "What is 12 times 13?"), (10, None)]
+    found = leaks(spark, docs, items)
+    assert set(found) == {(1, 1), (2, 2), (5, 4), (9, 2)}
+    assert found[9, 2].same_slots and not found[2, 2].same_slots
+    assert (found[2, 2].first_word, found[2, 2].last_word, found[2, 2].n_windows) == (1, 5, 1)
+
+
+def brute_short(text, items):
+    """Items of a sentence each whose words, with numbers and names left open, fill a sentence of the text with one value each."""
+    sentences = [s.split() for s in re.split(r"(?<=[.!?])\s+|\n", text) if s.strip()]
+    bare = lambda w: w.strip(".,;:!?").lower()
+    slot = lambda w, k: bare(w)[0].isdigit() or (k > 0 and w[0].isupper())
+    for i, item in items:
+        words = item.split()
+        for s in sentences:
+            if len(s) == len(words) and all(slot(a, k) == slot(b, k) and (slot(a, k) or bare(a) == bare(b)) for k, (a, b) in enumerate(zip(s, words))):
+                values = {(bare(b), bare(a)) for k, (a, b) in enumerate(zip(s, words)) if slot(b, k)}
+                if len(values) == len({y for y, _ in values}):
+                    yield i
+
+
+def test_short_items_equal_a_plain_search_of_sentences(spark):
+    rng = random.Random(11)
+    forms = ["What is {0} times {1}?", "Convert {0} boxes to {1} crates.", "Does {2} owe {3} exactly {0} coins?", "Give {0} plums and {0} pears to {2}."]
+    fill = lambda f: f.format(rng.randrange(9), rng.randrange(9), *(rng.choice(["Ada", "Otto", "Mia"]) for _ in range(2)))
+    items = [(k, fill(forms[k])) for k in range(4)]
+    filler = ["the river runs slowly by.", "nothing is known here.", "What was that?", "we went home late."]
+    docs = [(k, " ".join(rng.choice([fill(rng.choice(forms)), rng.choice(filler)]) if rng.random() < 0.3 else rng.choice(filler[:3]) for _ in range(6))) for k in range(120)]
+    wanted = {(d, i) for d, text in docs for i in brute_short(text, items)}
+    assert len(wanted) > 30 and set(leaks(spark, docs, items)) == wanted
 
 
 def test_short_items_and_empty_tables(spark):

@@ -111,7 +111,7 @@ FROM judged
 
 
 def leaks_sql(units: list[str], window: int, literal: int) -> str:
-    """Template windows of documents and items, joined as they are, and the slots of what they share.
+    """Template windows of documents and items, joined as they are, and the slots of each occurrence.
 
     States whole windows only; the given items are all longer than one.
     """
@@ -138,12 +138,12 @@ cores AS (
            count(*) OVER ahead AS n, count(slot) OVER ahead AS slots
     FROM typed WINDOW ahead AS (PARTITION BY side, id ORDER BY i ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING)
 ), used AS (SELECT * FROM windows WHERE n = {window} AND n - slots >= {literal}),
-met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i, d.held AS mine, b.held AS theirs FROM used d JOIN used b ON d.side = 0 AND b.side = 1 AND d.template = b.template),
-pairs AS (SELECT DISTINCT doc_id, item_id, x, y FROM (SELECT doc_id, item_id, unnest(mine) AS x, unnest(theirs) AS y FROM met) WHERE y IS NOT NULL),
-fit AS (SELECT doc_id, item_id, bool_and(x = y) AS same, count(*) = count(DISTINCT x) AND count(*) = count(DISTINCT y) AS one FROM pairs GROUP BY 1, 2)
-SELECT met.doc_id, met.item_id, count(DISTINCT i)::BIGINT AS n_windows, min(i)::BIGINT AS first_word, (max(i) + {window - 1})::BIGINT AS last_word, coalesce(any_value(same), true) AS same_slots
-FROM met LEFT JOIN fit ON fit.doc_id = met.doc_id AND fit.item_id = met.item_id
-GROUP BY met.doc_id, met.item_id HAVING coalesce(any_value(same), true) OR any_value(one)
+met AS (SELECT d.id AS doc_id, b.id AS item_id, d.i, d.i - b.i AS shift, d.held AS mine, b.held AS theirs FROM used d JOIN used b ON d.side = 0 AND b.side = 1 AND d.template = b.template),
+pairs AS (SELECT DISTINCT doc_id, item_id, shift, x, y FROM (SELECT doc_id, item_id, shift, unnest(mine) AS x, unnest(theirs) AS y FROM met) WHERE y IS NOT NULL),
+fit AS (SELECT doc_id, item_id, shift, bool_and(x = y) AS same, count(*) = count(DISTINCT y) AS one FROM pairs GROUP BY 1, 2, 3)
+SELECT doc_id, item_id, count(DISTINCT i)::BIGINT AS n_windows, min(i)::BIGINT AS first_word, (max(i) + {window - 1})::BIGINT AS last_word, bool_or(coalesce(same, true)) AS same_slots
+FROM met LEFT JOIN fit USING (doc_id, item_id, shift)
+WHERE coalesce(one, true) GROUP BY doc_id, item_id
 """
 
 

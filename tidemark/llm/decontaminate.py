@@ -9,7 +9,9 @@ from the item's.  Each occurrence is judged on its own.
 
 Windows of the documents first pass a bit field of the benchmark's windows.
 Its size is a parameter and does not grow with the benchmark; what passes is
-joined with the benchmark's windows by hash.
+joined with the benchmark's windows by hash.  Items that are too short, or have
+too many slots, for more than one window are met as a whole: word for word, and
+by the template of all their words between the borders of sentences.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from tidemark.llm import textbytes as tb
 WINDOW, LITERAL = 8, 4
 #: Items of fewer words are no text to look for.
 SHORTEST = 4
+#: Plain words of a whole item that is met by its template; with fewer, too much else has that template ("Who is Ada?").
+WHOLE_LITERAL = 3
 #: Bits of the field that the windows of documents are held against.
 FIELD_BITS = 22
 # Words that count as units after a number.
@@ -37,8 +41,10 @@ UNITS = (
     "stunde stunden tag tage woche wochen jahr jahre jours heures ans semaines horas días años metros litros"
 ).split()
 NUM, UNIT, NAME = 1, 2, 3
-#: Sets hashes of words as they are apart from those of templates.
-EXACT = 0xD6E8FEB86659FD93
+#: How a run of words is met: by a window of its template, word for word, or by the template of the whole.
+WINDOWED, VERBATIM, WHOLE = 0, 1, 2
+#: Sets the hashes of whole items apart from those of windows.
+SALTS = {VERBATIM: 0xD6E8FEB86659FD93, WHOLE: 0xA0761D6478BD642F}
 
 
 class Templates:
@@ -88,8 +94,9 @@ class Templates:
         template = np.where(kind > 0, kind.astype(np.uint64), word)
         return starts, ends, template, kind, np.searchsorted(starts, offsets), word, fresh, name
 
-    def whole(self, word: np.ndarray, fresh: np.ndarray, edges: np.ndarray, size: int):
-        """First word and hash of each run of ``size`` words as they are; under ``SHORTEST`` only runs that are whole sentences or lines."""
+    def whole(self, word: np.ndarray, fresh: np.ndarray, edges: np.ndarray, size: int, how: int):
+        """First word and hash of each run of ``size`` words or template words; runs of templates, and verbatim
+        ones under ``SHORTEST``, only where they begin and end with a sentence or line."""
         n = max(len(word) - size + 1, 0)
         power = np.full(len(word) + 1, tb.BASE, np.uint64)
         back = np.full(len(word) + 1, pow(tb.BASE, -1, 1 << 64), np.uint64)
@@ -99,11 +106,11 @@ class Templates:
         np.cumsum(word * power[:-1], out=total[1:])
         row = np.searchsorted(edges, np.arange(n), "right") - 1
         good = np.arange(n) + size <= edges[row + 1]
-        if size < SHORTEST:
+        if size < SHORTEST or how == WHOLE:
             begins = np.append(fresh, True)
             good &= begins[:n] & begins[size : size + n]
         at = np.flatnonzero(good)
-        return at, tb.mix((total[at + size] - total[at]) * back[at] + np.uint64(size) * np.uint64(EXACT))
+        return at, tb.mix((total[at + size] - total[at]) * back[at] + np.uint64(size) * np.uint64(SALTS[how]))
 
     def windows(self, template: np.ndarray, kind: np.ndarray, edges: np.ndarray, size: int, literal: int):
         """First word and hash of each window inside a row with enough plain words."""
@@ -120,16 +127,16 @@ class Templates:
         return at, total[at]
 
 
-def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], exact: list[int], literal: int, field: np.ndarray | None, bits: int) -> DataFrame:
-    """Rows (key, mark of the text, first word, size and hash of the window, slots) of the windows of ``lengths`` words.
+def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], whole: list[tuple[int, int]], literal: int, field: np.ndarray | None, bits: int) -> DataFrame:
+    """Rows (key, mark of the text, first word, size and hash of the window, how it is met, slots) of the windows of ``lengths`` words.
 
     With ``field`` only windows whose bit is set are given, also those of the
-    ``exact`` lengths of words as they are.  Without it the texts are the
-    benchmark: windows under the full size are whole items, and items with at
-    most one window are given whole too, and their windows from the first word
-    on also with that word as a name.
+    ``whole`` pairs (size, how).  Without it the texts are the benchmark:
+    windows under the full size are whole items, and items with at most one
+    window are given whole too, word for word and as a template, and their
+    windows from the first word on also with that word as a name.
     """
-    names = [key, "mark", "first", "size", "h", "exact", "slots"]
+    names = [key, "mark", "first", "size", "h", "how", "slots"]
 
     def batches(stream):
         maker = None
@@ -139,10 +146,10 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], ex
             for lo, hi, data, offsets in tb.text_runs(batch.column(1)):
                 starts, ends, template, kind, edges, word, fresh, name = maker(data, offsets)
 
-                def rows(at, h, size, whole=False, kind=kind):
+                def rows(at, h, size, how=WINDOWED, kind=kind):
                     row = np.searchsorted(edges, at, "right") - 1
-                    slots = [[] if whole else [_value(data[starts[j] : ends[j]]) for j in range(i, i + size) if kind[j]] for i in at]
-                    made = [pa.array(at - edges[row]), pa.array(np.full(len(at), size)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), whole)), pa.array(slots, pa.list_(pa.string()))]
+                    slots = [[] if how == VERBATIM else [_value(data[starts[j] : ends[j]]) for j in range(i, i + size) if kind[j]] for i in at]
+                    made = [pa.array(at - edges[row]), pa.array(np.full(len(at), size)), pa.array(h.view(np.int64)), pa.array(np.full(len(at), how)), pa.array(slots, pa.list_(pa.string()))]
                     return pa.RecordBatch.from_arrays([c.slice(lo, hi - lo).take(pa.array(row)) for c in (ids, marks)] + made, names=names)
 
                 count = np.zeros(hi - lo, np.int64)
@@ -157,17 +164,21 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], ex
                     if passed.any():
                         yield rows(at[passed], h[passed], size)
                 if field is not None:
-                    for size in exact:
-                        at, h = maker.whole(word, fresh, edges, size)
+                    for size, how in whole:
+                        at, h = maker.whole(word if how == VERBATIM else template, fresh, edges, size, how)
                         passed = tb.in_field(h, field, bits)
                         if passed.any():
-                            yield rows(at[passed], h[passed], size, True)
+                            yield rows(at[passed], h[passed], size, how)
                     continue
                 few = np.flatnonzero((count <= 1) & (np.diff(edges) > 0))
                 for i in few:
                     size = int(edges[i + 1] - edges[i])
-                    at, h = maker.whole(word[edges[i] : edges[i + 1]], np.ones(size, bool), np.array([0, size]), size)
-                    yield rows(at + edges[i], h, size, True)
+                    own = slice(edges[i], edges[i + 1])
+                    for how, held in ((VERBATIM, word), (WHOLE, template)):
+                        plain = np.count_nonzero(kind[own] == 0)
+                        if how == VERBATIM or (size >= SHORTEST and WHOLE_LITERAL <= plain < size):
+                            at, h = maker.whole(held[own], np.ones(size, bool), np.array([0, size]), size, how)
+                            yield rows(at + edges[i], h, size, how)
                 inside = edges[few][name[edges[few]] & (kind[edges[few]] == 0)]
                 if len(inside):
                     other, as_name = template.copy(), kind.copy()
@@ -180,7 +191,7 @@ def _window_rows(texts: DataFrame, key: str, window: int, lengths: list[int], ex
                             yield rows(at[passed], h[passed], size, kind=as_name)
 
     kinds = dict(texts.dtypes)
-    return texts.withColumn("mark", F.xxhash64("text")).mapInArrow(batches, f"`{key}` {kinds[key]}, mark long, first long, size long, h long, exact boolean, slots array<string>")
+    return texts.withColumn("mark", F.xxhash64("text")).mapInArrow(batches, f"`{key}` {kinds[key]}, mark long, first long, size long, h long, how long, slots array<string>")
 
 
 def _value(word: np.ndarray) -> str:
@@ -195,15 +206,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     same_slots (an occurrence holds the item's own values in all slots).  Items of fewer words
     than a window are met as a whole.  Items with one window or none are also
     met word for word; of fewer than ``SHORTEST`` words only where they are
-    sentences or lines of their own, as such words stand in any text.  Null or empty texts share nothing.  Rows with
+    sentences or lines of their own, as such words stand in any text.  Those of
+    at least ``SHORTEST`` words, ``WHOLE_LITERAL`` of them plain, are also met
+    with other values in their slots, where they stand between borders of
+    sentences or lines.  Null or empty texts share nothing.  Rows with
     the same id count as one document.  A document without a row is clean.
     """
     held = benchmark.select("item_id", F.col("text"))
     known = _window_rows(held, "item_id", window, list(range(SHORTEST, window + 1)), [], literal, None, bits)
-    sizes = sorted((r["size"], r["exact"]) for r in known.select("size", "exact").distinct().collect())
-    lengths, exact = [n for n, whole in sizes if not whole], [n for n, whole in sizes if whole]
+    sizes = sorted((r["size"], r["how"]) for r in known.select("size", "how").distinct().collect())
+    lengths, whole = [n for n, how in sizes if how == WINDOWED], [(n, how) for n, how in sizes if how != WINDOWED]
     field = tb.bit_field(known, "h", bits)
-    seen = _window_rows(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", window, lengths, exact, literal, field, bits)
+    seen = _window_rows(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "doc_id", window, lengths, whole, literal, field, bits)
     theirs = known.select("item_id", "h", F.col("slots").alias("item_slots"), F.col("first").alias("item_first"), F.col("mark").alias("item_mark"))
     both = seen.join(theirs, "h")
     # one occurrence: windows of one text and one item that lie equally far apart; its sets are no longer than the item
