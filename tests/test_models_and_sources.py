@@ -1,8 +1,10 @@
+import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import propensity
+from tidemark.operators import calendar, encode, grains, propensity, splits
 from tidemark.sources import sales_files
 
 
@@ -89,3 +91,44 @@ def test_every_check_belongs_to_a_query():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 100
+
+
+def test_tuned_models_take_the_parameters_of_the_best_row(spark):
+    rows = [("a", 0.7, 0.1, 3, [32]), ("b", 0.9, 0.2, 5, [64, 32]), ("c", 0.9, 0.0, 7, None)]
+    table = spark.createDataFrame(rows, "candidate string, mean double, std double, depth int, hidden array<int>")
+    seen = []
+    made = propensity.tuned({"x": (lambda names, n, **p: seen.append((names, n, p)) or "fit", table)}, ["f"], 9)
+    assert made == {"x_tuned": "fit"} and seen == [(["f"], 9, {"depth": 5, "hidden": (64, 32)})]
+
+
+def test_excluded_columns_are_not_features():
+    assert encode.without_leaks(["a", "tenure", "b", "tenures"], ["tenure"]) == ["a", "b", "tenures"]
+    with pytest.raises(ValueError, match="tenure_bucket"):
+        encode.without_leaks(["a", "tenure_bucket"], ["tenure"])
+
+
+def test_one_row_per_date_has_a_defined_winner(spark):
+    rows = [("2020-01-01", "b", 1), ("2020-01-01", "a", 9), ("2020-01-01", "a", 2), ("2020-01-02", None, 1), ("2020-01-02", "z", None), (None, "q", 1), (None, "q", 1)]
+    table = spark.createDataFrame(rows, "ds string, holiday string, n int")
+    want = {("2020-01-01", "a", 2), ("2020-01-02", "z", None), (None, "q", 1)}
+    assert {tuple(r) for r in calendar.one_per_date(table).collect()} == want
+    assert {tuple(r) for r in calendar.one_per_date(table.repartition(5)).collect()} == want
+    by_n = {tuple(r) for r in calendar.one_per_date(table, ["n"]).collect()}
+    assert by_n == {("2020-01-01", "b", 1), ("2020-01-02", None, 1), (None, "q", 1)}
+    assert calendar.one_per_date(table.limit(0)).count() == 0 and calendar.one_per_date(table.select("ds")).count() == 3
+
+
+def test_prepare_cuts_three_grains_from_one_clean_log(spark):
+    fields = "Store int, Dept int, Date date, Weekly_Sales double, IsHoliday boolean, Type string, Size int, Temperature double, Fuel_Price double, CPI double, Unemployment double, MarkDown1 double"
+    day = datetime.date(2020, 1, 3)
+    rows = [(s, d, day, y, False, "A", 10, 1.0, 2.0, 3.0, 4.0, None) for s, d, y in [(1, 1, 5.0), (1, 2, 7.0), (2, 1, 11.0), (2, 2, -1.0)]]
+    chain, stores, depts, clean = grains.prepare(spark.createDataFrame(rows, fields))
+    assert [r.Weekly_Sales for r in chain.collect()] == [23.0]
+    assert {(r.Store, r.Weekly_Sales) for r in stores.collect()} == {(1, 12.0), (2, 11.0)}
+    assert depts.count() == clean.count() == 3
+
+
+def test_sample_sizes_come_from_the_whole(spark):
+    table = spark.range(100).selectExpr("id", "id % 4 = 0 as rare")
+    taken = splits.stratified_sample(table, ["rare"], "id", 20).groupBy("rare").count().collect()
+    assert {(r.rare, r["count"]) for r in taken} == {(True, 5), (False, 15)}

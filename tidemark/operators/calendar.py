@@ -5,6 +5,8 @@ Everything here is a small dimension: bounded by years or by calendar days.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,6 +123,21 @@ def with_easter(holidays: DataFrame | None, grid: DataFrame) -> DataFrame:
     return easter if holidays is None else holidays.unionByName(easter)
 
 
+def one_per_date(holidays: DataFrame, order: Sequence[str] = ("holiday",), ds: str = "ds") -> DataFrame:
+    """One whole row per date: the smallest by ``order``, NULLs last, ties by the other columns from left to right.
+
+    Rows without a date are one group.  Nothing is sorted: the winner is a
+    minimum, so a date with most of the rows is reduced before the shuffle.
+    """
+    rest = [c for c in holidays.columns if c != ds]
+    if not rest:
+        return holidays.distinct()
+    by = [*order, *(c for c in rest if c not in order)]
+    ranks = [part for c in by for part in (F.col(c).isNull(), F.col(c))]
+    winner = F.min_by(F.struct(*rest), F.struct(*[p.alias(f"_{k}") for k, p in enumerate(ranks)]))
+    return holidays.groupBy(ds).agg(winner.alias("_row")).select(ds, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+
+
 def holiday_windows(holidays: DataFrame) -> DataFrame:
     """Spread each holiday over the days of its window: one row per affected day.
 

@@ -79,6 +79,19 @@ def one_hot(df: DataFrame, columns: Sequence[str], categories: dict[str, list[st
     return df.withColumns(names).drop(*columns), list(names)
 
 
+def without_leaks(features: Sequence[str], leaks: Sequence[str]) -> list[str]:
+    """The features a model may see, in their order.
+
+    A leak is the key, the label, or a column that knows the outcome.  The
+    column itself goes; a feature made of one (``<leak>_...``) is an error, as
+    it was made on purpose.
+    """
+    made = [f for f in features if any(f.startswith(f"{leak}_") for leak in leaks)]
+    if made:
+        raise ValueError(f"features made of excluded columns: {', '.join(made)}")
+    return [f for f in features if f not in set(leaks)]
+
+
 def standardise(
     df: DataFrame, columns: Sequence[str], train: str | None = None, ddof: int = 0
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.runtime import cut_lineage
 from tidemark.sources.sales_files import EXTERNALS, clean_sales
 
 
@@ -49,10 +50,10 @@ def dept_panel(df: DataFrame) -> DataFrame:
 def prepare(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Clean the log once and cut the three grains from it.
 
-    Returns chain, stores, departments, and the cached clean log they share;
-    unpersist that one when the grains have been used.
+    Returns chain, stores, departments, and the clean log they share, which is
+    written once to the checkpoint folder.
     """
-    clean = clean_sales(log).persist()
+    clean = cut_lineage(clean_sales(log))
     return chain_total(clean), store_panel(clean), dept_panel(clean), clean
 
 

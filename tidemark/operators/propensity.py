@@ -272,10 +272,16 @@ def search(
 
 def best_parameters(table: DataFrame) -> dict:
     """The parameters of the best row of a search."""
-    row = table.orderBy(F.col("mean").desc()).drop("candidate", "mean", "std").first().asDict()
+    names = [c for c in table.columns if c not in ("candidate", "mean", "std")]
+    row = table.orderBy(F.col("mean").desc(), *table.drop("mean", "std").columns).select(*names).first().asDict()
     return {k: tuple(v) if isinstance(v, list) else v for k, v in row.items() if v is not None}
 
 
+def tuned(searches: dict[str, tuple[Maker, DataFrame]], features: Sequence[str], rows: int) -> dict[str, Pipeline]:
+    """Per search (maker, table of results) a pipeline with the parameters of its best row, named ``<search>_tuned``."""
+    return {f"{name}_tuned": make(features, rows, **best_parameters(table)) for name, (make, table) in searches.items()}
+
+
 def learning_curve(
     make: Callable[[int], Pipeline], df: DataFrame, key: str, fractions: Sequence[float] = LEARNING_FRACTIONS,
     folds: int = 3, threads: int = 8, seed: int = SEED,

@@ -243,8 +243,9 @@ def shuffled_rank(
         *strata, "_bin",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(W.partitionBy(*strata)).alias("_size"),
-        F.sum("_n").over(W.partitionBy()).alias("_total"),
     )
+    if total:
+        offsets = offsets.withColumn("_total", counts.agg(F.sum("_n")).scalar())
     local = keyed.withColumn("_local", F.row_number().over(inside))
     joined = local.alias("l").join(offsets.alias("r"), _null_safe(strata), "inner")
     extra = [F.col("r._size").alias(size)] if size else []

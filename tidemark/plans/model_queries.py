@@ -204,8 +204,8 @@ def _train_test(spark, folder):
 def _three_models(names, rows):
     return {
         "logistic": propensity.logistic(names, rows),
-        "boosted": propensity.boosted(names, rounds=20),
-        "network": propensity.network(names, max_iter=60),
+        "boosted": propensity.boosted(names),
+        "network": propensity.network(names),
     }
 
 
@@ -392,17 +392,57 @@ def churn_logistic_fits(spark, folder):
 @query("churn_random_search_network")
 def churn_random_search_network(spark, folder):
     train, _, names = _train_test(spark, folder)
-    some = propensity.some_combinations(propensity.NETWORK_GRID, 4)
-    return propensity.search(propensity.network, names, [{**p, "max_iter": 30} for p in some], train, "customer_id")
+    return network_search(train, names)
 
 
 @query("churn_random_search_boosted")
 def churn_random_search_boosted(spark, folder):
     train, _, names = _train_test(spark, folder)
+    return boosted_search(train, names)
+
+
+def network_search(train, names):
+    """Eight draws, which are all combinations of the grid, with all iterations."""
+    return propensity.search(propensity.network, names, propensity.some_combinations(propensity.NETWORK_GRID, 8), train, "customer_id")
+
+
+def boosted_search(train, names):
     grid = {**propensity.BOOSTED_GRID, "rounds": [5, 10]}
     return propensity.search(propensity.boosted, names, propensity.some_combinations(grid, 3), train, "customer_id")
 
 
+def all_searches(train, names):
+    """Maker and results of the three searches."""
+    grid = propensity.all_combinations(propensity.LOGISTIC_GRID)
+    return {
+        "logistic": (propensity.logistic, cut_lineage(propensity.logistic_search(train, names, grid, "customer_id"))),
+        "boosted": (propensity.boosted, cut_lineage(boosted_search(train, names))),
+        "network": (propensity.network, cut_lineage(network_search(train, names))),
+    }
+
+
+def six_model_scores(spark, folder):
+    """Test scores of the three models and of the best row of each search, fitted on all training rows."""
+    train, test, names = _train_test(spark, folder)
+    rows = train.count()
+    models = _three_models(names, rows) | propensity.tuned(all_searches(train, names), names, rows)
+    return cut_lineage(propensity.score_models(models, train, test, "customer_id")[0])
+
+
+@query("churn_tuned_comparison")
+def churn_tuned_comparison(spark, folder):
+    """Six models on the same test rows, best ROC-AUC first."""
+    return propensity.compare_models(six_model_scores(spark, folder))
+
+
+@query("churn_tuned_segments")
+def churn_tuned_segments(spark, folder):
+    """Risk segments from the scores of the best of the six models."""
+    scores = six_model_scores(spark, folder)
+    best = propensity.best_model(propensity.compare_models(scores)).select("model")
+    return segments.segment_summary(segments.risk_segments(scores.join(best, ["model"], "left_semi")))
+
+
 @query("churn_learning_curve")
 def churn_learning_curve(spark, folder):
     train, _, names = _train_test(spark, folder)
@@ -429,7 +469,7 @@ def churn_complexity_sweeps(spark, folder):
         propensity.boosted, names, "depth", (1, 3, 5), train, "customer_id", fixed={"rounds": 4, "rate": 0.1}
     )
     hidden = propensity.validation_curve(
-        propensity.network, names, "hidden", ((4,), (32, 16)), train, "customer_id", fixed={"max_iter": 20}
+        propensity.network, names, "hidden", propensity.HIDDEN_VALUES, train, "customer_id"
     )
     return depth.withColumnRenamed("depth", "value").withColumn("knob", F.lit("tree depth")).unionByName(
         hidden.withColumnRenamed("hidden", "value").withColumn("knob", F.lit("hidden layers"))
@@ -438,18 +478,21 @@ def churn_complexity_sweeps(spark, folder):
 
 @query("churn_high_bias")
 def churn_high_bias(spark, folder):
-    """Does boosting reach clearly more than logistic regression in cross-validation?"""
+    """Does any tuned model reach clearly more than the last level of the logistic learning curve?"""
     train, _, names = _train_test(spark, folder)
-    simple = propensity.search(propensity.logistic, names, [{"c": 1.0}], train, "customer_id")
-    flexible = propensity.search(propensity.boosted, names, [{"depth": 3, "rate": 0.1, "rounds": 8}], train, "customer_id")
-    return propensity.high_bias(cut_lineage(simple), cut_lineage(flexible.unionByName(simple)))
+    curve = propensity.logistic_learning_curve(train, names, "customer_id")
+    last = curve.where(F.col("subset") == len(propensity.LEARNING_FRACTIONS)).select(F.col("validation_mean").alias("mean"))
+    tables = [table.select("mean") for _, table in all_searches(train, names).values()]
+    return propensity.high_bias(cut_lineage(last), reduce(lambda a, b: a.unionByName(b), tables))
 
 
 # --------------------------------------------------------------------------
 # Hazard models
 # --------------------------------------------------------------------------
 
-HAZARD_FEATURES = [c for c in NUMERIC if c not in ("tenure", "days_silent")]
+#: The key, the outcome and what knows it: no hazard model sees them.
+HAZARD_LEAKS = ["customer_id", "churn", "event", "time", "tenure", "days_silent"]
+HAZARD_FEATURES = encode.without_leaks(NUMERIC, HAZARD_LEAKS)
 
 
 def hazard_split(spark, folder):
@@ -458,7 +501,7 @@ def hazard_split(spark, folder):
     wide, dummies = encode.one_hot(split, ["segment"])
     wide = encode.standardise(wide, HAZARD_FEATURES, train="is_test")
     rows = cut_lineage(wide.select("customer_id", "event", "time", "is_test", *HAZARD_FEATURES, *dummies))
-    return rows.filter(~F.col("is_test")), rows.filter("is_test"), [*HAZARD_FEATURES, *dummies]
+    return rows.filter(~F.col("is_test")), rows.filter("is_test"), encode.without_leaks([*HAZARD_FEATURES, *dummies], HAZARD_LEAKS)
 
 
 # The market segments of the customer table that get an indicator.
@@ -467,6 +510,21 @@ _HAZARD_NAMES = [*HAZARD_FEATURES, *(f"segment_{s}" for s in SEGMENTS)]
 _HAZARD_SPLIT = """, h AS (SELECT *, md5(CAST(customer_id AS VARCHAR) || ':42') AS h FROM customers),
   r AS (SELECT *, row_number() OVER (PARTITION BY churn ORDER BY h, customer_id) AS rk, COUNT(*) OVER (PARTITION BY churn) AS n FROM h),
   seen AS (SELECT * FROM r WHERE rk > round(n * 0.3))"""
+
+
+@query(
+    "hazard_features",
+    on_customers(
+        _HAZARD_SPLIT + " SELECT feature, COUNT(*)::BIGINT AS train_rows FROM seen, (SELECT UNNEST(["
+        + ", ".join(f"'{c}'" for c in _HAZARD_NAMES) + "]) AS feature) GROUP BY 1"
+    ),
+)
+def hazard_features(spark, folder):
+    """What the hazard models see, none of it made of an excluded column, and from how many customers."""
+    train, _, names = hazard_split(spark, folder)
+    per = train.agg(*[F.count(c).alias(c) for c in names])
+    return per.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("train_rows")) for c in names])))
+
 _COX = (
     _HAZARD_SPLIT + ", cx_rows AS (SELECT tenure AS time, churn = 1 AS event, [1.0::DOUBLE, "
     + ", ".join(f"({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER ()" for c in HAZARD_FEATURES)

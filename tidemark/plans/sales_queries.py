@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import week_ending
 from tidemark.operators import baselines, calendar, features, grains, metrics, misses, splits
 from tidemark.plans import tables as t
 from tidemark.plans.oracle import EASTER, on_cells, on_log
@@ -161,6 +164,25 @@ def grain_dept_panel(spark, folder):
     return panel.withColumn("Weekly_Sales", F.col("Weekly_Sales").cast("double"))
 
 
+@query(
+    "prepared_grains",
+    on_log(
+        """SELECT 'chain' AS grain, COUNT(*) AS "rows", COUNT(DISTINCT "Date") AS weeks, round(SUM("Weekly_Sales"), 2)::DOUBLE AS sales FROM chain_full
+        UNION ALL SELECT 'store', COUNT(*), COUNT(DISTINCT "Date"), round(SUM("Weekly_Sales"), 2)::DOUBLE FROM panel_full
+        UNION ALL SELECT 'department', COUNT(*), COUNT(DISTINCT "Date"), round(SUM("Weekly_Sales"), 2)::DOUBLE FROM clean"""
+    ),
+)
+def prepared_grains(spark, folder):
+    """The three grains that are cut from one cleaned log hold the same weeks and the same sales."""
+    chain, stores, depts, _ = grains.prepare(t.sales_log(spark, folder))
+    named = {"chain": chain, "store": stores, "department": depts}
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("Date").alias("weeks"), F.sum("Weekly_Sales").alias("sales"))
+        .select(F.lit(name).alias("grain"), "rows", "weeks", "sales") for name, df in named.items()
+    ]
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts), 2, "sales")
+
+
 @query(
     "chain_as_series",
     on_cells("SELECT ds, y FROM chain_series"),
@@ -224,6 +246,21 @@ def calendar_with_easter(spark, folder):
     return calendar.with_easter(calendar.trading_holidays(spark, *t.calendar_years(spark, folder)), grid)
 
 
+@query(
+    "holiday_of_week",
+    on_cells(
+        """, d AS (SELECT h.ds + CAST(o AS INTEGER) AS ds, holiday, o FROM holidays h, (SELECT UNNEST([-3, -2, -1, 0, 1, 2]) AS o))
+        SELECT CAST(ds + CAST((12 - dayofweek(ds)) % 7 AS INTEGER) AS DATE) AS ds, arg_min(holiday, (abs(o) * 10 + o)) AS holiday,
+        CAST(arg_min(o, (abs(o) * 10 + o)) AS INTEGER) AS "offset" FROM d GROUP BY 1"""
+    ),
+)
+def holiday_of_week(spark, folder):
+    """Per week the holiday whose window reaches into it, by its day closest to the holiday."""
+    days = calendar.holiday_windows(calendar.trading_holidays(spark, *t.calendar_years(spark, folder)))
+    weeks = days.select(week_ending(F.col("ds")).alias("ds"), "holiday", "offset", F.abs("offset").alias("far"))
+    return calendar.one_per_date(weeks, ["far", "offset"]).drop("far")
+
+
 @query(
     "holiday_window_sales",
     on_cells(
