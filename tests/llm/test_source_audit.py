@@ -7,6 +7,8 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.ml.feature import CountVectorizer
+from pyspark.sql import functions as F
 
 from tidemark.llm import source_audit
 
@@ -73,3 +75,41 @@ def test_empty_table_and_languages_without_terms(spark):
     assert audited(spark, [("a b", "en", "x"), ("a", "en", "y")]) == [("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
     blank = [("123 ...", "en", "x")] * 31 + [("", "en", "y")]
     assert audited(spark, blank) == brute(blank, 30)
+
+
+def test_terms_are_put_together_before_the_fit(spark, monkeypatch):
+    met = []
+
+    class Watched(CountVectorizer):
+        def _fit(self, dataset):
+            met.append(dataset.select(F.sum(F.size("terms"))).first()[0])
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(source_audit, "CountVectorizer", Watched)
+    words = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200))
+    rows = [(f"{words} {words}", "en", f"s{i % 3}") for i in range(2000)]
+    assert audited(spark, rows) == brute(rows, source_audit.MIN_DF)
+    # 800,000 words; each of 8 tasks needs 30 lists of 200 words at most, and the empty one
+    assert met and met[0] <= 8 * 30 * 201
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (300, 1), (300, 4000), (1 << 22, 1 << 25)])
+def test_documents_and_counts_add_up_over_runs_and_tasks(spark, monkeypatch, sizes):
+    monkeypatch.setattr(source_audit, "RUN_BYTES", sizes[0])
+    monkeypatch.setattr(source_audit, "HELD_BYTES", sizes[1])
+    rng = random.Random(4)
+    # pXX is in XX documents of "en", once or several times in each
+    texts = [[] for _ in range(120)]
+    for most in (1, 28, 29, 30, 31, 60, 119, 120):
+        for at in rng.sample(range(120), most):
+            texts[at] += [f"P{chr(97 + most % 26)}{chr(97 + most // 26)}"] * rng.choice([1, 1, 2, 5, 300])
+    rows = [(" ".join(t), "en", f"s{i % 4}") for i, t in enumerate(texts)] + [("pea", "de", "s1")] * 30 + corpus(5, 200)
+    rng.shuffle(rows)
+    assert audited(spark, rows) == brute(rows, source_audit.MIN_DF)
+
+
+def test_shares_are_exact_beyond_64_bits(spark):
+    cases = [(n, n + extra, terms) for n in (0, 1, 9_223_372_030, 9_223_372_031, 9_223_372_032, 10**15) for extra in (0, 7, 10**14) for terms in (1, 40_000)]
+    frame = spark.createDataFrame(cases, "n long, size long, terms long")
+    got = [r[0] for r in frame.select(source_audit.share(F.col("n"), F.col("size"), F.col("terms"))).collect()]
+    assert got == [1 + 10**9 * (n + 5) // (size + 5 * terms) for n, size, terms in cases]
