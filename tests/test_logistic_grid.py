@@ -72,6 +72,19 @@ def test_missing_values_constant_columns_and_odd_cells(spark):
     assert fits.weights[0, 1] == 0 and (fits.weights[2] == 0).all() and (fits.weights[3, :-1] == 0).all()
 
 
+def test_a_feature_that_is_constant_on_a_cells_rows_has_no_coefficient(spark):
+    # k is constant in fold 0, and near 1e6 in the other; m is constant everywhere, with a mean that is rounded
+    rows = [(float(i % 7), 0.3 if i % 2 else 1e6 + i, 0.1, float(i % 3 == 0), i % 2) for i in range(60)]
+    frame = spark.createDataFrame(rows, "a DOUBLE, k DOUBLE, m DOUBLE, label DOUBLE, fold INT")
+    cells = [Cell(), Cell(fold=0), Cell(fold=1), Cell(0.1, 0.5, 0), Cell(float("inf"), 0.0, 0)]
+    held = logistic_grid.complete(frame.repartition(5), ["a", "k", "m"])
+    fits = logistic_grid.fit_cells(held, ["a", "k", "m"], cells)
+    assert fits.converged.all() and (fits.weights[:, 2] == 0).all()
+    assert (fits.weights[[1, 3, 4], 1] == 0).all() and (fits.weights[[0, 2], 1] != 0).all()
+    x, y = np.array([r[0] for r in rows if r[4]]), np.array([r[3] for r in rows if r[4]])
+    assert fits.weights[1, [0, 3]] == pytest.approx(dense_fit(x[:, None], y, 1.0, 0.0), abs=1e-6)
+
+
 def test_searches_and_curves_in_shared_passes(spark):
     frame, _, _ = planted(spark)
     names = ["a", "b", "c"]
