@@ -64,6 +64,23 @@ def test_curve_and_concordance_equal_brute_force(spark, monkeypatch, months, few
     assert row.c_index == pytest.approx(brute_c(event, time, risk))
 
 
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_concordance_makes_one_row_per_digit_of_256_and_counts_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(scan, "FEW_ROWS", few)
+    monkeypatch.setattr(scan, "ROWS_PER_BIN", 60)
+    monkeypatch.setattr(survival, "FEW_ROWS", few)
+    written, materialise = [], survival.materialise
+    monkeypatch.setattr(survival, "materialise", lambda table: written.append(materialise(table)) or written[-1])
+    for months, digits in ((True, 1), (False, 2)):  # 400 different times have two digits, months one
+        written.clear()
+        event, time, x, frame = people(spark, 400, seed=8, months=months)
+        parts = frame.withColumn("risk", F.round("x", 2)).withColumn("g", F.when(F.col("id") % 2 == 0, "even"))
+        rows = {r.g: r for r in survival.concordance(parts, ["g"]).collect()}
+        assert written[2][1] <= digits * written[0][1]
+        for g, own in (("even", np.arange(400) % 2 == 0), (None, np.arange(400) % 2 == 1)):
+            assert rows[g].c_index == pytest.approx(brute_c(event[own], time[own], np.round(x[own, 0], 2)))
+
+
 def test_curves_by_group_fall_and_stay_in_range(spark):
     _, _, _, frame = people(spark)
     grouped = frame.withColumn("g", (F.col("x") > 0).cast("string"))

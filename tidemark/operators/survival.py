@@ -12,13 +12,15 @@ from functools import reduce
 from inspect import signature
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.functions.numbers import ratio, right_closed_bucket
-from tidemark.operators.pairs import digit_groups
-from tidemark.operators.scan import FEW_ROWS, exact_quantiles, materialise, running
+from tidemark.operators.scan import FEW_ROWS, _with_bin, exact_quantiles, materialise, running
 from tidemark.runtime import cut_lineage
 
 RISK_LEVELS = ("Low", "Medium", "High", "Very high")
@@ -142,51 +144,36 @@ def concordance(
     """Concordance index over all comparable pairs, without forming a pair.
 
     A pair is comparable when the earlier one had the event, or both share the
-    time and only one had it.  Pairs of different times come from
-    ``pairs.digit_groups`` over the time ranks; within a group they are counted
-    from running sums over the risk.  Rows multiply by the number of digits,
-    the logarithm of the number of distinct times.
+    time and only one had it: in the order of times, and at a time of events
+    before the censored, the event comes first.  Two places in that order first
+    differ in one digit of base 256, so rows grouped by (digit, leading digits)
+    hold every pair in one group, and there are as many rows as digits.  Within
+    a group, pairs from different bins of the risk follow from one sum per bin
+    and digit value, pairs inside a bin are counted by the task that holds it.
     """
     keys = list(keys)
-    cells, n_cells = materialise(
-        df.groupBy(*keys, F.col(time).alias("_t"), F.col(event).alias("_e"), F.col(risk).alias("_r")).agg(
+    cells, _ = materialise(
+        df.groupBy(*keys, F.col(time).alias("_t"), F.col(event).alias("_e"), F.col(risk).cast("double").alias("_r")).agg(
             F.count(F.lit(1)).alias("_n")
         )
     )
     times, n_times = materialise(cells.select("_t").distinct().withColumn("_one", F.lit(1)))
-    ranks = running(times, [], "_t", sums=["_one"], rows=n_times).select("_t", F.col("_one_run").alias("_rank"))
-    ranked = cells.join(ranks, ["_t"])
-
-    by_digit = (
-        digit_groups(ranked, n_times)
-        .select(
-            *keys, "_digit", "_head", "_r",
-            F.when((F.col("_bit") == 0) & F.col("_e"), F.col("_n")).otherwise(0).alias("early"),
-            F.when(F.col("_bit") == 1, F.col("_n")).otherwise(0).alias("late"),
-        )
-    )
-    tied = ranked.select(
-        *keys, F.lit(-1).alias("_digit"), F.col("_rank").alias("_head"), "_r",
-        F.when(F.col("_e"), F.col("_n")).otherwise(0).alias("early"),
-        F.when(~F.col("_e"), F.col("_n")).otherwise(0).alias("late"),
-    )
+    ranks = running(times, [], "_t", sums=["_one"], rows=n_times).select("_t", (F.col("_one_run") * 2).cast("bigint").alias("_rank"))
+    placed = cells.join(ranks, ["_t"]).withColumn("_place", F.col("_rank") + F.when(F.col("_e"), 0).otherwise(1))
+    digits = F.sequence(F.lit(0), F.lit((2 * n_times + 1).bit_length() - 1 >> 3))
     group = [*keys, "_digit", "_head"]
     sums, n_sums = materialise(
-        by_digit.unionByName(tied).groupBy(*group, "_r").agg(
-            F.sum("early").alias("early"), F.sum("late").alias("late")
-        )
+        placed.withColumn("_digit", F.explode(digits))
+        .groupBy(*group[:-1], F.expr("shiftright(_place, 8 * (_digit + 1))").alias("_head"), F.expr("int(shiftright(_place, 8 * _digit) & 255)").alias("_d"), "_r")
+        .agg(F.sum(F.when(F.col("_e"), F.col("_n")).otherwise(0)).cast("double").alias("early"), F.sum("_n").cast("double").alias("late"))
     )
-    ordered = running(sums, group, "_r", sums=["late"], rows=n_sums)
-    early, late = F.col("early").cast("double"), F.col("late").cast("double")
-    below = F.col("late_run") - F.col("late")
-    pairs = sums.groupBy(*group).agg((F.sum(early) * F.sum(late)).alias("_pairs"))
-    counted = ordered.groupBy(*keys).agg(
-        F.sum(early * below).alias("concordant"), F.sum(early * late).alias("tied")
-    )
-    totals = pairs.groupBy(*keys).agg(F.sum("_pairs").alias("comparable"))
-    both = counted.join(totals, keys) if keys else counted.withColumn(
-        "comparable", F.lit(totals.first()[0])
+    binned = _with_bin(sums, "_r", n_sums) if n_sums > FEW_ROWS else sums.withColumn("_bin", F.lit(0))
+    totals = binned.groupBy(*group, "_bin", "_d").agg(F.sum("early").alias("early"), F.sum("late").alias("late"))
+    found = StructType([*[f for f in sums.schema.fields if f.name in keys], *[StructField(c, DoubleType()) for c in ("concordant", "tied", "comparable")]])
+    counted = binned.groupBy(*group, "_bin").applyInArrow(_pairs_by_group(keys, _pairs_inside), found).unionByName(
+        totals.groupBy(*group).applyInArrow(_pairs_by_group(keys, _pairs_across), found)
     )
+    both = counted.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("concordant", "tied", "comparable")])
     return both.select(
         *keys,
         ratio(F.col("concordant") + F.col("tied") / 2, F.col("comparable")).alias("c_index"),
@@ -194,6 +181,50 @@ def concordance(
     )
 
 
+def _pairs_by_group(keys: Sequence[str], count):
+    """A grouped map that gives the keys of a group and what ``count`` makes of its rows."""
+
+    def run(key, table):
+        columns = {k: pa.array([v.as_py()], v.type) for k, v in zip(keys, key)}
+        return pa.table(columns | {c: [float(v)] for c, v in zip(("concordant", "tied", "comparable"), count(table))})
+
+    return run
+
+
+def _pairs_inside(table: pa.Table) -> tuple[float, float, float]:
+    """Concordant and tied pairs of one bin: the earlier has the lower digit value, concordant pairs its higher risk."""
+    d, early, late = (table[c].to_numpy() for c in ("_d", "early", "late"))
+    # a missing risk is lower than any, NaN is higher
+    r = np.unique(table["_r"].fill_null(-np.inf).to_numpy(), return_inverse=True)[1]
+    concordant = tied = 0.0
+    for bit in range(8):
+        head, after = d >> (bit + 1), (d >> bit) & 1
+        if not after.any() or after.all():
+            continue
+        order = np.lexsort((r, head))
+        h, q = head[order], r[order]
+        weight = np.concatenate([[0.0], np.cumsum(np.where(after, late, 0.0)[order])])
+        new_head = np.concatenate([[True], h[1:] != h[:-1]])
+        new_run = new_head | np.concatenate([[True], q[1:] != q[:-1]])
+        run_at, head_at = np.flatnonzero(new_run), np.flatnonzero(new_head)
+        run, of_head = np.cumsum(new_run) - 1, np.cumsum(new_head) - 1
+        run_end = np.append(run_at[1:], len(h))
+        first = np.where(after, 0.0, early)[order]
+        concordant += (first * (weight[run_at][run] - weight[head_at][of_head])).sum()
+        tied += (first * (weight[run_end] - weight[run_at])[run]).sum()
+    return concordant, tied, 0.0
+
+
+def _pairs_across(table: pa.Table) -> tuple[float, float, float]:
+    """Concordant pairs of different bins, and all comparable pairs, of one group."""
+    bins, at = np.unique(table["_bin"].to_numpy(), return_inverse=True)
+    early, late = np.zeros((len(bins), 257)), np.zeros((len(bins), 257))
+    early[at, table["_d"].to_numpy()], late[at, table["_d"].to_numpy()] = table["early"].to_numpy(), table["late"].to_numpy()
+    above = np.cumsum(late[:, ::-1], axis=1)[:, ::-1][:, 1:]  # rows with a higher digit value
+    below = np.cumsum(above, axis=0) - above
+    return (early[:, :-1] * below).sum(), 0.0, (early[:, :-1].sum(0) * above.sum(0)).sum()
+
+
 # --------------------------------------------------------------------------
 # Evaluation inside the observed window
 # --------------------------------------------------------------------------
@@ -338,10 +369,10 @@ def _survival_at(model, df: DataFrame, id_column: str, times: Sequence[float]) -
     return model.survival_at(df, id_column, times) if wants else model.survival_at(df, times)
 
 
-def score_survival_models(models: dict, rows: DataFrame, id_column: str) -> DataFrame:
-    """model, key, event, time and risk of every row under every model."""
+def score_survival_models(models: dict, rows: DataFrame, id_column: str, keep: Sequence[str] = ()) -> DataFrame:
+    """model, key, event, time, ``keep`` and risk of every row under every model."""
     parts = [
-        _with_risk(m, rows, id_column).select(F.lit(name).alias("model"), id_column, "event", "time", F.col("risk").cast("double").alias("risk"))
+        _with_risk(m, rows, id_column).select(F.lit(name).alias("model"), id_column, "event", "time", *keep, F.col("risk").cast("double").alias("risk"))
         for name, m in models.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -355,8 +386,7 @@ def evaluate_survival_models(models: dict, train: DataFrame, test: DataFrame, id
     """
     window = evaluation_window(train, test)
     sides = train.withColumn("_side", F.lit("train_c")).unionByName(test.withColumn("_side", F.lit("test_c")))
-    flags = sides.select(id_column, "_side")
-    scored = cut_lineage(score_survival_models(models, sides, id_column).join(flags, id_column))
+    scored = cut_lineage(score_survival_models(models, sides, id_column, ["_side"]))
     c_index = concordance(scored, ["model", "_side"]).groupBy("model").pivot("_side", ["train_c", "test_c"]).agg(F.max("c_index"))
     tested = cut_lineage(in_window(scored.where(F.col("_side") == "test_c"), window))
     auc = mean_dynamic_auc(dynamic_auc(train, tested, ["model"]), in_window(test, window), ["model"])
