@@ -75,3 +75,19 @@ def test_rows_with_a_missing_feature_train_nothing(spark, churners):
     kept, _ = network_grid.fit_cells(churners, ["x", "z"], [Cell((3,), 1)], max_iter=2)
     odd, _ = network_grid.fit_cells(holed, ["x", "z"], [Cell((3,), 1)], max_iter=2)
     assert odd.losses == pytest.approx(kept.losses)
+
+
+def test_networks_of_a_comparison_are_fitted_in_the_same_passes(spark, churners, monkeypatch):
+    passes, sums = [], network_grid._sums
+    monkeypatch.setattr(network_grid, "_sums", lambda blocks, q, cells, *rest: passes.append([c.hidden for c in cells]) or sums(blocks, q, cells, *rest))
+    names = ["x", "z"]
+    models = {
+        "network": propensity.network(names, hidden=(4,), max_iter=6), "logistic": propensity.logistic(names, 900),
+        "network_tuned": propensity.network(names, hidden=(5, 3), max_iter=6, rate=0.01), "same": propensity.network(names, hidden=(4,), max_iter=6, rate=0.001),
+    }
+    scores, fitted = propensity.score_models(models, churners, churners, "id")
+    assert passes[0] == [(4,), (5, 3)] and list(fitted) == list(models)
+    table = {r.model: r.roc_auc for r in propensity.compare_models(scores).collect()}
+    assert set(table) == set(models) and table["network"] == table["same"]
+    alone = models["network_tuned"].fit(churners)
+    assert fitted["network_tuned"].fits.losses == pytest.approx(alone.fits.losses, rel=1e-5)
